@@ -3,11 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, topk, url_filter
+from . import line_dedup, mixing, near_dedup, quality, topk, url_filter
 from .common import table
 
 
+def held_out(id_column: str = "doc_id"):
+    """Rows whose labels are never learnt from."""
+    return F.crc32(F.col(id_column).cast("string")) % 5 == 0
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels").where(~held_out()))
+    scored = quality.score_quality(docs, model).drop("text")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page URL; the trees learn from the pages' own URLs, labelled by the list of bad host words."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -29,12 +42,18 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=3, similarity=0.85)
+
+
 def queries() -> dict:
     return {
+        "op1_quality": op1_quality,
         "op2_url_filter": op2_url_filter,
         "op7_mixing": op7_mixing,
         "op8_line_dedup": op8_line_dedup,
         "op9_topk": op9_topk,
+        "op10_near_dedup": op10_near_dedup,
     }
 
 
