@@ -52,7 +52,7 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, and any executor can read it again."""
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "snappy").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
