@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, near_dedup, quality, topk, url_filter
+from . import fingerprint, line_dedup, mixing, near_dedup, quality, topk, url_filter
 from .common import table
 
 
@@ -28,6 +28,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, model).select("page_id", "host", "path", "rule", "verdict", "bad_probability")
 
 
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.successors(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.weighted_fair_mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -50,6 +54,7 @@ def queries() -> dict:
     return {
         "op1_quality": op1_quality,
         "op2_url_filter": op2_url_filter,
+        "op3_fingerprint": op3_fingerprint,
         "op7_mixing": op7_mixing,
         "op8_line_dedup": op8_line_dedup,
         "op9_topk": op9_topk,
