@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, line_dedup, mixing, near_dedup, quality, topk, url_filter
+from . import bpe, fingerprint, line_dedup, mixing, near_dedup, quality, topk, url_filter
 from .common import table
 
 
@@ -32,6 +33,17 @@ def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.successors(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def token_digests(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """Digests of every text's ids and of what they decode to."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    coded = bpe.encode_decode(docs.select(id_column, "text"), ranks, public_tokenizers.PATTERN)
+    return coded.select(id_column, (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.weighted_fair_mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -55,6 +67,7 @@ def queries() -> dict:
         "op1_quality": op1_quality,
         "op2_url_filter": op2_url_filter,
         "op3_fingerprint": op3_fingerprint,
+        "op4_bpe": op4_bpe,
         "op7_mixing": op7_mixing,
         "op8_line_dedup": op8_line_dedup,
         "op9_topk": op9_topk,
