@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, line_dedup, mixing, near_dedup, quality, topk, url_filter
+from . import bpe, fingerprint, html_text, line_dedup, mixing, near_dedup, quality, topk, url_filter
 from .common import table
 
 
@@ -44,6 +44,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.weighted_fair_mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -68,6 +73,7 @@ def queries() -> dict:
         "op2_url_filter": op2_url_filter,
         "op3_fingerprint": op3_fingerprint,
         "op4_bpe": op4_bpe,
+        "op5_html": op5_html,
         "op7_mixing": op7_mixing,
         "op8_line_dedup": op8_line_dedup,
         "op9_topk": op9_topk,
