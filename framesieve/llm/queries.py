@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, html_text, line_dedup, mixing, near_dedup, quality, topk, url_filter
-from .common import table
+from . import bpe, fingerprint, html_text, line_dedup, mixing, near_dedup, quality, sharding, topk, url_filter
+from .common import scratch, table
 
 
 def held_out(id_column: str = "doc_id"):
@@ -49,6 +49,18 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents arrive in two halves by hash; the shard of every document after compaction to 32 MB files."""
+    docs = table(spark, sf_dir, "documents")
+    store = sharding.ShardStore(spark, scratch(spark, "shards"), target=32 << 20, arrival_rows=2000)
+    for half in (0, 1):
+        store.append(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == half))
+        store.compact()
+    rows = store.read(shard_column="shard")
+    version = store.manifest().version
+    return rows.select("doc_id", "n_chars", F.sha2("text", 256).alias("text_sha256"), "shard", F.lit(version).alias("version"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.weighted_fair_mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -74,6 +86,7 @@ def queries() -> dict:
         "op3_fingerprint": op3_fingerprint,
         "op4_bpe": op4_bpe,
         "op5_html": op5_html,
+        "op6_sharding": op6_sharding,
         "op7_mixing": op7_mixing,
         "op8_line_dedup": op8_line_dedup,
         "op9_topk": op9_topk,
