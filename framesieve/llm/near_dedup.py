@@ -88,44 +88,58 @@ def _sketches(k: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(k)
         for batch in batches:
-            n, digests, keys, marks = [], [], [], []
+            n, digests, keys = [], [], []
             for text in batch.column(1):
                 items = shingles(text.as_py())
                 n.append(len(items))
                 digests.append(xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None)
-                if len(items):
-                    sketch = fast_sketch(items, bands * rows)
-                    keys.append(_band_keys(sketch, bands, rows))
-                    marks.append(_mix(sketch).astype(np.uint8).tobytes())
-                else:
-                    keys.append(None)
-                    marks.append(None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(marks, pa.binary())], names=["id", "n", "digest", "bands", "marks"])
+                keys.append(_band_keys(fast_sketch(items, bands * rows), bands, rows) if len(items) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "n", "digest", "bands"])
 
     return run
 
 
+def similar(both: int, n: int, m: int, percent: int) -> bool:
+    """Whether two sets of n and m items with ``both`` in common reach the similarity, in 1/10000."""
+    return 10_000 * both >= percent * (n + m - both)
+
+
+def needed_in_common(differing: int, n_centre: int, n: int, similarity: float) -> int:
+    """How many items of D(y) every similar x, itself not similar to the centre, has in D(x); see near_duplicates."""
+    kappa = (1 - similarity) / (1 + similarity)
+    return max(1, math.floor((differing + kappa * (n_centre - n)) / 2 - 1e-9) + 1)
+
+
+_PAIR = "a long, b long, n long, linked boolean, size long, prefix int, items array<bigint>"
+
+
 def _verify(k: int, similarity: float):
-    """Keeps the pairs (a, ta, b, tb) whose full shingle sets are similar enough; a's set is kept while a repeats."""
+    """Compares the full shingle sets of pairs (a, ta, b, tb), and gives b's difference from a in a fixed order.
+
+    The order is b's additions by hash, then its omissions (hashed anew). Linked rows give the prefix that a similar text
+    must touch, others all of it. a's set is kept while a repeats.
+    """
     percent = round(similarity * 10_000)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(k)
         sets: dict[int, np.ndarray] = {}
         for batch in batches:
-            a, b = [], []
+            out: list[tuple] = []
             for ia, ta, ib, tb in zip(*(batch.column(i) for i in range(4)), strict=True):
-                ia, ib = ia.as_py(), ib.as_py()
+                ia = ia.as_py()
                 if ia not in sets:
                     if len(sets) > 64:
                         sets.clear()
                     sets[ia] = shingles(ta.as_py())
                 one, two = sets[ia], shingles(tb.as_py())
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                if 10_000 * both >= percent * (len(one) + len(two) - both):
-                    a.append(ia)
-                    b.append(ib)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                added, left_out = np.setdiff1d(two, one, assume_unique=True), np.setdiff1d(one, two, assume_unique=True)
+                linked = similar(len(two) - len(added), len(one), len(two), percent)
+                items = np.concatenate([added, np.sort(_mix(left_out + _A))])
+                prefix = max(0, len(items) - needed_in_common(len(items), len(one), len(two), similarity) + 1)
+                out.append((ia, ib.as_py(), len(two), linked, len(items), prefix, items[: prefix if linked else len(items)].view(np.int64)))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["a", "b", "n", "linked", "size", "prefix", "items"])
 
     return run
 
@@ -166,54 +180,53 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: str = "
     rows with that id. Rows that repeat an id are one class if their texts are; ids must not be null (such rows link with
     nothing and keep a null component). An empty table gives no rows.
 
-    Candidates come from bands of a fast similarity sketch. Every class meets the first class of each of its bands, and
-    pairs that hold are joined into components. Only bands that still hold several components are looked at again: there
-    every class meets the classes of other components, unless sizes or the sketches (more than six standard deviations
-    below the threshold) rule the pair out. After that every two classes of one band are in one component, proven
-    unlike, or ruled out. No cap is set on a band.
+    Candidates come from bands of a fast similarity sketch. Every class meets the first class of each of its bands, the
+    centre, and similar pairs are links. For the other pairs of a band let D(x) be the items by which x differs from the
+    centre c. Then x and y differ by D(x) and D(y) without what these share, and similarity s means that they differ by
+    at most (1 - s) / (1 + s) of their sizes' sum. Unless both are linked to c already, one of them, x, is not, which
+    bounds |D(x)| from below, so x and y must share at least ``needed_in_common`` items of D(y), and D(x) must hold one of
+    D(y)'s first |D(y)| - needed + 1 items in any fixed order. A join on (centre, item) therefore finds every link that
+    the bands hold, with no pair of a group emitted for being in it; position and size rule out most of what it meets.
+    No cap is set on a band.
     """
     bands, rows = banding(similarity, miss)
     slim = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
-    sketched = cut(slim.mapInArrow(_sketches(k, bands, rows), "id long, n long, digest binary, bands array<bigint>, marks binary"), "near-sketches")
-    classes = sketched.where("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest", "n").agg(F.min("id").alias("rep"))
-    classes = cut(classes, "near-classes")
-    # a class's bands are those of its representative row; equal rows of one id collapse
-    heads = sketched.where("digest IS NOT NULL").join(classes.select("digest", "rep").withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("id") == F.col("rep")))
-    heads = heads.select("rep", "n", "marks", "bands").dropDuplicates(["rep", "n"])
-    keyed = cut(heads.select("rep", "n", "marks", F.explode("bands").alias("band")), "near-bands")
-    firsts = cut(keyed.groupBy("band").agg(F.min("rep").alias("first"), F.count("*").alias("n_in")).where("n_in > 1").select(F.col("band").alias("key"), "first"), "near-firsts")
-    pairs = keyed.select("band", "rep").join(firsts, _same("band", "key")).where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
+    sketched = cut(slim.mapInArrow(_sketches(k, bands, rows), "id long, n long, digest binary, bands array<bigint>"), "near-sketches")
+    known = sketched.where("digest IS NOT NULL AND id IS NOT NULL")
+    classes = cut(known.groupBy("digest").agg(F.min("id").alias("rep")), "near-classes")
+    heads = known.join(classes.select(F.col("digest").alias("d"), "rep"), _same("digest", "d") & _same("id", "rep"))
+    keyed = cut(heads.select("rep", F.explode("bands").alias("band")).distinct(), "near-bands")
+    firsts = keyed.groupBy("band").agg(F.min("rep").alias("first"), F.count("*").alias("n_in")).where("n_in > 1")
+    firsts = cut(firsts.select(F.col("band").alias("key"), "first"), "near-firsts")
+    pairs = keyed.join(firsts, _same("band", "key")).where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
     texts = slim.select(F.col("id").alias("tid"), "text").where("tid IS NOT NULL AND text IS NOT NULL")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """The pairs of representatives whose sets are similar enough."""
+    def compared(pairs: DataFrame) -> DataFrame:
+        """The pairs of representatives with what ``_verify`` says of them."""
         pairs = cut(pairs, "near-pairs")
         left = pairs.join(texts, _same("b", "tid")).select("a", "b", F.col("text").alias("tb"))
         right = texts.select(F.col("tid").alias("aid"), F.col("text").alias("ta"))
         met = left.join(right, _same("a", "aid")).select("a", "ta", "b", "tb")
-        return cut(met.mapInArrow(_verify(k, similarity), "a long, b long"), "near-edges")
+        return cut(met.mapInArrow(_verify(k, similarity), _PAIR), "near-compared")
 
-    edges = confirmed(pairs)
-    least_equal = similarity - 6.5 * math.sqrt(similarity * (1 - similarity) / (bands * rows))
+    stars = compared(pairs)
+    edges = stars.where("linked").select("a", "b")
     part = cut(components(edges), "near-parts")
-    labelled = keyed.join(part, _same("rep", "node"), "left").select("band", "rep", "n", "marks", F.coalesce("component", "rep").alias("part"))
-    labelled = cut(labelled, "near-labelled")
-    split = labelled.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select(F.col("band").alias("key"))
-    open_ = cut(labelled.join(cut(split, "near-split"), _same("band", "key"), "left_semi"), "near-open")
-    other = open_.select(F.col("band").alias("key"), F.col("rep").alias("b"), F.col("n").alias("m"), F.col("marks").alias("other"), F.col("part").alias("part_b"))
-    fits = (F.col("part") < F.col("part_b")) & (F.least("n", "m") >= F.lit(similarity) * F.greatest("n", "m"))
-    met = open_.join(other, _same("band", "key") & fits).select(F.col("rep").alias("a"), "b", "marks", "other")
-    met = met.where(_equal_share(F.col("marks"), F.col("other"), bands * rows) >= least_equal).select("a", "b").distinct()
-    more = confirmed(met)
+    kappa = (1 - similarity) / (1 + similarity)
+    x = stars.where("NOT linked").select(F.col("a").alias("c"), F.col("b").alias("x"), F.col("n").alias("nx"), F.col("size").alias("dx"), F.posexplode("items").alias("q", "i"))
+    y = stars.where("prefix > 0").select(F.col("a").alias("cy"), F.col("b").alias("y"), F.col("n").alias("ny"), F.col("size").alias("dy"), F.posexplode(F.slice("items", F.lit(1), F.col("prefix"))).alias("p", "j"))
+    # positions count from 0: what can still be shared from here on
+    most = F.least(F.col("dx") - F.col("q"), F.col("dy") - F.col("p"))
+    enough = 2 * most >= F.col("dx") + F.col("dy") - F.lit(kappa) * (F.col("nx") + F.col("ny")) - F.lit(1e-6)
+    fits = (F.col("x") != F.col("y")) & enough & (F.least("nx", "ny") >= F.lit(similarity - 1e-9) * F.greatest("nx", "ny"))
+    met = x.join(y, _same("c", "cy") & _same("i", "j") & fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    for end in ("a", "b"):  # links inside a component change nothing
+        met = met.join(part.select(F.col("node").alias("__node"), F.col("component").alias(f"part_{end}")), _same(end, "__node"), "left").drop("__node")
+    met = met.where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
+    more = compared(met).where("linked").select("a", "b")
     if not more.isEmpty():
         part = cut(components(edges.unionAll(more)), "near-parts")
     joined = sketched.select("id", "n", "digest").join(classes.select(F.col("digest").alias("d"), "rep"), _same("digest", "d"), "left")
     joined = joined.join(part, _same("rep", "node"), "left")
     component = F.coalesce("component", "rep", "id")
     return joined.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
-
-
-def _equal_share(a, b, size: int):
-    """Share of equal bytes of two sketches' marks, by JVM functions: the zero bytes of their difference."""
-    pairs = F.arrays_zip(F.split(F.hex(a), "(?<=\\G..)"), F.split(F.hex(b), "(?<=\\G..)"))
-    return F.size(F.filter(pairs, lambda p: p["0"] == p["1"])) / F.lit(size)
