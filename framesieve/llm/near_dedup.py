@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -114,10 +115,9 @@ _PAIR = "a long, b long, n long, linked boolean, size long, prefix int, items ar
 
 
 def _verify(k: int, similarity: float):
-    """Compares the full shingle sets of pairs (a, ta, b, tb), and gives b's difference from a in a fixed order.
+    """Compares the full shingle sets of pairs (a, ta, b, tb), and gives the items by which b differs from a.
 
-    The order is b's additions by hash, then its omissions (hashed anew). Linked rows give the prefix that a similar text
-    must touch, others all of it. a's set is kept while a repeats.
+    These are b's additions and, hashed anew, its omissions. a's set is kept while a repeats.
     """
     percent = round(similarity * 10_000)
 
@@ -135,9 +135,9 @@ def _verify(k: int, similarity: float):
                 one, two = sets[ia], shingles(tb.as_py())
                 added, left_out = np.setdiff1d(two, one, assume_unique=True), np.setdiff1d(one, two, assume_unique=True)
                 linked = similar(len(two) - len(added), len(one), len(two), percent)
-                items = np.concatenate([added, np.sort(_mix(left_out + _A))])
+                items = np.concatenate([added, _mix(left_out + _A)])
                 prefix = max(0, len(items) - needed_in_common(len(items), len(one), len(two), similarity) + 1)
-                out.append((ia, ib.as_py(), len(two), linked, len(items), prefix, items[: prefix if linked else len(items)].view(np.int64)))
+                out.append((ia, ib.as_py(), len(two), linked, len(items), prefix, items.view(np.int64)))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["a", "b", "n", "linked", "size", "prefix", "items"])
 
@@ -185,8 +185,9 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: str = "
     centre c. Then x and y differ by D(x) and D(y) without what these share, and similarity s means that they differ by
     at most (1 - s) / (1 + s) of their sizes' sum. Unless both are linked to c already, one of them, x, is not, which
     bounds |D(x)| from below, so x and y must share at least ``needed_in_common`` items of D(y), and D(x) must hold one of
-    D(y)'s first |D(y)| - needed + 1 items in any fixed order. A join on (centre, item) therefore finds every link that
-    the bands hold, with no pair of a group emitted for being in it; position and size rule out most of what it meets.
+    D(y)'s first |D(y)| - needed + 1 items in any fixed order; rare items come first. A join on (centre, item) therefore
+    finds every link that the bands hold, with no pair of a group emitted for being in it; position and size rule out
+    most of what it meets.
     No cap is set on a band.
     """
     bands, rows = banding(similarity, miss)
@@ -199,11 +200,14 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: str = "
     firsts = keyed.groupBy("band").agg(F.min("rep").alias("first"), F.count("*").alias("n_in")).where("n_in > 1")
     firsts = cut(firsts.select(F.col("band").alias("key"), "first"), "near-firsts")
     pairs = keyed.join(firsts, _same("band", "key")).where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
+    pairs = cut(pairs, "near-pairs")
+    # whole texts move once, and only those of some pair go on; later pairs are among the same representatives
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct()
     texts = slim.select(F.col("id").alias("tid"), "text").where("tid IS NOT NULL AND text IS NOT NULL")
+    texts = cut(texts.join(cut(wanted, "near-wanted"), _same("tid", "w"), "left_semi"), "near-texts")
 
     def compared(pairs: DataFrame) -> DataFrame:
         """The pairs of representatives with what ``_verify`` says of them."""
-        pairs = cut(pairs, "near-pairs")
         left = pairs.join(texts, _same("b", "tid")).select("a", "b", F.col("text").alias("tb"))
         right = texts.select(F.col("tid").alias("aid"), F.col("text").alias("ta"))
         met = left.join(right, _same("a", "aid")).select("a", "ta", "b", "tb")
@@ -213,8 +217,16 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: str = "
     edges = stars.where("linked").select("a", "b")
     part = cut(components(edges), "near-parts")
     kappa = (1 - similarity) / (1 + similarity)
-    x = stars.where("NOT linked").select(F.col("a").alias("c"), F.col("b").alias("x"), F.col("n").alias("nx"), F.col("size").alias("dx"), F.posexplode("items").alias("q", "i"))
-    y = stars.where("prefix > 0").select(F.col("a").alias("cy"), F.col("b").alias("y"), F.col("n").alias("ny"), F.col("size").alias("dy"), F.posexplode(F.slice("items", F.lit(1), F.col("prefix"))).alias("p", "j"))
+    # groups without an unlinked row have nothing to find
+    open_ = stars.where("NOT linked").select(F.col("a").alias("__a")).distinct()
+    items = stars.join(open_, _same("a", "__a"), "left_semi").select("a", "b", "n", "linked", "size", "prefix", F.explode("items").alias("i"))
+    items = cut(items, "near-items")
+    often = items.groupBy(F.col("a").alias("oa"), F.col("i").alias("oi")).agg(F.count("*").alias("df")).where("df > 1")
+    ranked = items.join(cut(often, "near-often"), _same("a", "oa") & _same("i", "oi"), "left").withColumn("df", F.coalesce("df", F.lit(1)))
+    place = F.row_number().over(W.partitionBy("a", "b").orderBy("df", "i")) - 1
+    ranked = cut(ranked.withColumn("at", place).where("df > 1"), "near-ranked")
+    x = ranked.where("NOT linked").select(F.col("a").alias("c"), F.col("b").alias("x"), F.col("n").alias("nx"), F.col("size").alias("dx"), F.col("at").alias("q"), "i")
+    y = ranked.where("at < prefix").select(F.col("a").alias("cy"), F.col("b").alias("y"), F.col("n").alias("ny"), F.col("size").alias("dy"), F.col("at").alias("p"), F.col("i").alias("j"))
     # positions count from 0: what can still be shared from here on
     most = F.least(F.col("dx") - F.col("q"), F.col("dy") - F.col("p"))
     enough = 2 * most >= F.col("dx") + F.col("dy") - F.lit(kappa) * (F.col("nx") + F.col("ny")) - F.lit(1e-6)
@@ -223,7 +235,7 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: str = "
     for end in ("a", "b"):  # links inside a component change nothing
         met = met.join(part.select(F.col("node").alias("__node"), F.col("component").alias(f"part_{end}")), _same(end, "__node"), "left").drop("__node")
     met = met.where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
-    more = compared(met).where("linked").select("a", "b")
+    more = compared(cut(met, "near-more")).where("linked").select("a", "b")
     if not more.isEmpty():
         part = cut(components(edges.unionAll(more)), "near-parts")
     joined = sketched.select("id", "n", "digest").join(classes.select(F.col("digest").alias("d"), "rep"), _same("digest", "d"), "left")
