@@ -13,8 +13,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-#: Words that one recursive query takes, ids that one aggregation takes, words remembered between batches.
-WORDS, IDS, REMEMBERED = 40_000, 400_000, 500_000
+#: Words that one recursive query takes, ids that one aggregation takes, characters that are split at once, and words in a
+#: generation of the memory: words that go on being used move to the next one, the others are forgotten.
+WORDS, IDS, CHARACTERS, GENERATION = 20_000, 250_000, 2_000_000, 100_000
 #: Longer words (in bytes) merge on a heap: a recursive query would need as many rounds as they have bytes.
 LONG_WORD = 256
 
@@ -61,9 +62,10 @@ class Coder:
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(None, ranks.split(b"\n")))}
         self.pattern = regex.compile(pattern)
         self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.known: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         merges = [(a, b, rank) for token, rank in self.ranks.items() for i in range(1, len(token)) if (a := self.ranks.get(token[:i])) is not None and (b := self.ranks.get(token[i:])) is not None]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
         table = pa.table(dict(zip("abm", (pa.array(c, pa.int32()) for c in zip(*merges, strict=True)), strict=True)) if merges else {c: pa.array([], pa.int32()) for c in "abm"})
         self.db.register("given", table)
         self.db.execute("CREATE TABLE merges AS SELECT a, b, m AS merged FROM given")
@@ -75,21 +77,29 @@ class Coder:
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """Packed ids of each text; null texts count as empty."""
         split = [self.pattern.findall(t) if t else [] for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        fresh = list({w for words in split for w in words if w not in known})
+        known: dict[str, bytes] = {}
+        fresh = []
+        for word in set().union(*split):
+            found = self.young.get(word) or self.old.get(word)
+            if found is None:
+                fresh.append(word)
+            else:
+                known[word] = found
         for at in range(0, len(fresh), WORDS):
-            self._learn(fresh[at : at + WORDS])
+            known.update(self._learn(fresh[at : at + WORDS]))
+        self.young.update(known)
+        if len(self.young) > GENERATION:
+            self.old, self.young = self.young, {}
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        known: dict[str, bytes] = {}
         data = [w.encode("utf-8", "surrogatepass") for w in words]
         short = [i for i, d in enumerate(data) if len(d) <= LONG_WORD]
         for i in set(range(len(data))) - set(short):
-            self.known[words[i]] = np.array(self._merge_long(data[i]), "<u4").tobytes()
+            known[words[i]] = np.array(self._merge_long(data[i]), "<u4").tobytes()
         if not short:
-            return
+            return known
         size = np.array([len(data[i]) for i in short])
         ids = self.bytes[np.frombuffer(b"".join(data[i] for i in short), np.uint8)]
         end = np.cumsum(size)
@@ -102,7 +112,8 @@ class Coder:
         lists = found.column("ids").combine_chunks()
         flat, edges = lists.flatten().to_numpy().astype("<u4"), lists.offsets.to_numpy() - lists.offsets[0].as_py()
         for row, word in enumerate(found.column("word").to_pylist()):
-            self.known[words[short[word]]] = flat[edges[row] : edges[row + 1]].tobytes()
+            known[words[short[word]]] = flat[edges[row] : edges[row + 1]].tobytes()
+        return known
 
     def _merge_long(self, word: bytes) -> list[int]:
         """The same merges, leftmost smallest rank first, over a linked list and a heap."""
@@ -188,7 +199,7 @@ def _mapped(df: DataFrame, source: str, added: list[str], work, ranks: bytes, pa
         tool = coder(ranks, pattern)
         for batch in batches:
             done: list[list[bytes]] = [[] for _ in added]
-            for group in _groups(batch.column(at).to_pylist(), 4_000_000):
+            for group in _groups(batch.column(at).to_pylist(), CHARACTERS):
                 for column, values in zip(done, work(tool, group), strict=True):
                     column.extend(values)
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, pa.binary()) for c in done]], names=[*names, *added])
