@@ -14,6 +14,10 @@ from pyspark.sql.types import StructType
 from .common import filesystem, remove
 
 
+#: Up to so many shards (some 10 MB of names) their ids are broadcast to the rows; beyond, both are shuffled.
+BROADCAST_SHARDS = 100_000
+
+
 class CommitConflict(RuntimeError):
     """Another writer committed the version first; read the manifest again and retry."""
 
@@ -175,5 +179,6 @@ class ShardStore:
             return rows
         # file names carry a task's number and a write's own id, so they tell shards apart
         names = self.spark.createDataFrame([(s.path.rsplit("/", 1)[1], s.id) for s in found.shards], "__file string, __shard string")
+        names = F.broadcast(names) if len(found.shards) <= BROADCAST_SHARDS else names
         rows = rows.withColumn("__file", F.col("_metadata.file_name")).join(names, "__file", "left")
         return rows.withColumn(shard_column, F.col("__shard")).drop("__file", "__shard")
