@@ -1,0 +1,482 @@
+"""NumPy kernels of one image: components, region proposals, suppression, motion, warping, overlays.
+
+They run inside Arrow batches (see scoring.py). What a Column can say is in functions/maps.py instead.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+import numpy as np
+
+
+def label_components(mask: np.ndarray) -> tuple[np.ndarray, int]:
+    """8-connected labels from 1 in scan order of each component's first pixel, and their number.
+
+    Minimum labels spread along rows and columns by scans, then pointers jump, until nothing changes.
+    """
+    h, w = mask.shape
+    big = h * w
+    label = np.where(mask, np.arange(big).reshape(h, w), big)
+    while True:
+        padded = np.pad(label, 1, constant_values=big)
+        least = label
+        for dy in (0, 1, 2):
+            for dx in (0, 1, 2):
+                least = np.minimum(least, padded[dy : dy + h, dx : dx + w])
+        least = np.where(mask, least, big)
+        flat = np.append(least.ravel(), big)
+        jumped = flat[flat][:-1].reshape(h, w)
+        if np.array_equal(jumped, label):
+            break
+        label = jumped
+    roots = np.unique(label[mask])
+    out = np.zeros((h, w), np.int64)
+    out[mask] = np.searchsorted(roots, label[mask]) + 1
+    return out, len(roots)
+
+
+@dataclass
+class Component:
+    x0: int
+    y0: int
+    x1: int
+    y1: int
+    area: int
+    total: float
+    peak: float
+    perimeter: float
+
+
+def components(mask: np.ndarray, values: np.ndarray) -> list[Component]:
+    """Bounding box, area, sum, peak and boundary length of every 8-connected component."""
+    labels, n = label_components(mask)
+    if not n:
+        return []
+    ys, xs = np.nonzero(labels)
+    at = labels[ys, xs] - 1
+    area = np.bincount(at, minlength=n)
+    total = np.bincount(at, values[ys, xs].astype(np.float64), minlength=n)
+    ends = {}
+    for name, v, f, start in (("x0", xs, np.minimum, 10**9), ("y0", ys, np.minimum, 10**9), ("x1", xs, np.maximum, -1), ("y1", ys, np.maximum, -1)):
+        ends[name] = np.full(n, start)
+        f.at(ends[name], at, v)
+    peak = np.full(n, -np.inf)
+    np.maximum.at(peak, at, values[ys, xs])
+    shared = np.zeros(n, np.int64)
+    for a, b in ((labels[:, :-1], labels[:, 1:]), (labels[:-1], labels[1:])):
+        shared += np.bincount(a[(a == b) & (a > 0)] - 1, minlength=n)
+    return [Component(int(ends["x0"][i]), int(ends["y0"][i]), int(ends["x1"][i]) + 1, int(ends["y1"][i]) + 1, int(area[i]), float(total[i]), float(peak[i]), float(4 * area[i] - 2 * shared[i])) for i in range(n)]
+
+
+def edge_endpoints(edges: np.ndarray, threshold: float) -> int:
+    """Edge pixels with at most one edge among their eight neighbours."""
+    on = edges >= threshold
+    padded = np.pad(on.astype(np.int32), 1)
+    h, w = on.shape
+    near = sum(padded[dy : dy + h, dx : dx + w] for dy in range(3) for dx in range(3)) - on
+    return int((on & (near <= 1)).sum())
+
+
+def island_count(edges: np.ndarray, threshold: float) -> int:
+    return label_components(edges >= threshold)[1]
+
+
+def top_mean(a: np.ndarray, fraction: float) -> float:
+    flat = np.asarray(a, np.float32).ravel()
+    if not flat.size:
+        return 0.0
+    n = max(1, int(np.ceil(flat.size * fraction)))
+    return float(flat.mean() if n >= flat.size else np.partition(flat, flat.size - n)[flat.size - n :].mean())
+
+
+def robust_score(a: np.ndarray) -> float:
+    a = np.asarray(a, np.float32)
+    if not a.size:
+        return 0.0
+    return float(np.clip(max(float(a.mean()), 0.90 * top_mean(a, 0.10), 0.95 * top_mean(a, 0.01), 0.85 * float(a.max())), 0, 1))
+
+
+def luminance(rgb: np.ndarray) -> np.ndarray:
+    return (rgb.astype(np.float32) @ np.array([0.2126, 0.7152, 0.0722], np.float32)).astype(np.float32)
+
+
+def sobel(luma: np.ndarray) -> np.ndarray:
+    p = np.pad(luma.astype(np.float32), 1, mode="edge")
+    smooth_y = p[:-2] + 2 * p[1:-1] + p[2:]
+    smooth_x = p[:, :-2] + 2 * p[:, 1:-1] + p[:, 2:]
+    gx, gy = smooth_y[:, 2:] - smooth_y[:, :-2], smooth_x[2:] - smooth_x[:-2]
+    return np.clip(np.hypot(gx, gy) / 4, 0, 1).astype(np.float32)
+
+
+def error_maps(prediction: np.ndarray, truth: np.ndarray) -> dict[str, np.ndarray]:
+    """rgb, luminance, both Sobel maps, one-sided edges, edge, and structure of two HxWx3 images in [0, 1]."""
+    rgb = np.abs(prediction - truth).mean(axis=-1).astype(np.float32)
+    lp, lt = luminance(prediction), luminance(truth)
+    ep, et = sobel(lp), sobel(lt)
+    gt_only, pred_only = np.maximum(et - ep, 0), np.maximum(ep - et, 0)
+    edge = np.maximum(gt_only, pred_only)
+    luma = np.abs(lp - lt)
+    return {"rgb": rgb, "luminance": luma, "sobel_gt": et, "sobel_prediction": ep, "gt_only_edge": gt_only, "pred_only_edge": pred_only, "edge": edge, "structure": np.maximum(np.maximum(rgb, luma), np.clip(1.25 * edge, 0, 1))}
+
+
+def window_grid(values: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
+    """(means, ys, xs, height, width) of windows at half-size steps, clipped to the image, the last flush with its end."""
+    from ..functions.maps import window_starts
+
+    h, w = values.shape
+    sy, sx = min(max(1, window), h), min(max(1, window), w)
+    summed = np.pad(values.astype(np.float64).cumsum(0).cumsum(1), ((1, 0), (1, 0)))
+    ys, xs = np.array(window_starts(h, sy)), np.array(window_starts(w, sx))
+    corner = lambda y, x: summed[np.ix_(y, x)]
+    means = (corner(ys + sy, xs + sx) - corner(ys, xs + sx) - corner(ys + sy, xs) + corner(ys, xs)) / (sy * sx)
+    return means.astype(np.float32), ys, xs, sy, sx
+
+
+@dataclass(frozen=True)
+class ScoringThresholds:
+    """Fixed default values of the region scorer."""
+
+    edge_threshold: float = 0.12
+    candidate_quantile: float = 0.96
+    min_region_pixels: int = 9
+    max_regions: int = 8
+    window_sizes: tuple[int, ...] = (16, 32, 64, 128)
+    window_threshold: float | None = None
+    small_peak: float = 0.50
+    small_pixels: int = 2
+    padding: int = 2
+    top_fractions: tuple[float, ...] = (0.0001, 0.0005, 0.001, 0.005, 0.01)
+    ui_border: float = 0.20
+    ui_min_overlap: float = 0.50
+    ui_static: float = 0.08
+    ui_edge: float = 0.12
+    ui_density: float = 0.12
+    ui_floor: float = 0.35
+    ui_likelihood: float = 0.55
+    reserve: int = 1
+
+    @property
+    def window_at(self) -> float:
+        return max(0.10, 0.75 * self.edge_threshold) if self.window_threshold is None else self.window_threshold
+
+
+@dataclass
+class Region:
+    """A half-open box with its score and measurements."""
+
+    box: tuple[int, int, int, int]
+    score: float
+    native: bool
+    metrics: dict[str, float] = field(default_factory=dict)
+    ui: float = 0.0
+    weight: float = 1.0
+    area_fraction: float = 1.0
+
+
+def _region(values: np.ndarray, box: tuple[int, int, int, int], native: bool, **metrics: float) -> Region:
+    x0, y0, x1, y1 = box
+    crop = values[y0:y1, x0:x1]
+    stats = {"local_mean": float(crop.mean()), "local_max": float(crop.max()), **{f"local_q{n}": float(np.quantile(crop, q)) for n, q in (("95", 0.95), ("99", 0.99), ("999", 0.999))}, **{f"local_top_{p}pct_mean": top_mean(crop, p / 100) for p in (1, 5, 10)}}
+    return Region(box, robust_score(crop), native, stats | {"area": float((x1 - x0) * (y1 - y0)), "source_native": float(native)} | metrics)
+
+
+def border_overlap(box, shape, fraction: float) -> float:
+    """Share of a box in the outer bands."""
+    (x0, y0, x1, y1), (h, w) = box, shape
+    bx, by = int(np.ceil(w * fraction)), int(np.ceil(h * fraction))
+    inner = max(0, min(x1, max(bx, w - bx)) - max(x0, bx)) * max(0, min(y1, max(by, h - by)) - max(y0, by))
+    return float(np.clip(1 - inner / max(1, (x1 - x0) * (y1 - y0)), 0, 1))
+
+
+def weigh(region: Region, gt_edges: np.ndarray | None, change: np.ndarray | None, t: ScoringThresholds) -> None:
+    """Sets the overlay likelihood and priority of a region where both maps are known."""
+    m = {k: 0.0 for k in ("ui_context_available", "border_overlap", "border_likelihood", "endpoint_static_likelihood", "gt_edge_density", "gt_edge_density_likelihood", "ui_likelihood")}
+    m |= {"endpoint_change_mean": -1.0, "endpoint_change_q90": -1.0, "region_area_fraction": -1.0, "priority_weight": 1.0}
+    region.area_fraction = -1.0
+    if gt_edges is not None and change is not None:
+        x0, y0, x1, y1 = region.box
+        moved, edge = change[y0:y1, x0:x1], gt_edges[y0:y1, x0:x1]
+        over = border_overlap(region.box, gt_edges.shape, t.ui_border)
+        border = float(np.clip((over - t.ui_min_overlap) / (1 - t.ui_min_overlap), 0, 1))
+        average, q90 = float(moved.mean()), float(np.quantile(moved, 0.9))
+        static = float(np.clip(1 - (0.6 * average + 0.4 * q90) / max(t.ui_static, 1e-6), 0, 1))
+        dense = float((edge >= t.ui_edge).mean())
+        likely = float(np.clip(dense / max(t.ui_density, 1e-6), 0, 1))
+        region.ui = float(np.clip(border * static * likely, 0, 1))
+        region.weight = 1 - region.ui * (1 - t.ui_floor)
+        region.area_fraction = (x1 - x0) * (y1 - y0) / max(1, gt_edges.size)
+        m |= {"ui_context_available": 1.0, "border_overlap": over, "border_likelihood": border, "endpoint_change_mean": average, "endpoint_change_q90": q90, "endpoint_static_likelihood": static, "gt_edge_density": dense, "gt_edge_density_likelihood": likely, "region_area_fraction": region.area_fraction, "ui_likelihood": region.ui, "priority_weight": region.weight}
+    region.metrics |= m | {"priority_score": region.score * region.weight}
+
+
+def overlap(a, b) -> tuple[float, float]:
+    """(intersection over union, intersection over the smaller area) of two boxes."""
+    both = max(0, min(a[2], b[2]) - max(a[0], b[0])) * max(0, min(a[3], b[3]) - max(a[1], b[1]))
+    sizes = [(r[2] - r[0]) * (r[3] - r[1]) for r in (a, b)]
+    union = sum(sizes) - both
+    return (both / union if union else 0.0), (both / min(sizes) if both else 0.0)
+
+
+def suppress(regions: list[Region], limit: int, reserve: int, ui_threshold: float) -> list[Region]:
+    """Greedy choice: natives first, then by priority; boxes that overlap a chosen one are left out.
+
+    The first ``reserve`` places go to regions that don't look like overlays, natives before compact windows of full
+    priority. A limit of 0 or less means none.
+    """
+    ranked = sorted(regions, key=lambda r: (not r.native, -(r.score * r.weight), -r.weight, -r.score, r.box[1], r.box[0], r.box[3], r.box[2]))
+    chosen: list[Region] = []
+
+    def take(r: Region) -> bool:
+        if any(r is c for c in chosen) or any(i >= 0.5 or c >= 0.85 for i, c in (overlap(r.box, k.box) for k in chosen)):
+            return False
+        chosen.append(r)
+        return True
+
+    if limit > 0:
+        for native in (True, False):
+            for r in ranked:
+                if len(chosen) >= min(max(0, reserve), limit):
+                    break
+                plain = r.native or (r.weight >= 0.95 and r.area_fraction <= 0.35)
+                if r.native == native and r.ui < ui_threshold and plain:
+                    take(r)
+    for r in ranked:
+        if 0 < limit <= len(chosen):
+            break
+        take(r)
+    return chosen
+
+
+def propose(values: np.ndarray, t: ScoringThresholds, support: np.ndarray | None = None) -> list[Region]:
+    """Native components above adaptive thresholds, then components of the window grids."""
+    h, w = values.shape
+    if not values.size or float(values.max()) <= 0:
+        return []
+    at = max(t.edge_threshold, float(np.quantile(values, t.candidate_quantile)))
+    mask, lowest = values >= at, at
+    bx, by = int(np.ceil(w * t.ui_border)), int(np.ceil(h * t.ui_border))
+    core = (slice(by, max(by, h - by)), slice(bx, max(bx, w - bx)))
+    if values[core].size:
+        inner = max(t.edge_threshold, float(np.quantile(values[core], t.candidate_quantile)))
+        lowest = min(lowest, inner)
+        mask[core] |= values[core] >= inner
+    found = []
+    for c in components(mask, values):
+        backed = c.area if support is None else int((support[c.y0 : c.y1, c.x0 : c.x1] >= t.edge_threshold).sum())
+        small = c.area >= t.small_pixels and backed >= t.small_pixels and c.peak >= t.small_peak
+        if (support is not None and backed < t.small_pixels) or (c.area < t.min_region_pixels and not small):
+            continue
+        box = (max(0, c.x0 - t.padding), max(0, c.y0 - t.padding), min(w, c.x1 + t.padding), min(h, c.y1 + t.padding))
+        found.append(_region(values, box, True, component_area=float(c.area), component_mean=c.total / max(1, c.area), component_peak=c.peak, component_energy=c.total, component_boundary_length=c.perimeter, small_structure_exception=float(small), support_pixels=float(backed), candidate_threshold=lowest))
+    for size in dict.fromkeys(min(max(1, s), h, w) for s in t.window_sizes):
+        means, ys, xs, sy, sx = window_grid(values, size)
+        for c in components(means >= t.window_at, means):
+            box = (int(xs[c.x0]), int(ys[c.y0]), int(xs[c.x1 - 1]) + sx, int(ys[c.y1 - 1]) + sy)
+            found.append(_region(values, box, False, window_size=float(size), window_grid_peak=c.peak, window_grid_mean=c.total / max(1, c.area)))
+    return found
+
+
+def score(prediction: np.ndarray, truth: np.ndarray, t: ScoringThresholds = ScoringThresholds(), img0: np.ndarray | None = None, img1: np.ndarray | None = None) -> tuple[dict[str, np.ndarray], list[Region], dict[str, float]]:
+    """(maps, regions, metrics) of a prediction; metrics hold p_wrong and mining_p_wrong.
+
+    The endpoints only set priorities: raw wrongness is the same without them.
+    """
+    maps = error_maps(prediction, truth)
+    change = None if img0 is None or img1 is None else np.abs(img0 - img1).mean(axis=-1).astype(np.float32)
+    candidates = propose(maps["structure"], t, maps["rgb"])
+    raw = max((r.score for r in suppress(candidates, t.max_regions, 0, t.ui_likelihood)), default=0.0)
+    for r in candidates:
+        weigh(r, None if change is None else maps["sobel_gt"], change, t)
+    regions = suppress(candidates, t.max_regions, t.reserve, t.ui_likelihood)
+    from ..functions.maps import fraction_name
+
+    metrics: dict[str, float] = {}
+    for name in ("rgb", "luminance", "edge", "gt_only_edge", "pred_only_edge", "structure"):
+        flat = maps[name].ravel()
+        metrics |= {f"{name}_mean": float(flat.mean()), f"{name}_max": float(flat.max())}
+        metrics |= {f"{name}_{n}": float(np.quantile(flat, q)) for n, q in (("q95", 0.95), ("q99", 0.99), ("q999", 0.999))}
+        metrics |= {f"{name}_{fraction_name(f)}": top_mean(flat, f) for f in t.top_fractions}
+    windows = [0.0]
+    for size in t.window_sizes:
+        size = min(max(1, size), *maps["structure"].shape)
+        metrics[f"window_{size}_mean_max"] = float(window_grid(maps["structure"], size)[0].max())
+        windows.append(metrics[f"window_{size}_mean_max"])
+    tops = [metrics.get(f"structure_{n}", 0.0) for n in ("top_0_01pct_mean", "top_0_05pct_mean", "top_0_1pct_mean", "q999")]
+    wrong = float(np.clip(max(*tops, raw) if raw > 0 else max(metrics["structure_q99"], *windows), 0, 1))
+    mining = wrong
+    if regions and raw > 0:
+        mining = float(np.clip(wrong * np.clip(max(r.score * r.weight for r in regions) / max(raw, 1e-8), 0, 1), 0, 1))
+    metrics |= {"p_wrong": wrong, "mining_p_wrong": mining, "raw_region_local": raw, "region_count": float(len(regions)), "ui_context_available": float(change is not None), "max_ui_likelihood": max((r.ui for r in regions), default=0.0), "min_priority_weight": min((r.weight for r in regions), default=1.0)}
+    return maps, regions, metrics
+
+
+def overlay_score(difference: np.ndarray) -> float:
+    """How much a change map holds a dense band along one side of the image."""
+    threshold = max(0.08, 0.5 * float(np.quantile(difference, 0.75)))
+    on = difference >= threshold
+    best = 0.0
+    for turn in range(4):  # rows from the top after each quarter turn
+        m, d = np.rot90(on, turn), np.rot90(np.where(on, difference, 0.0), turn)
+        h, w = m.shape
+        if not m.any() or m[0].sum() / w < 0.35:
+            continue
+        size = np.arange(max(1, int(np.ceil(0.04 * h))), h + 1)
+        count, strength = m.sum(1).cumsum()[size - 1].astype(float), d.sum(1, dtype=np.float64).cumsum()[size - 1]
+        density, contrast = count / (size * w), strength / np.maximum(count, 1)
+        scores = 0.4 * np.clip((density - 0.45) / 0.55, 0, 1) + 0.4 * np.clip(count / on.size / 0.40, 0, 1) + 0.2 * np.clip((contrast - 0.08) / 0.32, 0, 1)
+        best = max(best, float(np.where((count > 0) & (density >= 0.45), scores, 0).max()))
+    return float(np.clip(best, 0, 1))
+
+
+def menu_score(first: np.ndarray, second: np.ndarray) -> float:
+    """Overlay score of the stronger of two changes, as far as only one of them has it."""
+    a, b = overlay_score(first), overlay_score(second)
+    if max(a, b) <= 0:
+        return 0.0
+    e0, e1 = float(first.mean()), float(second.mean())
+    return float(np.clip(max(a, b) * (0.6 * abs(a - b) / max(a, b) + 0.4 * abs(e0 - e1) / (e0 + e1 + 1e-8)), 0, 1))
+
+
+def histogram_distance(a: np.ndarray, b: np.ndarray, bins: int = 64) -> float:
+    counts = [np.histogram(m, bins, (0, 1))[0] / max(1, m.size) for m in (a, b)]
+    return float(0.5 * np.abs(counts[0] - counts[1]).sum())
+
+
+def repeat_distance(a: np.ndarray, b: np.ndarray) -> float:
+    gap = np.abs(a - b).ravel()
+    return float(max(gap.mean(), 0.10 * np.quantile(gap, 0.95), 0.05 * np.quantile(gap, 0.99))) if gap.size else 0.0
+
+
+def validity_metrics(img0: np.ndarray, truth: np.ndarray, img1: np.ndarray, contiguous: bool = True, menu: float | None = None) -> dict[str, object]:
+    a, b, c = luminance(img0), luminance(truth), luminance(img1)
+    d0, d1 = np.abs(a - b), np.abs(b - c)
+    m0, m1 = float(d0.mean()), float(d1.mean())
+    asymmetry = abs(m0 - m1) / (m0 + m1 + 1e-8)
+    jump = max(histogram_distance(a, b), histogram_distance(b, c))
+    return {"decode_ok": True, "finite": True, "sequence_contiguous": contiguous, "duplicate_distance": min(repeat_distance(a, b), repeat_distance(b, c)), "scene_cut_score": jump * (0.5 + 0.5 * asymmetry), "histogram_jump": jump, "temporal_asymmetry": asymmetry, "max_adjacent_difference": max(m0, m1), "menu_transition_score": menu_score(d0, d1) if menu is None else float(menu)}
+
+
+LARGE_MOTION = 0.08
+
+
+def flow_metrics(flow: np.ndarray) -> dict[str, object]:
+    """Motion of one HxWx2 field against the median motion of its border band."""
+    h, w = flow.shape[:2]
+    diagonal = max(1.0, float(np.hypot(h, w)))
+    y, x = np.mgrid[:h, :w]
+    sx, sy = x + flow[..., 0], y + flow[..., 1]
+    outside = (sx < 0) | (sx > w - 1) | (sy < 0) | (sy > h - 1)
+    steps = [np.linalg.norm(np.diff(flow, axis=axis), axis=-1) / diagonal for axis in (1, 0)]
+    band = max(1, min(h, w, round(min(h, w) * 0.10)))
+    edge = np.ones((h, w), bool)
+    edge[band : h - band, band : w - band] = False
+    background = np.median(flow[edge], axis=0)
+    residual = np.linalg.norm(flow - background, axis=-1) / diagonal
+    outside &= residual > LARGE_MOTION
+    return {"out_of_bounds": outside, "residual": residual, "out_of_bounds_ratio": float(outside.mean()), "flow_discontinuity_ratio": sum(int((s > 0.02).sum()) for s in steps) / max(1, sum(s.size for s in steps)), "background_motion": float(np.linalg.norm(background) / diagonal)}
+
+
+def scope_metrics(flow_t0: np.ndarray, flow_t1: np.ndarray | None = None, foreground: np.ndarray | None = None, occlusion: np.ndarray | None = None) -> dict[str, float | None]:
+    """Scope ratios of one or two flow fields; masks, where given, replace what is derived."""
+    flows = [f for f in (flow_t0, flow_t1) if f is not None]
+    each = [flow_metrics(f) for f in flows]
+    large = np.maximum.reduce([m["residual"] for m in each]) > LARGE_MOTION
+    inside = np.ones_like(large) if foreground is None else foreground > 0.5
+    hidden: float | None = None
+    if occlusion is not None:
+        hidden = float(np.clip(occlusion, 0, 1).mean())
+    elif len(flows) == 2:
+        apart = np.linalg.norm(flows[0] + flows[1], axis=-1) / max(1.0, float(np.hypot(*large.shape)))
+        hidden = float(((apart > LARGE_MOTION) | each[0]["out_of_bounds"] | each[1]["out_of_bounds"]).mean())
+    most = lambda k: max(m[k] for m in each)
+    return {"out_of_bounds_ratio": most("out_of_bounds_ratio"), "flow_discontinuity_ratio": most("flow_discontinuity_ratio"), "foreground_large_motion_ratio": float(large[inside].mean()) if inside.any() else 0.0, "occlusion_ratio": hidden, "unexplained_motion_ratio": float(large.mean()), "background_motion": most("background_motion")}
+
+
+def resize(a: np.ndarray, height: int, width: int, align_corners: bool = False) -> np.ndarray:
+    """Bilinear resize of HxW or HxWxC, pixel centres aligned (or corners)."""
+
+    def axis(n: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = np.arange(m) * ((n - 1) / (m - 1) if m > 1 else 0) if align_corners else np.clip((np.arange(m) + 0.5) * n / m - 0.5, 0, None)
+        low = np.minimum(np.floor(at).astype(int), n - 1)
+        return low, np.minimum(low + 1, n - 1), (at - low).astype(np.float32)
+
+    y0, y1, fy = axis(a.shape[0], height)
+    x0, x1, fx = axis(a.shape[1], width)
+    shape = (-1, 1) + (1,) * (a.ndim - 2)
+    rows = a[y0] * (1 - fy.reshape((-1, 1) + (1,) * (a.ndim - 2))) + a[y1] * fy.reshape((-1, 1) + (1,) * (a.ndim - 2))
+    fx = fx.reshape(shape)
+    return (rows[:, x0] * (1 - fx) + rows[:, x1] * fx).astype(np.float32)
+
+
+def resize_flow(flow: np.ndarray, height: int, width: int, network: tuple[int, int], align_corners: bool = False) -> np.ndarray:
+    """Resized flow in output pixels; its values are in pixels of the network's (height, width) input."""
+    return resize(flow, height, width, align_corners) * np.array([width / network[1], height / network[0]], np.float32)
+
+
+def backward_warp(image: np.ndarray, flow: np.ndarray, padding: str = "border", align_corners: bool = False) -> np.ndarray:
+    """The image sampled bilinearly at (x + dx, y + dy); outside it zeros, the border, or its reflection."""
+    if padding not in ("zeros", "border", "reflection"):
+        raise ValueError("padding must be zeros, border or reflection")
+    h, w = image.shape[:2]
+    y, x = np.mgrid[:h, :w].astype(np.float64)
+    at = [y + flow[..., 1], x + flow[..., 0]]
+    for i, n in enumerate((h, w)):
+        if align_corners and n == 1:
+            at[i] = np.zeros_like(at[i])
+        if padding == "reflection":
+            low, span = (0.0, n - 1.0) if align_corners else (-0.5, float(n))
+            if span > 0:
+                turned = np.mod(np.abs(at[i] - low), 2 * span)
+                at[i] = np.where(turned > span, 2 * span - turned, turned) + low
+            at[i] = np.clip(at[i], 0, n - 1)
+        elif padding == "border":
+            at[i] = np.clip(at[i], 0, n - 1)
+    floor = [np.floor(a).astype(int) for a in at]
+    out = np.zeros(image.shape, np.float64)
+    for dy in (0, 1):
+        for dx in (0, 1):
+            yy, xx = floor[0] + dy, floor[1] + dx
+            part = (1 - np.abs(at[0] - yy)) * (1 - np.abs(at[1] - xx))
+            good = (yy >= 0) & (yy < h) & (xx >= 0) & (xx < w)
+            out += np.where(good, part, 0.0)[..., None] * image[np.clip(yy, 0, h - 1), np.clip(xx, 0, w - 1)]
+    return out.astype(np.float32)
+
+
+def reconstruct(img0: np.ndarray, img1: np.ndarray, outputs: dict[str, np.ndarray], network: tuple[int, int], mask0_role: str = "warp0_weight", align_corners: bool = False, padding: str = "border") -> dict[str, np.ndarray]:
+    """Warps, blend and prediction of the midpoint from low-resolution flows and masks."""
+    if mask0_role not in ("warp0_weight", "warp1_weight"):
+        raise ValueError("mask0_role must be warp0_weight or warp1_weight")
+    h, w = img0.shape[:2]
+    flows = [resize_flow(outputs[k], h, w, network, align_corners) for k in ("flow_t0", "flow_t1")]
+    masks = [resize(outputs[k], h, w, align_corners)[..., None] for k in ("mask0", "mask1")]
+    if any(m.min() < -2e-6 or m.max() > 1 + 2e-6 for m in masks):
+        raise ValueError("masks must lie in [0, 1]")
+    warps = [backward_warp(i, f, padding, align_corners) for i, f in zip((img0, img1), flows, strict=True)]
+    a, b = warps if mask0_role == "warp0_weight" else warps[::-1]
+    blend = masks[0] * a + (1 - masks[0]) * b
+    return {"flow_t0": flows[0], "flow_t1": flows[1], "mask0": masks[0][..., 0], "mask1": masks[1][..., 0], "warp0": warps[0], "warp1": warps[1], "warp_blend": blend, "prediction": masks[1] * img1 + (1 - masks[1]) * blend}
+
+
+def mock_model(height: int, width: int, scale: int = 4, copy_box: tuple[float, float, float, float] | None = None) -> dict[str, np.ndarray]:
+    """A stand-in model: no motion, an even blend, and the last frame inside a relative box (x0, y0, x1, y1)."""
+    h, w = max(1, height // scale), max(1, width // scale)
+    mask1 = np.zeros((h, w), np.float32)
+    if copy_box is not None:
+        span = lambda a, b, n: slice(s := min(n - 1, max(0, int(a * n))), min(n, max(s + 1, int(b * n + 0.999))))
+        mask1[span(copy_box[1], copy_box[3], h), span(copy_box[0], copy_box[2], w)] = 1
+    return {"flow_t0": np.zeros((h, w, 2), np.float32), "flow_t1": np.zeros((h, w, 2), np.float32), "mask0": np.full((h, w), 0.5, np.float32), "mask1": mask1}
+
+
+def colour_error(error: np.ndarray) -> np.ndarray:
+    """A dark-to-bright ramp of an error map in [0, 1], HxWx3."""
+    e = np.clip(error, 0, 1)[..., None]
+    return np.clip(np.concatenate([e * 3, e * 3 - 1, e * 3 - 2], axis=-1), 0, 1).astype(np.float32)
+
+
+def colour_flow(flow: np.ndarray) -> np.ndarray:
+    """Direction as hue, length over its 99 % quantile as value, HxWx3."""
+    length = np.linalg.norm(flow, axis=-1)
+    value = np.clip(length / max(float(np.quantile(length, 0.99)), 1e-6), 0, 1)
+    hue = (np.arctan2(flow[..., 1], flow[..., 0]) / (2 * np.pi)) % 1
+    return np.stack([value * np.clip(np.abs((hue * 6 + s) % 6 - 3) - 1, 0, 1) for s in (0, 4, 2)], axis=-1).astype(np.float32)

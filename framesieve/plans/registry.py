@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from . import frame_queries, map_queries
+
 
 def queries() -> dict:
-    return {}
+    return {name: query for part in (frame_queries, map_queries) for name, (query, _) in part.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for part in (frame_queries, map_queries) for name, (_, sql) in part.QUERIES.items() if sql}
