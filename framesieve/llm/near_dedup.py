@@ -180,8 +180,8 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: str = "
     rows with that id. Rows that repeat an id are one class if their texts are; ids must not be null (such rows link with
     nothing and keep a null component). An empty table gives no rows.
 
-    Candidates come from bands of a fast similarity sketch. Every class meets the first class of each of its bands, the
-    centre, and similar pairs are links. For the other pairs of a band let D(x) be the items by which x differs from the
+    Candidates come from bands of a fast similarity sketch. Every class meets the centre of each of its bands,
+    the class that shares its own bands with most others, and similar pairs are links. For the other pairs of a band let D(x) be the items by which x differs from the
     centre c. Then x and y differ by D(x) and D(y) without what these share, and similarity s means that they differ by
     at most (1 - s) / (1 + s) of their sizes' sum. Unless both are linked to c already, one of them, x, is not, which
     bounds |D(x)| from below, so x and y must share at least ``needed_in_common`` items of D(y), and D(x) must hold one of
@@ -197,9 +197,14 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: str = "
     classes = cut(known.groupBy("digest").agg(F.min("id").alias("rep")), "near-classes")
     heads = known.join(classes.select(F.col("digest").alias("d"), "rep"), _same("digest", "d") & _same("id", "rep"))
     keyed = cut(heads.select("rep", F.explode("bands").alias("band")).distinct(), "near-bands")
-    firsts = keyed.groupBy("band").agg(F.min("rep").alias("first"), F.count("*").alias("n_in")).where("n_in > 1")
-    firsts = cut(firsts.select(F.col("band").alias("key"), "first"), "near-firsts")
-    pairs = keyed.join(firsts, _same("band", "key")).where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
+    counts = keyed.groupBy(F.col("band").alias("key")).agg(F.count("*").alias("n_in")).where("n_in > 1")
+    shared = cut(keyed.join(cut(counts, "near-counts"), _same("band", "key")).select("band", "rep", "n_in"), "near-shared")
+    # the more rows a class meets in all its bands, the nearer it is to the middle of its group
+    met_by = shared.groupBy(F.col("rep").alias("r")).agg(F.sum("n_in").alias("met"))
+    ranked = shared.join(cut(met_by, "near-met"), _same("rep", "r"))
+    centres = ranked.groupBy(F.col("band").alias("key")).agg(F.max(F.struct("met", (-F.col("rep")).alias("minus"))).alias("top"))
+    centres = cut(centres.select("key", (-F.col("top.minus")).alias("centre")), "near-centres")
+    pairs = shared.join(centres, _same("band", "key")).where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     pairs = cut(pairs, "near-pairs")
     # whole texts move once, and only those of some pair go on; later pairs are among the same representatives
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct()
