@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import base64
+import contextlib
+import ctypes
 import heapq
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 #: Words that one recursive query takes, ids that one aggregation takes, characters that are split at once, and words in a
 #: generation of the memory: words that go on being used move to the next one, the others are forgotten.
-WORDS, IDS, CHARACTERS, GENERATION = 20_000, 250_000, 2_000_000, 100_000
+WORDS, IDS, CHARACTERS, GENERATION = 20_000, 150_000, 1_000_000, 120_000
 #: Longer words (in bytes) merge on a heap: a recursive query would need as many rounds as they have bytes.
 LONG_WORD = 256
 
@@ -47,12 +48,6 @@ def read_ranks(path: str) -> bytes:
         return f.read()
 
 
-@lru_cache(maxsize=2)
-def coder(ranks: bytes, pattern: str) -> "Coder":
-    """One coder per process and vocabulary, so that its tables and words serve several tasks."""
-    return Coder(ranks, pattern)
-
-
 class Coder:
     """Encodes texts to packed ids (little-endian uint32) and decodes them; all tables live in an in-memory DuckDB."""
 
@@ -65,7 +60,7 @@ class Coder:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         merges = [(a, b, rank) for token, rank in self.ranks.items() for i in range(1, len(token)) if (a := self.ranks.get(token[:i])) is not None and (b := self.ranks.get(token[i:])) is not None]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "150MB"})
         table = pa.table(dict(zip("abm", (pa.array(c, pa.int32()) for c in zip(*merges, strict=True)), strict=True)) if merges else {c: pa.array([], pa.int32()) for c in "abm"})
         self.db.register("given", table)
         self.db.execute("CREATE TABLE merges AS SELECT a, b, m AS merged FROM given")
@@ -74,6 +69,14 @@ class Coder:
         self.db.execute("CREATE TABLE vocabulary AS SELECT id, piece FROM given")
         self.db.unregister("given")
 
+    def close(self) -> None:
+        """Gives the tables' and words' memory back: Spark keeps the process for later tasks of other operators."""
+        self.db.close()
+        self.young, self.old, self.ranks = {}, {}, {}
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # where the C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """Packed ids of each text; null texts count as empty."""
         split = [self.pattern.findall(t) if t else [] for t in texts]
@@ -177,12 +180,12 @@ class Coder:
         return [b"".join(pieces) for pieces in out]
 
 
-def _groups(texts: list, size: int) -> Iterator[list]:
-    """Consecutive texts of about ``size`` characters together."""
+def _groups(texts, size: int) -> Iterator[list]:
+    """Consecutive values of about ``size`` bytes together."""
     group, held = [], 0
     for t in texts:
         group.append(t)
-        held += len(t or "")
+        held += t.as_buffer().size if t.is_valid else 0
         if held >= size:
             yield group
             group, held = [], 0
@@ -196,13 +199,18 @@ def _mapped(df: DataFrame, source: str, added: list[str], work, ranks: bytes, pa
     schema = StructType([*df.schema.fields, *[StructField(c, BinaryType()) for c in added]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = coder(ranks, pattern)
-        for batch in batches:
-            done: list[list[bytes]] = [[] for _ in added]
-            for group in _groups(batch.column(at).to_pylist(), CHARACTERS):
-                for column, values in zip(done, work(tool, group), strict=True):
-                    column.extend(values)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, pa.binary()) for c in done]], names=[*names, *added])
+        tool = Coder(ranks, pattern)
+        try:
+            for batch in batches:
+                begin = 0
+                # results leave in small batches, so that a task holds little more than its input batch
+                for group in _groups(batch.column(at), CHARACTERS):
+                    done = work(tool, [x.as_py() for x in group])
+                    part = batch.slice(begin, len(group))
+                    begin += len(group)
+                    yield pa.RecordBatch.from_arrays([*part.columns, *[pa.array(c, pa.binary()) for c in done]], names=[*names, *added])
+        finally:
+            tool.close()
 
     return df.mapInArrow(run, schema)
 
