@@ -6,7 +6,9 @@ import base64
 import contextlib
 import ctypes
 import heapq
+import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,9 +16,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-#: Words that one recursive query takes, ids that one aggregation takes, characters that are split at once, and words in a
-#: generation of the memory: words that go on being used move to the next one, the others are forgotten.
-WORDS, IDS, CHARACTERS, GENERATION = 20_000, 150_000, 1_000_000, 120_000
+#: Words that one recursive query takes, ids that one aggregation takes, bytes of text that are split at once, and words
+#: that a task remembers.
+WORDS, IDS, BYTES, REMEMBERED = 20_000, 200_000, 1_000_000, 250_000
 #: Longer words (in bytes) merge on a heap: a recursive query would need as many rounds as they have bytes.
 LONG_WORD = 256
 
@@ -33,12 +35,13 @@ WITH RECURSIVE rounds(n, word, pos, id, next) AS (
           CASE WHEN pos = k % 65536 - 1 THEN (k // 65536)::INT ELSE next END
    FROM rounds r JOIN best USING (word) WHERE pos <> k % 65536)
 ), final AS (SELECT word, max(n) AS n FROM rounds GROUP BY word)
-SELECT word, list(id ORDER BY pos) AS ids FROM rounds JOIN final USING (word, n) GROUP BY word
+SELECT word, id FROM rounds JOIN final USING (word, n) ORDER BY word, pos
 """
 
+#: Pieces are put in order by position and aggregated in it; one thread runs the query, so the order holds.
 _DECODE = """
-SELECT part, string_agg(piece, '' ORDER BY pos) AS text
-FROM (SELECT part, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM parts) JOIN vocabulary USING (id) GROUP BY part
+SELECT part, string_agg(piece, '') AS text
+FROM (SELECT part, piece FROM ids JOIN vocabulary USING (id) ORDER BY pos) GROUP BY part
 """
 
 
@@ -48,52 +51,84 @@ def read_ranks(path: str) -> bytes:
         return f.read()
 
 
+def latin_pattern(pattern: str) -> re.Pattern | None:
+    r"""The same pattern for texts of code points below 256, with \\p{L}, \\p{N}, \\s and \\S spelt out; None for other escapes.
+
+    Python's own matcher is more than twice as fast as the one that knows Unicode properties.
+    """
+    def spelt(name: str) -> str:
+        return "".join(f"\\x{i:02x}" for i in range(256) if regex.fullmatch(name, chr(i)))
+
+    inside, out, at = False, [], 0
+    known = {n: spelt(n) for n in (r"\p{L}", r"\p{N}", r"\s")}
+    while at < len(pattern):
+        name = next((n for n in known if pattern.startswith(n, at)), None)
+        if name:
+            out.append(known[name] if inside else f"[{known[name]}]")
+            at += len(name)
+        elif pattern.startswith(r"\S", at) and not inside:
+            out.append(f"[^{known[r'\s']}]")
+            at += 2
+        elif pattern[at] == "\\":
+            return None
+        else:
+            inside = pattern[at] == "[" or inside and pattern[at] != "]"
+            out.append(pattern[at])
+            at += 1
+    return re.compile("".join(out))
+
+
+@lru_cache(maxsize=2)
+def _vocabulary(ranks: bytes) -> tuple[dict[bytes, int], pa.Table, pa.Table]:
+    """(ranks by token, merge table, pieces as one character per byte): some MB, kept by the process for later tasks."""
+    by_token = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(None, ranks.split(b"\n")))}
+    merges = [(a, b, rank) for token, rank in by_token.items() for i in range(1, len(token)) if (a := by_token.get(token[:i])) is not None and (b := by_token.get(token[i:])) is not None]
+    table = pa.table({n: pa.array([m[i] for m in merges], pa.int32()) for i, n in enumerate(("a", "b", "merged"))})
+    return by_token, table, pa.table({"id": pa.array(by_token.values(), pa.int32()), "piece": [t.decode("latin-1") for t in by_token]})
+
+
 class Coder:
     """Encodes texts to packed ids (little-endian uint32) and decodes them; all tables live in an in-memory DuckDB."""
 
     def __init__(self, ranks: bytes, pattern: str):
         import duckdb
 
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(None, ranks.split(b"\n")))}
-        self.pattern = regex.compile(pattern)
+        self.ranks, merges, pieces = _vocabulary(ranks)
+        self.pattern, self.latin = regex.compile(pattern), latin_pattern(pattern)
         self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        merges = [(a, b, rank) for token, rank in self.ranks.items() for i in range(1, len(token)) if (a := self.ranks.get(token[:i])) is not None and (b := self.ranks.get(token[i:])) is not None]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "150MB"})
-        table = pa.table(dict(zip("abm", (pa.array(c, pa.int32()) for c in zip(*merges, strict=True)), strict=True)) if merges else {c: pa.array([], pa.int32()) for c in "abm"})
-        self.db.register("given", table)
-        self.db.execute("CREATE TABLE merges AS SELECT a, b, m AS merged FROM given")
-        # one character for each byte, so that bytes aggregate as text
-        self.db.register("given", pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "piece": [t.decode("latin-1") for t in self.ranks]}))
-        self.db.execute("CREATE TABLE vocabulary AS SELECT id, piece FROM given")
+        self.known: dict[str, bytes] = {}
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
+        for name, table in (("merges", merges), ("vocabulary", pieces)):
+            self.db.register("given", table)
+            self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
         self.db.unregister("given")
 
     def close(self) -> None:
         """Gives the tables' and words' memory back: Spark keeps the process for later tasks of other operators."""
         self.db.close()
-        self.young, self.old, self.ranks = {}, {}, {}
+        self.known = {}
         pa.default_memory_pool().release_unused()
         with contextlib.suppress(OSError, AttributeError):  # where the C library has it
             ctypes.CDLL(None).malloc_trim(0)
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """Packed ids of each text; null texts count as empty."""
-        split = [self.pattern.findall(t) if t else [] for t in texts]
-        known: dict[str, bytes] = {}
-        fresh = []
-        for word in set().union(*split):
-            found = self.young.get(word) or self.old.get(word)
-            if found is None:
-                fresh.append(word)
-            else:
-                known[word] = found
+        split = [self._words(t) if t else [] for t in texts]
+        words = set().union(*split)
+        fresh = list(words.difference(self.known))
         for at in range(0, len(fresh), WORDS):
-            known.update(self._learn(fresh[at : at + WORDS]))
-        self.young.update(known)
-        if len(self.young) > GENERATION:
-            self.old, self.young = self.young, {}
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+            self.known.update(self._learn(fresh[at : at + WORDS]))
+        packed = [b"".join(map(self.known.__getitem__, each)) for each in split]
+        if len(self.known) > REMEMBERED:  # the words of the last texts go on, the others are forgotten
+            self.known = {w: self.known[w] for w in words}
+        return packed
+
+    def _words(self, text: str) -> list[str]:
+        if self.latin is not None:
+            with contextlib.suppress(UnicodeEncodeError):
+                text.encode("latin-1")
+                return self.latin.findall(text)
+        return self.pattern.findall(text)
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
         known: dict[str, bytes] = {}
@@ -112,10 +147,10 @@ class Coder:
         self.db.register("pieces", pa.table({"word": np.repeat(np.arange(len(short), dtype=np.int32), size), "pos": pos.astype(np.int32), "id": ids, "next": following}))
         found = self.db.sql(_ENCODE).to_arrow_table()
         self.db.unregister("pieces")
-        lists = found.column("ids").combine_chunks()
-        flat, edges = lists.flatten().to_numpy().astype("<u4"), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        for row, word in enumerate(found.column("word").to_pylist()):
-            known[words[short[word]]] = flat[edges[row] : edges[row + 1]].tobytes()
+        at, ids = found.column("word").to_numpy(), found.column("id").to_numpy().astype("<u4")
+        edges = np.searchsorted(at, np.arange(len(short) + 1)).tolist()
+        for row, i in enumerate(short):
+            known[words[i]] = ids[edges[row] : edges[row + 1]].tobytes()
         return known
 
     def _merge_long(self, word: bytes) -> list[int]:
@@ -154,11 +189,10 @@ class Coder:
         held = 0
 
         def flush() -> None:
-            edges = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(edges, np.concatenate(parts))
-            self.db.register("parts", pa.table({"part": pa.array(range(len(parts)), pa.int32()), "ids": ids}))
+            size = [len(p) for p in parts]
+            self.db.register("ids", pa.table({"part": np.repeat(np.arange(len(parts), dtype=np.int32), size), "pos": np.arange(sum(size), dtype=np.int32), "id": np.concatenate(parts)}))
             found = self.db.sql(_DECODE).to_arrow_table()
-            self.db.unregister("parts")
+            self.db.unregister("ids")
             texts = dict(zip(found.column("part").to_pylist(), found.column("text").to_pylist(), strict=True))
             for i, row in enumerate(place):
                 out[row].append(texts.get(i, "").encode("latin-1"))
@@ -204,7 +238,7 @@ def _mapped(df: DataFrame, source: str, added: list[str], work, ranks: bytes, pa
             for batch in batches:
                 begin = 0
                 # results leave in small batches, so that a task holds little more than its input batch
-                for group in _groups(batch.column(at), CHARACTERS):
+                for group in _groups(batch.column(at), BYTES):
                     done = work(tool, [x.as_py() for x in group])
                     part = batch.slice(begin, len(group))
                     begin += len(group)

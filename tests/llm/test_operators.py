@@ -213,8 +213,19 @@ def test_bpe_equals_tiktoken_and_round_trips(reference_encoding):
     c.close()
 
 
+def test_bpe_latin_pattern_splits_alike():
+    import regex
+
+    latin, full = bpe.latin_pattern(public_tokenizers.PATTERN), regex.compile(public_tokenizers.PATTERN)
+    rng = random.Random(14)
+    for _ in range(300):
+        text = "".join(chr(rng.choice([rng.randrange(256), 32, 32, 39, 115, 10, 65])) for _ in range(200))
+        assert latin.findall(text) == full.findall(text)
+    assert bpe.latin_pattern(r"\d+") is None
+
+
 def test_bpe_word_memory_does_not_change_results(reference_encoding, monkeypatch):
-    monkeypatch.setattr(bpe, "GENERATION", 5)
+    monkeypatch.setattr(bpe, "REMEMBERED", 5)
     monkeypatch.setattr(bpe, "WORDS", 3)
     monkeypatch.setattr(bpe, "IDS", 4)
     rng = random.Random(7)
