@@ -403,9 +403,9 @@ def resize(a: np.ndarray, height: int, width: int, align_corners: bool = False)
 
     y0, y1, fy = axis(a.shape[0], height)
     x0, x1, fx = axis(a.shape[1], width)
-    shape = (-1, 1) + (1,) * (a.ndim - 2)
-    rows = a[y0] * (1 - fy.reshape((-1, 1) + (1,) * (a.ndim - 2))) + a[y1] * fy.reshape((-1, 1) + (1,) * (a.ndim - 2))
-    fx = fx.reshape(shape)
+    tail = (1,) * (a.ndim - 2)
+    fy, fx = fy.reshape((-1, 1) + tail), fx.reshape((-1,) + tail)
+    rows = a[y0] * (1 - fy) + a[y1] * fy
     return (rows[:, x0] * (1 - fx) + rows[:, x1] * fx).astype(np.float32)
 
 
