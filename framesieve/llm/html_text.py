@@ -30,7 +30,7 @@ ENDED_BY = {
 SCOPE = frozenset("html body table td th caption object template button article section main aside nav header footer div form ul ol dl blockquote".split())
 #: Words of class, id and role values that mark menus, adverts, notices and comments.
 MARKED = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disclaimer disqus "
+    "ad ads adsbygoogle adv advert adverts alert gdpr paywall advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disclaimer disqus "
     "dialog discussion footer header masthead menu modal nav navbar navigation newsletter notice notices notification outbrain overlay pagination pager popup "
     "promo promoted promotion related replies respond share sharing sidebar signup social sponsor sponsored subscribe taboola toolbar widget widgets complementary contentinfo search reactions".split()
 )
@@ -43,22 +43,23 @@ _SPACE = re.compile(r"\s+")
 class Node:
     """An element: its children and texts in order, and the sums over its subtree that densities need."""
 
-    __slots__ = ("tag", "parent", "items", "noise", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "items", "noise", "marked", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: "Node | None", noise: bool):
-        self.tag, self.parent, self.items, self.noise = tag, parent, [], noise
+    def __init__(self, tag: str, parent: "Node | None", noise: bool, marked: bool = False):
+        self.tag, self.parent, self.items, self.noise, self.marked = tag, parent, [], noise, marked
 
 
-def _marked(attributes: str) -> bool:
+def _marks(attributes: str) -> tuple[bool, bool]:
+    """(whether an element is hidden, whether its class, id or role holds a marking word)."""
+    marked = False
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
-        return False
+        return False, False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" and value.lower() != "false" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-        if name in ("class", "id", "role") and any(w.lower() in MARKED for w in _SPLIT.findall(value)):
-            return True
-    return False
+            return True, False
+        marked = marked or name in ("class", "id", "role") and any(w.lower() in MARKED for w in _SPLIT.findall(value))
+    return False, marked
 
 
 def parse(page: str) -> Node:
@@ -93,7 +94,7 @@ def parse(page: str) -> Node:
             if found is not root:
                 node = found.parent
             elif tag == "br":
-                node.items.append(Node("br", node, node.noise))
+                node.items.append(Node("br", node, False))
             continue
         open_ = node
         while open_ is not root:
@@ -104,7 +105,8 @@ def parse(page: str) -> Node:
             if open_.tag in SCOPE:
                 break
             open_ = open_.parent
-        child = Node(tag, node, node.noise or tag in NOISE or tag not in ("html", "body", "article", "main") and _marked(attributes))
+        hidden, marked = _marks(attributes)
+        child = Node(tag, node, tag in NOISE or hidden, marked and tag not in ("html", "body", "article", "main"))
         node.items.append(child)
         if tag in VOID:
             continue
@@ -115,9 +117,39 @@ def parse(page: str) -> Node:
             at = end.end() if end else n
             continue
         node = child
+    _settle(root)
     return root
 
 
+def _settle(root: Node) -> None:
+    """Turns marks into noise and hands noise down to what lies inside.
+
+    A marked element that holds an article, or a heading and most of the page, is a layout ("with-sidebar"), and no noise.
+    """
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(reversed([x for x in node.items if isinstance(x, Node)]))
+    seen: dict[int, tuple[int, bool, bool]] = {}
+    for node in reversed(order):
+        size, article, heading = 0, node.tag in ("article", "main"), node.tag == "h1"
+        for x in node.items:
+            if isinstance(x, str):
+                size += len(x)
+            elif not x.noise:
+                inner = seen[id(x)]
+                size, article, heading = size + inner[0], article or inner[1], heading or inner[2]
+        seen[id(node)] = size, article, heading
+    whole = seen[id(root)][0]
+    for node in order:
+        size, article, heading = seen[id(node)]
+        if node.marked and not article and not (heading and 5 * size > 3 * whole):
+            node.noise = True
+        if node.parent is not None and node.parent.noise:
+            node.noise = True
+
+
 def _measure(root: Node) -> list[Node]:
     """Fills the sums of every node (children before parents) and returns the nodes in page order."""
     order, stack = [], [root]
@@ -232,7 +264,7 @@ def main_text(page: str | None) -> str:
     if not articles:  # the core spans more than the article that holds most of it
         articles = sorted((x for x in order if x.tag in ("article", "main") and id(x) in inside and 2 * x.chars >= core.chars), key=lambda x: x.chars)[-1:]
     if articles:
-        node = articles[-1] if articles[-1].tag == "article" else articles[0]
+        node = next((x for x in reversed(articles) if x.tag == "article"), articles[0])
     else:
         for x in path[1:]:
             if x is body and any(y.noise for y in x.items if isinstance(y, Node)) and node.chars >= 0.5 * x.chars:

@@ -23,4 +23,18 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
-ORACLES = {"op8_line_dedup": OP8, "op9_topk": OP9}
+OP10 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 3 THEN array_to_string(ws, ' ') ELSE ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] END AS g
+      FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+both_ AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r(a, b) AS (SELECT a, b FROM both_ UNION SELECT r.a, both_.b FROM r JOIN both_ ON both_.a = r.b),
+c AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(c.b, d.doc_id)) AS component_id, coalesce(c.b, d.doc_id) >= d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
+"""
+
+ORACLES = {"op8_line_dedup": OP8, "op9_topk": OP9, "op10_near_dedup": OP10}

@@ -260,6 +260,8 @@ def test_bpe_on_rows(spark, reference_encoding):
         ("<article><p>a &lt;b&gt; &#233;</p><script>var x='<p>no</p>'</script><style>p{}</style><form><input>q</form><p hidden>no</p><ul><li>x<li>y</ul></article>", "a <b> é\n\nx\n\ny"),
         ("<article><p>kept</p><div class='cookie-notice'>no</div><aside>no</aside><div class='ad'>no</div><p>a < b & c</p></article", "kept\n\na < b & c"),
         ("<html><body><article><p>unclosed <i>text", "unclosed text"),
+        ("<body class='has-sidebar'><div class='layout with-sidebar'><main><h1>Head</h1><article><p>inner text one</p><article><p>inner text two</p></article></article></main></div>", "inner text one\n\ninner text two"),
+        ("<body><div class='page header-fixed'><h1>Head line</h1><p>The text of the page goes on and on.</p></div><div class='header'><h1>Site</h1></div></body>", "Head line\n\nThe text of the page goes on and on."),
         ("<!-- c --><article><p>x<!-- <p>no</p> -->y</p></article>", "xy"),
     ],
 )
@@ -504,6 +506,21 @@ def test_fast_sketch_fills_and_concentrates():
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.06
 
 
+def test_sql_agrees_on_small_tables(spark):
+    import duckdb
+
+    from framesieve.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    for name, sql in queries.oracle_sql().items():
+        got, want = queries.queries()[name](spark, sf), con.execute(sql)
+        names = [d[0] for d in want.description]
+        assert sorted(map(repr, (tuple(r) for r in got.select(*names).collect()))) == sorted(map(repr, want.fetchall())), name
+
+
 def test_components_of_a_long_chain(spark):
     n = 60
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 101), (102, 101)], "a long, b long")
