@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 LUMA = (0.2126, 0.7152, 0.0722)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def clip(x: Column, lo: float = 0.0, hi: float = 1.0) -> Column:
     return F.least(F.greatest(x, F.lit(float(lo))), F.lit(float(hi)))
 
@@ -74,14 +79,15 @@ def summary(a: Column, fractions=(0.0001, 0.0005, 0.001, 0.005, 0.01)) -> dict[s
 
 def robust_score(a: Column) -> Column:
     """Local severity: the greatest of mean, 0.90 of the top tenth, 0.95 of the top hundredth and 0.85 of the peak."""
-    ordered = F.array_sort(a)
-    return clip(F.coalesce(F.greatest(mean(a), 0.90 * top_area_mean(ordered, 0.10), 0.95 * top_area_mean(ordered, 0.01), 0.85 * F.array_max(a)), F.lit(0.0)))
+    score = lambda o: F.greatest(mean(o), 0.90 * top_area_mean(o, 0.10), 0.95 * top_area_mean(o, 0.01), 0.85 * F.element_at(o, -1))
+    return F.when(F.size(a) > 0, clip(let(F.array_sort(a), score))).otherwise(0.0)
 
 
 def histogram(a: Column, bins: int = 64) -> Column:
     """Counts of ``bins`` equal bins over [0, 1], 1 in the last."""
     place = F.transform(a, lambda v: F.least(F.floor(v * bins), F.lit(bins - 1)))
-    return F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: F.size(F.filter(place, lambda p: p == i)))
+    count = lambda at: F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: F.size(F.filter(at, lambda p: p == i)))
+    return let(place, count)
 
 
 def histogram_distance(a: Column, b: Column, bins: int = 64) -> Column:
@@ -92,9 +98,8 @@ def histogram_distance(a: Column, b: Column, bins: int = 64) -> Column:
 
 def repeat_distance(a: Column, b: Column) -> Column:
     """How far two maps are from being the same frame: mean difference, or a share of its upper quantiles."""
-    gap = abs_difference(a, b)
-    ordered = F.array_sort(gap)
-    return F.coalesce(F.greatest(mean(gap), 0.10 * quantile(ordered, 0.95), 0.05 * quantile(ordered, 0.99)), F.lit(0.0))
+    worst = lambda o: F.greatest(mean(o), 0.10 * quantile(o, 0.95), 0.05 * quantile(o, 0.99))
+    return F.coalesce(let(F.array_sort(abs_difference(a, b)), worst), F.lit(0.0))
 
 
 def sobel(a: Column, height: int, width: int) -> Column:
@@ -118,15 +123,21 @@ def sobel(a: Column, height: int, width: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(height * width - 1)), pixel)
 
 
-def error_maps(prediction: Column, truth: Column, height: int, width: int) -> dict[str, Column]:
-    """Aligned evidence of two luma maps: luminance, one-sided edges, and structure, their fusion by maximum."""
-    edges_t, edges_p = sobel(truth, height, width), sobel(prediction, height, width)
-    luma = abs_difference(prediction, truth)
-    gt_only = F.zip_with(edges_t, edges_p, lambda t, p: F.greatest(t - p, F.lit(0.0)))
-    pred_only = F.zip_with(edges_t, edges_p, lambda t, p: F.greatest(p - t, F.lit(0.0)))
-    edge = maximum(gt_only, pred_only)
-    structure = F.zip_with(luma, edge, lambda v, e: F.greatest(v, clip(e * 1.25)))
-    return {"luminance": luma, "sobel_gt": edges_t, "sobel_prediction": edges_p, "gt_only_edge": gt_only, "pred_only_edge": pred_only, "edge": edge, "structure": structure}
+def error_maps(prediction: Column, truth: Column, height: int, width: int) -> Column:
+    """struct of aligned evidence of two luma maps: luminance, both Sobel maps, one-sided edges, edge, and structure, their
+    fusion by maximum. Select the struct once and take its fields from there."""
+
+    def build(e: Column) -> Column:
+        edges_t, edges_p = e["t"], e["p"]
+        gt_only = F.zip_with(edges_t, edges_p, lambda t, p: F.greatest(t - p, F.lit(0.0)))
+        pred_only = F.zip_with(edges_t, edges_p, lambda t, p: F.greatest(p - t, F.lit(0.0)))
+        edge = F.zip_with(edges_t, edges_p, lambda t, p: F.abs(t - p))
+        luma = abs_difference(prediction, truth)
+        structure = F.zip_with(luma, edge, lambda v, x: F.greatest(v, clip(x * 1.25)))
+        maps = {"luminance": luma, "sobel_gt": edges_t, "sobel_prediction": edges_p, "gt_only_edge": gt_only, "pred_only_edge": pred_only, "edge": edge, "structure": structure}
+        return F.struct(*[v.alias(k) for k, v in maps.items()])
+
+    return let(F.struct(sobel(truth, height, width).alias("t"), sobel(prediction, height, width).alias("p")), build)
 
 
 def window_starts(n: int, size: int) -> list[int]:
@@ -145,6 +156,10 @@ def window_means(a: Column, height: int, width: int, window: int) -> Column:
     along = F.transform(rows, lambda r: F.aggregate(r, F.array(F.lit(0.0)), lambda s, v: F.concat(s, F.array(F.element_at(s, -1) + v))))
     zero = F.array_repeat(F.lit(0.0), width + 1)
     summed = F.aggregate(along, F.array(zero), lambda s, r: F.concat(s, F.array(F.zip_with(F.element_at(s, -1), r, lambda p, q: p + q))))
-    at = lambda y, x: F.get(F.get(summed, F.lit(y)), F.lit(x))
-    cells = [F.struct(F.lit(y).alias("y"), F.lit(x).alias("x"), ((at(y + sy, x + sx) - at(y, x + sx) - at(y + sy, x) + at(y, x)) / float(sy * sx)).alias("mean")) for y in window_starts(height, sy) for x in window_starts(width, sx)]
-    return F.array(*cells)
+
+    def cells(total: Column) -> Column:
+        at = lambda y, x: F.get(F.get(total, F.lit(y)), F.lit(x))
+        grid = [(y, x) for y in window_starts(height, sy) for x in window_starts(width, sx)]
+        return F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x"), ((at(y + sy, x + sx) - at(y, x + sx) - at(y + sy, x) + at(y, x)) / float(sy * sx)).alias("mean")) for y, x in grid])
+
+    return let(summed, cells)

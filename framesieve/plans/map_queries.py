@@ -59,9 +59,9 @@ def sobel(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def error_maps(spark: SparkSession, sf: str) -> DataFrame:
-    e = m.error_maps(F.col("prediction"), F.col("truth"), H, W)
     names = ("luminance", "gt_only_edge", "pred_only_edge", "structure")
-    return _pairs(spark, sf).select("pair", *[r6(f(e[n])).alias(f"{n}_{k}") for n in names for k, f in (("mean", m.mean), ("max", F.array_max))])
+    maps = _pairs(spark, sf).select("pair", m.error_maps(F.col("prediction"), F.col("truth"), H, W).alias("e"))
+    return maps.select("pair", *[r6(f(F.col(f"e.{n}"))).alias(f"{n}_{k}") for n in names for k, f in (("mean", m.mean), ("max", F.array_max))])
 
 
 def histogram_distance(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,10 +74,10 @@ def repeat_distance(spark: SparkSession, sf: str) -> DataFrame:
 
 def validity_columns(a: Column, b: Column, c: Column) -> dict[str, Column]:
     """The metrics of a triplet of luma maps that columns can say; the overlay score is left out, which a gate allows."""
-    first, second = m.mean(m.abs_difference(a, b)), m.mean(m.abs_difference(b, c))
-    asymmetry = F.abs(first - second) / (first + second + 1e-8)
+    means = F.struct(m.mean(m.abs_difference(a, b)).alias("x"), m.mean(m.abs_difference(b, c)).alias("y"))
+    asymmetry = m.let(means, lambda d: F.abs(d["x"] - d["y"]) / (d["x"] + d["y"] + 1e-8))
     jump = F.greatest(m.histogram_distance(a, b), m.histogram_distance(b, c))
-    return {"decode_ok": F.lit(True), "finite": F.lit(True), "sequence_contiguous": F.lit(True), "duplicate_distance": F.least(m.repeat_distance(a, b), m.repeat_distance(b, c)), "scene_cut_score": jump * (0.5 + 0.5 * asymmetry), "temporal_asymmetry": asymmetry, "max_adjacent_difference": F.greatest(first, second)}
+    return {"decode_ok": F.lit(True), "finite": F.lit(True), "sequence_contiguous": F.lit(True), "duplicate_distance": F.least(m.repeat_distance(a, b), m.repeat_distance(b, c)), "scene_cut_score": jump * (0.5 + 0.5 * asymmetry), "temporal_asymmetry": asymmetry, "max_adjacent_difference": m.let(means, lambda d: F.greatest(d["x"], d["y"]))}
 
 
 def validity_gate(spark: SparkSession, sf: str) -> DataFrame:

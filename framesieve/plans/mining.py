@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import importlib
 from collections.abc import Callable, Iterator
-from dataclasses import asdict
 from functools import partial
 
 import numpy as np
@@ -13,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config, Model
-from ..functions.maps import clip
 from ..operators import diagnosis, gates, intervals, kernels, records
 from ..operators import triplets as tr
 from ..sources.frames import read_images, scan_frames
@@ -80,13 +78,11 @@ def build_index(spark: SparkSession, config: Config) -> DataFrame:
 
 
 def index_digest(index: DataFrame) -> str:
-    """SHA-256 over the sorted sample ids: one for an index, whatever its partitions."""
+    """One SHA-256 for an index, whatever its partitions: of the digests of its sample ids by their first four digits."""
     import hashlib
 
-    digest = hashlib.sha256()
-    for row in index.select("sample_id").orderBy("sample_id").toLocalIterator():
-        digest.update(row[0].encode() + b"\n")
-    return digest.hexdigest()
+    parts = index.groupBy(F.substring("sample_id", 1, 4).alias("p")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("sample_id")), "\n"), 256).alias("d"))
+    return hashlib.sha256("".join(r["p"] + r["d"] for r in parts.orderBy("p").collect()).encode()).hexdigest()
 
 
 def changed_frames(index: DataFrame, frames: DataFrame) -> DataFrame:
@@ -326,8 +322,4 @@ def summary(results: DataFrame, segments: DataFrame, plan: DataFrame) -> dict[st
     return {"records": counts[0], "selected": counts[1], "segments": segments.count(), "frames": plan.count()}
 
 
-def thresholds_of(config: Config) -> dict:
-    return asdict(config.thresholds)
-
-
-__all__ = ["annotated", "build_index", "changed_frames", "clip", "diagnosed", "index_digest", "mine", "output_plan", "run_triplets", "segments_of", "summary", "teach"]
+__all__ = ["annotated", "build_index", "changed_frames", "diagnosed", "index_digest", "mine", "output_plan", "run_triplets", "segments_of", "summary", "teach"]
