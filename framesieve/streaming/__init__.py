@@ -1 +1 @@
-"""Streaming of the engine."""
+"""Streaming: frames arriving in a folder, as an extension of the batch scan."""
