@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 #: Values that the engine's semantics rely on (time zone, map merging) or that suit its plans (AQE).
@@ -21,4 +25,20 @@ def build_session(app: str = "framesieve", master: str | None = None, **extra: s
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship(session)
+    return session
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the executors once per context, so that Python workers find it whatever their path is."""
+    context = spark.sparkContext
+    if getattr(context, "_framesieve_shipped", False):
+        return
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="framesieve-")) / "framesieve.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent).as_posix())
+    context.addPyFile(str(archive))
+    context._framesieve_shipped = True
