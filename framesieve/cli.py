@@ -74,10 +74,15 @@ def finalize(spark, cfg: config.Config) -> dict:
     shutil.rmtree(staging, ignore_errors=True)
     (staging / "frames").mkdir(parents=True)
     methods = sinks.materialise(plan, str(staging / "frames"), cfg.output.link_mode)
+    if cfg.output.layout == "segment_relative" and (empty := mining.without_triplets(spark, str(staging / "frames"), segments, cfg).limit(3).collect()):
+        raise ValueError("segments without a triplet: " + ", ".join(r["segment_id"] for r in empty))
+    (staging / "images").mkdir()
+    shown = annotated.where("selected" if not cfg.output.save_review else "selected OR (covered_by_segment AND status = 'review')").select("sample_id")
+    drawn = sinks.write_files(mining.diagnostic_images(spark, results.join(shown, "sample_id", "left_semi"), cfg), str(staging / "images"))
     sinks.jsonl_file(segments.drop("reasons"), staging / "segments.jsonl", ["video_id", "start"])
     n = sinks.jsonl_file(annotated.drop("scoring", "img0", "gt", "img1"), staging / "manifest.jsonl", ["video_id", "sample_id"])
-    out = mining.summary(annotated, segments, plan) | {"methods": methods, "manifest_records": n, "run_hash": cfg.run_hash()}
-    sinks.publish(root, {cfg.output.hard_case_dir: staging / "frames", f"{cfg.output.manifest_name}.segments": staging / "segments.jsonl", cfg.output.manifest_name: staging / "manifest.jsonl"}, out)
+    out = mining.summary(annotated, segments, plan) | {"methods": methods, "manifest_records": n, "images": drawn, **mining.execution_snapshot(found, cfg)}
+    sinks.publish(root, {cfg.output.hard_case_dir: staging / "frames", cfg.output.visualization_dir: staging / "images", f"{cfg.output.manifest_name}.segments": staging / "segments.jsonl", cfg.output.manifest_name: staging / "manifest.jsonl"}, out)
     return out
 
 

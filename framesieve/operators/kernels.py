@@ -480,3 +480,26 @@ def colour_flow(flow: np.ndarray) -> np.ndarray:
     value = np.clip(length / max(float(np.quantile(length, 0.99)), 1e-6), 0, 1)
     hue = (np.arctan2(flow[..., 1], flow[..., 0]) / (2 * np.pi)) % 1
     return np.stack([value * np.clip(np.abs((hue * 6 + s) % 6 - 3) - 1, 0, 1) for s in (0, 4, 2)], axis=-1).astype(np.float32)
+
+
+def _panel(image: np.ndarray, width: int) -> np.ndarray:
+    image = np.repeat(image[..., None], 3, axis=-1) if image.ndim == 2 else image
+    return resize(np.clip(image, 0, 1).astype(np.float32), max(1, round(image.shape[0] * width / image.shape[1])), width)
+
+
+def diagnostic_grid(img0: np.ndarray, truth: np.ndarray, prediction: np.ndarray, img1: np.ndarray, made: dict[str, np.ndarray], boxes=(), width: int = 320) -> np.ndarray:
+    """Two rows of four panels (frames; error, edges, motion, mask) and a row of up to four region crops, truth over guess."""
+    maps = error_maps(prediction, truth)
+    marked = colour_error(maps["structure"])
+    for x0, y0, x1, y1 in boxes:
+        marked[y0:y1, [x0, x1 - 1]] = marked[[y0, y1 - 1], x0:x1] = (0, 1, 0)
+    edges = np.stack([maps["gt_only_edge"], maps["pred_only_edge"], np.zeros_like(maps["edge"])], axis=-1)
+    rows = [np.concatenate([_panel(p, width) for p in row], axis=1) for row in ((img0, truth, prediction, img1), (marked, edges, colour_flow(made["flow_t0"]), made["mask1"]))]
+    crops = [np.concatenate([_panel(i[y0:y1, x0:x1], width) for i in (truth, prediction)]) for x0, y0, x1, y1 in list(boxes)[:4]]
+    if crops:
+        high = max(c.shape[0] for c in crops)
+        strip = np.zeros((high, 4 * width, 3), np.float32)
+        for i, c in enumerate(crops):
+            strip[: c.shape[0], i * width : (i + 1) * width] = c
+        rows.append(strip)
+    return np.concatenate(rows)

@@ -288,7 +288,7 @@ def segments_of(results: DataFrame, run_hash: str) -> DataFrame:
     named = kept.withColumn("segment_id", intervals.segment_id(run_hash, F.col("video_id"), F.col("start"), F.col("end")))
     parent, key = F.substring_index("video_id", "::", 1), F.expr("substring(video_id, instr(video_id, '::') + 2)")
     leaf = F.format_string("segment_%08d_%08d_%s", "start", "end", F.substring("segment_id", 1, 8))
-    return named.withColumn("output_directory", F.concat_ws("/", parent, F.when(key == "", "video").otherwise(key), leaf))
+    return named.withColumn("output_directory", F.concat_ws("/", F.when(parent != ".", parent), F.when(key == "", "video").otherwise(key), leaf))
 
 
 def annotated(results: DataFrame, segments: DataFrame) -> DataFrame:
@@ -316,10 +316,59 @@ def output_plan(segments: DataFrame, index: DataFrame, layout: str) -> DataFrame
     return plan.withColumn("__ok", F.when(n > 1, fail).otherwise(True)).where("__ok").drop("__ok")
 
 
+def without_triplets(spark: SparkSession, root: str, segments: DataFrame, config: Config) -> DataFrame:
+    """Segments whose published folder, scanned again, holds no triplet to train on."""
+    d = config.data
+    frames = scan_frames(spark, root, pattern=d.frame_regex, digits=d.frame_digits, allowed=d.extensions)
+    found = tr.triplets(frames, stride=d.stride).select(F.substring_index("video_id", "::", 1).alias("__d")).distinct()
+    return segments.join(found, F.col("output_directory") == F.col("__d"), "left_anti")
+
+
+def _drawn(config: Config) -> Callable:
+    predict, width = predictor(config.model), config.output.visualization_width
+
+    def do(three: list, boxes) -> dict:
+        from ..sources.sinks import png_bytes
+
+        if any(i is None for i in three):
+            return {"png": None}
+        made = predict(three[0], three[2])
+        regions = [tuple(int(v) for v in b) for b in (boxes if boxes is not None else [])]
+        return {"png": png_bytes(kernels.diagnostic_grid(*three[:2], made["prediction"], three[2], made, regions, width))}
+
+    return do
+
+
+def diagnostic_images(spark: SparkSession, selected: DataFrame, config: Config) -> DataFrame:
+    """(sample_id, png) of selected results."""
+    wanted = selected.withColumn("boxes", F.transform("regions", lambda r: r["box"]))
+    return run_triplets(spark, wanted, partial(_drawn, config), "png binary", payload="boxes")
+
+
+def execution_snapshot(index: DataFrame, config: Config) -> dict:
+    """What a run's results depend on, and the id made from it: configuration, index, checkpoints, the engine's source."""
+    import hashlib
+    import json
+    from pathlib import Path
+
+    def file_digest(path: str | None) -> dict | None:
+        if path is None:
+            return None
+        with open(path, "rb") as f:
+            return {"path": path, "sha256": hashlib.file_digest(f, "sha256").hexdigest()}
+
+    package = Path(__file__).parents[1]
+    source = hashlib.sha256()
+    for file in sorted(p for p in package.rglob("*.py") if "llm" not in p.relative_to(package).parts):
+        source.update(file.relative_to(package).as_posix().encode() + b"\0" + file.read_bytes())
+    out = {"schema_version": 1, "config_hash": config.run_hash(), "index": index_digest(index), "source": source.hexdigest(), "model": file_digest(config.model.checkpoint), "teacher": file_digest(config.teacher.checkpoint) if config.teacher else None}
+    return out | {"execution_id": hashlib.sha256(json.dumps(out, sort_keys=True).encode()).hexdigest()[:24]}
+
+
 def summary(results: DataFrame, segments: DataFrame, plan: DataFrame) -> dict[str, int]:
     """Counts of a finished run."""
     counts = results.agg(F.count("*").alias("records"), F.count_if("selected").alias("selected")).first()
     return {"records": counts[0], "selected": counts[1], "segments": segments.count(), "frames": plan.count()}
 
 
-__all__ = ["annotated", "build_index", "changed_frames", "diagnosed", "index_digest", "mine", "output_plan", "run_triplets", "segments_of", "summary", "teach"]
+__all__ = ["annotated", "build_index", "changed_frames", "diagnosed", "diagnostic_images", "execution_snapshot", "index_digest", "mine", "output_plan", "run_triplets", "segments_of", "summary", "teach", "without_triplets"]

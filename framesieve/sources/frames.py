@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.triplets import checked_unique, parse_frame_name, video_id
@@ -75,6 +76,33 @@ def verify_resources(manifest: DataFrame, files: DataFrame) -> DataFrame:
     return manifest.join(f, F.col("path") == F.col("__p"), "left").select("path", problem.alias("problem")).where("problem IS NOT NULL")
 
 
+def upsert_resources(manifest: DataFrame, new: DataFrame) -> DataFrame:
+    """The manifest with the records of ``new`` in place of those of the same path, sorted by path."""
+    both = manifest.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
+    rank = F.row_number().over(W.partitionBy("path").orderBy(F.col("__new").desc()))
+    return both.withColumn("__rank", rank).where("__rank = 1").drop("__rank", "__new").orderBy("path")
+
+
+def bad_resources(manifest: DataFrame) -> DataFrame:
+    """(path, problem) of records that break the manifest's rules: eight fields, a lower-case SHA-256, unique safe paths."""
+    n = F.count("*").over(W.partitionBy("path"))
+    empty = [F.col(c).isNull() for c in ("path", "name", "kind", "source", "version", "license", "size", "sha256")]
+    any_empty = empty[0]
+    for e in empty[1:]:
+        any_empty = any_empty | e
+    unsafe = F.startswith("path", F.lit("/")) | F.array_contains(F.split("path", "/"), "..")
+    problem = F.when(any_empty, "field missing").when(~F.col("sha256").rlike("^[0-9a-f]{64}$"), "sha256").when(unsafe, "unsafe path").when(n > 1, "repeated path")
+    return manifest.withColumn("problem", problem).where("problem IS NOT NULL").select("path", "problem")
+
+
+def checked_sorted(df: DataFrame, position: str, *fields: str) -> DataFrame:
+    """The rows; the job fails where the fields decrease along ``position`` (a line number)."""
+    key = F.struct(*fields)
+    before = F.lag(key).over(W.orderBy(position))
+    fail = F.raise_error(F.concat(F.lit("not sorted at "), F.col(position).cast("string"))).cast("boolean")
+    return df.withColumn("__ok", F.when(before > key, fail).otherwise(True)).where("__ok").drop("__ok")
+
+
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     """(path, size, sha256) of all files below a root."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)

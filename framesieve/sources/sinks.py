@@ -121,6 +121,21 @@ def materialise(plan: DataFrame, root: str, mode: str = "hardlink_then_copy") ->
     return {r["method"]: r["n"] for r in done.groupBy("method").agg(F.sum("n").alias("n")).collect()}
 
 
+def write_files(rows: DataFrame, root: str, name: str = "sample_id", data: str = "png", ending: str = ".png") -> int:
+    """Writes a binary column to one file per row below a root that all nodes share; null data is passed over."""
+
+    def run(batches):
+        import pandas as pd
+
+        for batch in batches:
+            kept = [(n, d) for n, d in zip(batch[name], batch[data], strict=True) if d is not None]
+            for n, d in kept:
+                atomic_bytes(safe_path(root, f"{n}{ending}"), bytes(d))
+            yield pd.DataFrame({"n": [len(kept)]})
+
+    return int(rows.select(name, data).mapInPandas(run, "n long").agg(F.sum("n")).first()[0] or 0)
+
+
 MARKER = ".framesieve-output.json"
 
 

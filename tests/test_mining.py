@@ -38,6 +38,8 @@ def test_ramp_video_end_to_end(spark, tmp_path):
     lines = [json.loads(x) for x in (tmp_path / "in" / cfg.output.manifest_name).read_text().splitlines()]
     assert len(lines) == 3 and all("endpoint_copy" in x["reasons"] and x["covered_by_segment"] for x in lines)
     assert len(list((tmp_path / "in" / cfg.output.hard_case_dir).rglob("*.png"))) == 5
+    images = list((tmp_path / "in" / cfg.output.visualization_dir).glob("*.png"))
+    assert out["final"]["images"] == len(images) == 3 and len(out["final"]["execution_id"]) == 24
     assert cli.index(spark, cfg)["triplets"] == 3  # the published copies are not scanned
 
 
@@ -146,6 +148,18 @@ def test_bundle(spark, tmp_path):
     assert cli.verify_bundle(spark, str(root))["problems"] == {"w.bin": "hash"}
 
 
+def test_resource_rules(spark):
+    row = ("w.bin", "w", "k", "s", "1", "x", 7, "a" * 64)
+    df = spark.createDataFrame([row, ("../x", *row[1:]), ("y", *row[1:7], "A" * 64), ("z", None, *row[2:])], frames.RESOURCE_SCHEMA)
+    assert {tuple(r) for r in frames.bad_resources(df).collect()} == {("../x", "unsafe path"), ("y", "sha256"), ("z", "field missing")}
+    newer = frames.upsert_resources(df.where("path = 'w.bin'"), spark.createDataFrame([(*row[:4], "2", *row[5:]), ("a", *row[1:])], frames.RESOURCE_SCHEMA))
+    assert [(r["path"], r["version"]) for r in newer.collect()] == [("a", "1"), ("w.bin", "2")]
+    lines = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "line int, k string")
+    assert frames.checked_sorted(lines.where("line < 3"), "line", "k").count() == 2
+    with pytest.raises(Exception, match="not sorted at 3"):
+        frames.checked_sorted(lines, "line", "k").collect()
+
+
 def test_config_is_strict(tmp_path):
     base = {"data": {"root": "/x"}, "model": {"factory": "mock"}}
     assert config.parse(base).run_hash() == config.parse(json.loads(json.dumps(base))).run_hash()
