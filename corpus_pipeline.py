@@ -1,7 +1,8 @@
 """A corpus pipeline over ``documents``: quality, line dedup, near-duplicates, mixing, tokens.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the last return the columns of
-``documents``, with ``n_chars`` counted anew where a text changes.
+``documents``, with ``n_chars`` counted anew where a text changes. Decisions join the texts by a sort-merge join at every
+size: there is one per document, so a broadcast of them would have no bound.
 """
 
 from __future__ import annotations
@@ -35,14 +36,14 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each near-duplicate group stays: that of the smallest id, once. Rows without an id stay."""
     groups = near_dedup.near_duplicates(docs, k=5, similarity=0.8)
     gone = groups.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    return docs.select(*COLUMNS).join(gone.hint("merge"), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it. Rows that repeat an id are taken as often as the one taken most."""
     mix = mixing.weighted_fair_mix(docs).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies"))
     mix = mix.withColumnRenamed("doc_id", "__id")
-    met = docs.select(*COLUMNS).join(mix, F.col("doc_id").eqNullSafe(F.col("__id")))
+    met = docs.select(*COLUMNS).join(mix.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")))
     return met.withColumn("__round", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 

@@ -209,7 +209,7 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: str = "
     # whole texts move once, and only those of some pair go on; later pairs are among the same representatives
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct()
     texts = slim.select(F.col("id").alias("tid"), "text").where("tid IS NOT NULL AND text IS NOT NULL")
-    texts = cut(texts.join(cut(wanted, "near-wanted"), _same("tid", "w"), "left_semi"), "near-texts")
+    texts = cut(texts.join(cut(wanted, "near-wanted").hint("merge"), _same("tid", "w"), "left_semi"), "near-texts")
 
     def compared(pairs: DataFrame) -> DataFrame:
         """The pairs of representatives with what ``_verify`` says of them."""
