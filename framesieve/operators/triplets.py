@@ -63,22 +63,42 @@ def checked_unique(frames: DataFrame, video: str = "video_id", index: str = "fra
     return frames.withColumn("__ok", F.when(repeated, fail.cast("boolean")).otherwise(F.lit(True))).where("__ok").drop("__ok")
 
 
-def consecutive_runs(frames: DataFrame, *, step: int = 1, video: str = "video_id", index: str = "frame_index") -> DataFrame:
-    """(video, start, end, n_frames) of maximal runs whose neighbours differ by exactly ``step``."""
-    island = F.col(index) - step * F.row_number().over(W.partitionBy(video).orderBy(index))
-    return frames.withColumn("__island", island).groupBy(video, "__island").agg(F.min(index).alias("start"), F.max(index).alias("end"), F.count("*").alias("n_frames")).drop("__island")
+#: Frames of a video that one window holds: a long video is dealt over tasks by blocks of its indices.
+BLOCK = 65_536
 
 
-def triplets(frames: DataFrame, *, stride: int = 1, video: str = "video_id", index: str = "frame_index") -> DataFrame:
+def block_of(index: Column, size: int) -> Column:
+    return F.floor(index / size)
+
+
+def consecutive_runs(frames: DataFrame, *, step: int = 1, video: str = "video_id", index: str = "frame_index", block: int = BLOCK) -> DataFrame:
+    """(video, start, end, n_frames) of maximal runs whose neighbours differ by exactly ``step``.
+
+    Runs are found inside blocks of indices first, so a window over a whole video only sees runs, not frames.
+    """
+    inside = W.partitionBy(video, "__block").orderBy(index)
+    rows = frames.select(video, index).withColumn("__block", block_of(F.col(index), block))
+    rows = rows.withColumn("__island", F.col(index) - step * F.row_number().over(inside))
+    runs = rows.groupBy(video, "__block", "__island").agg(F.min(index).alias("start"), F.max(index).alias("end"), F.count("*").alias("n"))
+    whole = W.partitionBy(video).orderBy("start")
+    opens = F.when(F.col("start") - F.lag("end").over(whole) == step, 0).otherwise(1)
+    runs = runs.withColumn("__open", opens).withColumn("__run", F.sum("__open").over(whole.rowsBetween(W.unboundedPreceding, 0)))
+    return runs.groupBy(video, "__run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n_frames")).drop("__run")
+
+
+def triplets(frames: DataFrame, *, stride: int = 1, video: str = "video_id", index: str = "frame_index", block: int = BLOCK) -> DataFrame:
     """(video, img0_index, gt_index, img1_index) wherever k, k + stride and k + 2 stride exist in a video.
 
-    One shuffle by video: a range frame sees whether both later frames exist, instead of two joins.
+    One shuffle by (video, block of indices): a range frame sees whether both later frames exist, instead of two joins.
+    The few frames that an earlier block's triplets reach are dealt to that block too.
     """
     if stride <= 0:
         raise ValueError("stride must be positive")
-    w = W.partitionBy(video).orderBy(index)
+    blocks = F.sequence(block_of(F.col(index) - 2 * stride, block), block_of(F.col(index), block))
+    rows = frames.select(video, index).distinct().withColumn("__block", F.explode(blocks))
+    w = W.partitionBy(video, "__block").orderBy(index)
     at = lambda n: F.count("*").over(w.rangeBetween(n, n)) > 0
-    found = frames.select(video, index).distinct().withColumn("__both", at(stride) & at(2 * stride)).where("__both")
+    found = rows.withColumn("__both", at(stride) & at(2 * stride)).where(F.col("__both") & (F.col("__block") == block_of(F.col(index), block)))
     return found.select(video, F.col(index).alias("img0_index"), (F.col(index) + stride).alias("gt_index"), (F.col(index) + 2 * stride).alias("img1_index"))
 
 
@@ -91,19 +111,25 @@ def sample_id(video: Column, stride: int, frames: list[tuple[Column, Column]]) -
     return F.sha2(F.to_json(F.struct(listed.alias("frames"), F.lit(stride).alias("stride"), F.lit(1).alias("version"), video.cast("string").alias("video_id"))), 256)
 
 
-def chunks(records: DataFrame, size: int, *, video: str = "video_id", order: tuple[str, ...] = ("frame_index",)) -> DataFrame:
+def chunks(records: DataFrame, size: int, *, video: str = "video_id", index: str = "frame_index", block: int = BLOCK) -> DataFrame:
     """Adds chunk_in_video (from 0) and chunk (global, videos in order): ``size`` consecutive rows of one video each.
 
-    Global numbers come from the per-video counts, so only the table of videos meets in one place.
+    Places come from counts: per block of indices, then per video, so no task holds a whole video, and only the table of
+    videos meets in one place. Rows of one index are numbered in any order.
     """
     if size <= 0:
         raise ValueError("chunk size must be positive")
-    w = W.partitionBy(video).orderBy(*order)
-    numbered = records.withColumn("chunk_in_video", F.floor((F.row_number().over(w) - 1) / size).cast("long"))
-    per = records.groupBy(video).agg(F.ceil(F.count("*") / size).alias("__n"))
-    first = F.coalesce(F.sum("__n").over(W.orderBy(video).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    per = per.select(F.col(video).alias("__v"), first.alias("__first"))
-    return numbered.join(per, F.col(video) == F.col("__v")).withColumn("chunk", F.col("__first") + F.col("chunk_in_video")).drop("__v", "__first")
+    rows = records.withColumn("__block", block_of(F.col(index), block))
+    counts = rows.groupBy(video, "__block").agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(W.partitionBy(video).orderBy("__block").rowsBetween(W.unboundedPreceding, -1))
+    starts = counts.select(F.col(video).alias("__v"), F.col("__block").alias("__b"), F.coalesce(before, F.lit(0)).alias("__start"))
+    per = counts.groupBy(video).agg(F.ceil(F.sum("__n") / size).alias("__k"))
+    first = F.coalesce(F.sum("__k").over(W.orderBy(video).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    per = per.select(F.col(video).alias("__w"), first.alias("__first"))
+    place = F.row_number().over(W.partitionBy(video, "__block").orderBy(index)) - 1
+    rows = rows.withColumn("__place", place).join(starts, (F.col(video) == F.col("__v")) & (F.col("__block") == F.col("__b"))).join(per, F.col(video) == F.col("__w"))
+    rows = rows.withColumn("chunk_in_video", F.floor((F.col("__start") + F.col("__place")) / size).cast("long"))
+    return rows.withColumn("chunk", F.col("__first") + F.col("chunk_in_video")).drop("__block", "__place", "__v", "__b", "__w", "__start", "__first")
 
 
 def dynamic_chunk_size(n: int, workers: int, most: int) -> int:

@@ -63,6 +63,13 @@ def test_random_merges_equal_frame_sets(spark):
             want.append(("v", run[0], run[-1], tuple(sorted(set().union(*[owners[x] for x in run])))))
             run = []
     assert plain(intervals.merge(segments(spark, hard), segments(spark, bars))) == want
+    far = [("v", s * 997, e * 997, i) for _, s, e, i in hard]  # over many blocks
+    cut = intervals.subtract(segments(spark, far), segments(spark, [("v", s * 997, e * 997, "b") for _, s, e, _ in bars]))
+    assert all(not (r["start"] <= b * 997 <= r["end"]) for r in cut.collect() for b in blocked & {s for _, s, _, _ in bars})
+    once = intervals.union(segments(spark, hard))
+    assert plain(intervals.union(segments(spark, hard), block=3)) == plain(once)
+    t = spark.createDataFrame([("v", s, e) for _, s, e, _ in hard[:6]], "video_id string, start long, end long")
+    assert plain(intervals.with_hard_centre(once, t, block=3)) == plain(intervals.with_hard_centre(once, t))
 
 
 def test_hard_centre_and_checks(spark):
@@ -98,6 +105,11 @@ def test_triplets_runs_chunks(spark):
     assert rows(tr.consecutive_runs(f)) == [("a", 1, 3, 3), ("a", 5, 5, 1), ("a", 7, 7, 1), ("a", 9, 9, 1), ("b", 1, 2, 2)]
     got = {(r["video_id"], r["frame_index"]): r["chunk"] for r in tr.chunks(f, 4).collect()}
     assert [got["a", i] for i in (1, 2, 3, 5, 7, 9)] == [0, 0, 0, 0, 1, 1] and got["b", 1] == 2
+    for block in (2, 3):  # long videos in blocks
+        assert rows(tr.triplets(f, stride=2, block=block)) == rows(tr.triplets(f, stride=2))
+        assert rows(tr.consecutive_runs(f, block=block)) == rows(tr.consecutive_runs(f))
+        assert rows(tr.consecutive_runs(f, step=2, block=block)) == rows(tr.consecutive_runs(f, step=2))
+        assert rows(tr.chunks(f, 4, block=block)) == rows(tr.chunks(f, 4))
     assert tr.dynamic_chunk_size(100, 4, 256) == 7 and tr.dynamic_chunk_size(0, 4, 256) == 1
 
 
