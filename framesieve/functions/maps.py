@@ -163,3 +163,25 @@ def window_means(a: Column, height: int, width: int, window: int) -> Column:
         return F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x"), ((at(y + sy, x + sx) - at(y, x + sx) - at(y + sy, x) + at(y, x)) / float(sy * sx)).alias("mean")) for y, x in grid])
 
     return let(summed, cells)
+
+
+def edge_endpoints(a: Column, height: int, width: int, threshold: float) -> Column:
+    """Number of pixels at or above a threshold with at most one such pixel among their eight neighbours."""
+
+    def lone(on: Column) -> Column:
+        def ends(i: Column) -> Column:
+            y, x = F.floor(i / width).cast("int"), (i % width).cast("int")
+            near = F.filter(on, lambda j: (j != i) & (F.abs(F.floor(j / width) - y) <= 1) & (F.abs(j % width - x) <= 1))
+            return F.size(near) <= 1
+
+        return F.size(F.filter(on, ends))
+
+    return let(F.filter(F.sequence(F.lit(0), F.lit(height * width - 1)), lambda i: F.get(a, i) >= threshold), lone)
+
+
+def border_overlap(x0: Column, y0: Column, x1: Column, y1: Column, height: int, width: int, fraction: float) -> Column:
+    """Share of a half-open box in the outer bands of an image."""
+    bx, by = -int(-width * fraction // 1), -int(-height * fraction // 1)
+    side = lambda a, b, band, n: F.greatest(F.least(b, F.lit(max(band, n - band))) - F.greatest(a, F.lit(band)), F.lit(0))
+    inner = side(x0, x1, bx, width) * side(y0, y1, by, height)
+    return clip(1.0 - inner / F.greatest((x1 - x0) * (y1 - y0), F.lit(1)))

@@ -192,6 +192,20 @@ def ledger_resume(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.unfinished(t, t.where("status = 'done'")).select("task_id", "status")
 
 
+def frame_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """(video, index) to path over all triplets, with the number of paths, which must be 1."""
+    t = _with_ids(tr.triplets(frames(spark, sf)))
+    f = t.select("video_id", F.explode(F.array("img0_index", "gt_index", "img1_index")).alias("frame_index"))
+    return f.withColumn("path", F.format_string("v%d/%05d.png", "video_id", "frame_index")).groupBy("video_id", "frame_index").agg(F.min("path").alias("path"), F.count_distinct("path").alias("paths"))
+
+
+def triplets_per_segment(spark: SparkSession, sf: str) -> DataFrame:
+    """How many triplets each segment offers for training."""
+    s = _segments(_decisions(spark, sf))
+    inside = iv.segment_frames(s, frames(spark, sf)).select(F.concat_ws(":", "video_id", "start").alias("segment"), "frame_index")
+    return tr.triplets(inside, video="segment").groupBy("segment").agg(F.count("*").alias("triplets"))
+
+
 _SEG = f"{_CLASSIFIED}, {_BARRIER_FRAMES.format('s, e')}, {_ISLANDS}"
 _HARD_SEG = "hs AS (SELECT * FROM seg WHERE seg_end - seg_start >= 2 AND EXISTS (SELECT 1 FROM d WHERE d.status = 'accept' AND d.video_id = seg.video_id AND d.s >= seg_start AND d.e <= seg_end))"
 _SAMPLES = "string_agg(DISTINCT k.sample_id, ',' ORDER BY k.sample_id)"
@@ -238,6 +252,8 @@ QUERIES = {
     "record_segment_match": (record_segment_match, f"{_SEG}, {_HARD_SEG}, lent AS (SELECT DISTINCT k.sample_id FROM hs JOIN kept k ON k.video_id = hs.video_id AND k.f BETWEEN seg_start AND seg_end) SELECT d.sample_id, d.status, hs.seg_start AS segment_start, hs.seg_end AS segment_end, hs.video_id IS NOT NULL AS covered_by_segment, lent.sample_id IS NOT NULL AS contributed_to_segment, hs.video_id IS NOT NULL AND d.status = 'accept' AS selected FROM d LEFT JOIN hs ON hs.video_id = d.video_id AND d.s >= seg_start AND d.e <= seg_end LEFT JOIN lent ON lent.sample_id = d.sample_id"),
     "segment_frames": (segment_frames, f"{_SEG}, {_HARD_SEG} SELECT hs.video_id, seg_start, fr.frame_index FROM hs JOIN fr ON fr.video_id = hs.video_id AND fr.frame_index BETWEEN seg_start AND seg_end"),
     "segment_ids": (segment_ids, f"{_SEG}, {_HARD_SEG} SELECT video_id, seg_start, substr(sha256('0123456789abcdef' || chr(0) || video_id || chr(0) || seg_start || chr(0) || seg_end), 1, 20) AS segment_id FROM hs"),
+    "frame_lookup": (frame_lookup, f"WITH {FR}, {_TRIPLES}, f AS (SELECT DISTINCT video_id, unnest(generate_series(s, e)) AS frame_index FROM t) SELECT video_id, frame_index, 'v' || video_id || '/' || printf('%05d', frame_index) || '.png' AS path, 1::BIGINT AS paths FROM f"),
+    "triplets_per_segment": (triplets_per_segment, f"{_SEG}, {_HARD_SEG} SELECT hs.video_id || ':' || seg_start AS segment, count(*) AS triplets FROM hs JOIN t ON t.video_id = hs.video_id AND t.s >= seg_start AND t.e <= seg_end GROUP BY ALL"),
     "overlay_update": (overlay_update, f"{_CLASSIFIED} SELECT sample_id, CASE WHEN s % 2 = 0 AND status = 'review' THEN 'accept' WHEN s % 2 = 0 AND status = 'accept' THEN 'review' ELSE status END AS status, CASE WHEN s % 2 = 0 AND status IN ('accept', 'review') THEN 0.75::DOUBLE ELSE 0.25::DOUBLE END AS p_wrong FROM d"),
     "coverage_missing": (coverage_missing, f"{_CLASSIFIED} SELECT DISTINCT sample_id FROM d WHERE s % 7 = 0"),
     "coverage_extra": (coverage_extra, f"{_CLASSIFIED} SELECT DISTINCT sample_id FROM d WHERE s % 5 <> 0 AND s % 3 = 0"),

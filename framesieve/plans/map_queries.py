@@ -186,6 +186,18 @@ def iou_containment(spark: SparkSession, sf: str) -> DataFrame:
     return b.select("p_partkey", r6(F.col("o.iou")).alias("iou"), r6(F.col("o.containment")).alias("containment"))
 
 
+def edge_endpoints(spark: SparkSession, sf: str) -> DataFrame:
+    return luma_maps(spark, sf).select("vec_id", m.edge_endpoints(F.col("luma"), H, W, 0.57).alias("endpoints"))
+
+
+def ui_weight(spark: SparkSession, sf: str) -> DataFrame:
+    """Part boxes on an 16x16 image as regions that may be overlays."""
+    b = _boxes(spark, sf)
+    over = m.border_overlap(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), 16, 16, 0.20)
+    b = b.withColumn("over", over).withColumn("u", diagnosis.ui_weight(F.col("over"), F.col("p_partkey") % 8 / 100.0, F.col("p_partkey") % 5 / 100.0, F.col("p_partkey") % 9 / 50.0))
+    return b.select("p_partkey", r6(F.col("over")).alias("border_overlap"), r6(F.col("u.ui_likelihood")).alias("ui_likelihood"), r6(F.col("u.priority_weight")).alias("priority_weight"))
+
+
 def region_labels(spark: SparkSession, sf: str) -> DataFrame:
     """Parts as measured regions."""
     p = table(spark, sf, "part")
@@ -302,6 +314,14 @@ SELECT p_partkey, coalesce(array_to_string(list_filter([
 
 _BOX = "WITH k AS (SELECT p_brand, p_partkey, p_size % 7 AS x0, p_partkey % 5 AS y0, p_size % 7 + p_partkey % 6 + 2 AS x1, p_partkey % 5 + p_size % 4 + 2 AS y1 FROM part), n AS (SELECT *, lead(x0) OVER w AS a0, lead(y0) OVER w AS b0, lead(x1) OVER w AS a1, lead(y1) OVER w AS b1 FROM k WINDOW w AS (PARTITION BY p_brand ORDER BY p_partkey)), i AS (SELECT *, greatest(least(x1, a1) - greatest(x0, a0), 0) * greatest(least(y1, b1) - greatest(y0, b0), 0) AS both_, (x1 - x0) * (y1 - y0) AS s1, (a1 - a0) * (b1 - b0) AS s2 FROM n WHERE a0 IS NOT NULL) SELECT p_partkey, round(both_ / CAST(s1 + s2 - both_ AS DOUBLE), 6) AS iou, round(CASE WHEN both_ > 0 THEN both_ / CAST(least(s1, s2) AS DOUBLE) ELSE 0 END, 6) AS containment FROM i"
 
+_ENDS = f"WITH {PX}, o AS (SELECT vec_id, x, y FROM px WHERE l >= 0.57), n AS (SELECT a.vec_id, a.x, a.y, count(b.x) AS k FROM o a LEFT JOIN o b ON a.vec_id = b.vec_id AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1 AND (a.x <> b.x OR a.y <> b.y) GROUP BY ALL), c AS (SELECT vec_id, count(*) FILTER (k <= 1) AS e FROM n GROUP BY vec_id) SELECT e.vec_id, CAST(coalesce(c.e, 0) AS INTEGER) AS endpoints FROM embeddings e LEFT JOIN c ON c.vec_id = e.vec_id"
+_UI = """
+WITH k AS (SELECT p_partkey, p_size % 7 AS x0, p_partkey % 5 AS y0, p_size % 7 + p_partkey % 6 + 2 AS x1, p_partkey % 5 + p_size % 4 + 2 AS y1 FROM part),
+o AS (SELECT p_partkey, least(greatest(1 - greatest(least(x1, 12) - greatest(x0, 4), 0) * greatest(least(y1, 12) - greatest(y0, 4), 0) / CAST((x1 - x0) * (y1 - y0) AS DOUBLE), 0), 1) AS ov FROM k),
+u AS (SELECT p_partkey, ov, least(greatest((ov - 0.5::DOUBLE) / 0.5::DOUBLE, 0), 1) * least(greatest(1 - (0.6::DOUBLE * (p_partkey % 8 / 100.0::DOUBLE) + 0.4::DOUBLE * (p_partkey % 5 / 100.0::DOUBLE)) / 0.08::DOUBLE, 0), 1) * least(greatest(p_partkey % 9 / 50.0::DOUBLE / 0.12::DOUBLE, 0), 1) AS ui FROM o)
+SELECT p_partkey, round(ov, 6) AS border_overlap, round(ui, 6) AS ui_likelihood, round(1 - ui * 0.65::DOUBLE, 6) AS priority_weight FROM u
+"""
+
 QUERIES = {
     "luma_stats": (luma_stats, f"WITH {PX} SELECT vec_id, round(avg(l), 6) AS mean, round(max(l), 6) AS max, round(quantile_cont(l, 0.95::DOUBLE), 6) AS q95, round(quantile_cont(l, 0.99::DOUBLE), 6) AS q99, round(quantile_cont(l, 0.999::DOUBLE), 6) AS q999 FROM px GROUP BY vec_id"),
     "map_quantiles": (map_quantiles, f"WITH {PX} SELECT vec_id, " + ", ".join(f"round(quantile_cont(l, {q}::DOUBLE), 6) AS q{round(q * 100)}" for q in (0.5, 0.75, 0.9, 0.96)) + " FROM px GROUP BY vec_id"),
@@ -323,4 +343,6 @@ QUERIES = {
     "primary_region": (primary_region, "WITH k AS (SELECT p_brand, p_partkey, floor(p_retailprice) % 20 / 20.0::DOUBLE AS w, p_size % 10 / 10.0::DOUBLE AS s, CASE WHEN p_partkey % 2 = 0 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS q FROM part), r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY w * s * q DESC, w * q DESC, w DESC, p_partkey) AS k FROM k) SELECT p_brand, p_partkey AS region_index FROM r WHERE k = 1"),
     "iou_containment": (iou_containment, _BOX),
     "region_labels": (region_labels, _REGION_LABELS),
+    "edge_endpoints": (edge_endpoints, _ENDS),
+    "ui_weight": (ui_weight, _UI),
 }
