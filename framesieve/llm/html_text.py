@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,6 +27,7 @@ ENDED_BY = {
     "thead": frozenset({"tbody", "tfoot"}), "tbody": frozenset({"tbody", "tfoot"}), "option": frozenset({"option", "optgroup"}),
     "head": frozenset({"body"}),
 }
+_ENDERS = frozenset().union(*ENDED_BY.values())
 #: What an element may not be ended through.
 SCOPE = frozenset("html body table td th caption object template button article section main aside nav header footer div form ul ol dl blockquote".split())
 #: Words of class, id and role values that mark menus, adverts, notices and comments.
@@ -35,6 +37,8 @@ MARKED = frozenset(
     "promo promoted promotion related replies respond share sharing sidebar signup social sponsor sponsored subscribe taboola toolbar widget widgets complementary contentinfo search reactions".split()
 )
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?:(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>|[!?/][^>]*(?:>|\Z))", re.S)
+#: A tag with a quote that never ends: up to the next ">".
+_PLAIN_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*?)(/?)>")
 _ATTRIBUTE = re.compile(r"(?:^|\s|/)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)|(?=[\s/>]|$))", re.I)
 _SPLIT = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SPACE = re.compile(r"\s+")
@@ -66,15 +70,31 @@ def parse(page: str) -> Node:
     """The DOM of a page, tolerant of missing and stray end tags; content of noise elements is marked as such."""
     root = Node("#document", None, False)
     node, at, n = root, 0, len(page)
+    last = page.rfind(">")
+    open_tags: Counter = Counter()
+
+    def next_tag(begin: int) -> tuple[int, re.Match | None]:
+        """Where the next tag or comment begins, and its match; a lone "<" is text, and so is all after the last ">"."""
+        while (begin := page.find("<", begin)) >= 0:
+            match = (_TAG.match(page, begin) or _PLAIN_TAG.match(page, begin)) if begin <= last or page.startswith(("<!", "<?", "</"), begin) else None
+            if match is not None:
+                return begin, match
+            if begin > last and all(page.find(x, begin) < 0 for x in ("<!", "<?", "</")):
+                break
+            begin += 1
+        return n, None
+
+    def close(child: Node) -> None:
+        """Ends the open elements down to ``child``."""
+        nonlocal node
+        while True:
+            ended, node = node, node.parent
+            open_tags[ended.tag] -= 1
+            if ended is child:
+                return
+
     while at < n:
-        begin = page.find("<", at)
-        if begin < 0:
-            begin = n
-        match = _TAG.match(page, begin) if begin < n else None
-        while begin < n and match is None:  # a lone "<" is text
-            begin = page.find("<", begin + 1)
-            begin = n if begin < 0 else begin
-            match = _TAG.match(page, begin) if begin < n else None
+        begin, match = next_tag(at)
         if begin > at:
             node.items.append(page[at:begin])
         if match is None:
@@ -85,21 +105,21 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if closing:
-            found = node
+            found = node if open_tags[tag] > 0 else root
             while found is not root and found.tag != tag:
                 if found.tag in SCOPE and tag not in SCOPE:
                     found = root
                     break
                 found = found.parent
             if found is not root:
-                node = found.parent
+                close(found)
             elif tag == "br":
                 node.items.append(Node("br", node, False))
             continue
-        open_ = node
+        open_ = node if tag in _ENDERS else root
         while open_ is not root:
             if tag in ENDED_BY.get(open_.tag, ()):
-                node = open_.parent
+                close(open_)
                 open_ = node
                 continue
             if open_.tag in SCOPE:
@@ -117,6 +137,7 @@ def parse(page: str) -> Node:
             at = end.end() if end else n
             continue
         node = child
+        open_tags[tag] += 1
     _settle(root)
     return root
 

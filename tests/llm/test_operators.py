@@ -269,6 +269,22 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("page", ["<a " * 30_000, "<" * 50_000, '<a "x ' * 9_999 + ">", "<!--" * 20_000, "<div>" * 20_000 + "x", "</p>" * 30_000, "<b>" * 20_000 + "</i>" * 20_000, "<ul><li>" * 8_000 + "x", "<p><b>" * 20_000, "&#x110000;&bogus;&" * 5_000], ids=lambda p: p[:6])
+def test_hostile_pages_take_linear_time(page):
+    import time
+
+    began = time.process_time()
+    assert isinstance(html_text.main_text(page), str)
+    assert time.process_time() - began < 5
+
+
+def test_html_tag_soup_never_fails():
+    rng = random.Random(15)
+    pieces = ["<p>", "</p>", "<div class='ad", "'>", "<b", ">", "</", "article>", "<!--", "-->", "x < y", "&amp;", "<script>", "</script>", '"', "<li>", "<table><tr><td>", "</div>", "text ", "<!doctype html>"]
+    for _ in range(400):
+        html_text.main_text("".join(rng.choice(pieces) for _ in range(rng.randrange(40))))
+
+
 def test_html_rows_and_long_pages(spark):
     long_page = "<body><article>" + "<p>some words of a paragraph</p>" * 5000 + "</article></body>"
     deep = "<div>" * 3000 + "<p>deep text</p>" + "</div>" * 3000
