@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -35,8 +36,14 @@ def dedup_lines(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text
     later = runs.join(firsts, (F.col("v1") == F.col("w1")) & (F.col("v2") == F.col("w2"))).where(place > F.col("first"))
     same = F.col("first.i").eqNullSafe(F.col("__id")) & (F.col("first.k") == F.col("__k"))
     begin = F.when(same, F.greatest(F.col("pos"), F.col("first.p") + window)).otherwise(F.col("pos"))
-    covered = later.groupBy("__id", "__k").agg(F.array_sort(F.collect_list(F.struct(begin.alias("a"), (F.col("pos") + window).alias("b")))).alias("spans"))
-    covered = covered.select(F.col("__id").alias("__cid"), F.col("__k").alias("__ck"), _merged("spans").alias("__spans"))
+    spans = later.select("__id", "__k", begin.alias("a"), (F.col("pos") + window).alias("b")).where("a < b")
+    # touching spans of a document are merged by a running maximum; one shuffle by document serves all three steps
+    order = W.partitionBy("__id", "__k").orderBy("a", "b")
+    opens = F.when(F.col("a") <= F.max("b").over(order.rowsBetween(W.unboundedPreceding, -1)), 0).otherwise(1)
+    spans = spans.withColumn("open", opens).withColumn("run", F.sum("open").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    spans = spans.groupBy("__id", "__k", "run").agg(F.struct(F.min("a").alias("a"), F.max("b").alias("b")).alias("span"))
+    covered = spans.groupBy("__id", "__k").agg(F.array_sort(F.collect_list("span")).alias("__spans"))
+    covered = covered.select(F.col("__id").alias("__cid"), F.col("__k").alias("__ck"), "__spans")
     left = docs.withColumn("__k", F.xxhash64(text))
     joined = left.join(covered, F.col(id_column).eqNullSafe(F.col("__cid")) & (F.col("__k") == F.col("__ck")) & F.col(text).isNotNull(), "left")
     all_lines = F.split(F.col(text), "\n", -1)
@@ -56,16 +63,3 @@ def dedup_lines(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text
     })
     return out.drop("__k", "__cid", "__ck", "__spans", "__all")
 
-
-def _merged(spans: str):
-    """Sorted half-open spans merged where they touch; empty ones dropped."""
-    empty = F.array().cast("array<struct<a:int,b:int>>")
-
-    def step(done, s):
-        last = F.element_at(done, -1)
-        grown = F.struct(last["a"].alias("a"), F.greatest(last["b"], s["b"]).alias("b"))
-        one = F.array(F.struct(s["a"].cast("int").alias("a"), s["b"].cast("int").alias("b")))
-        joins = (F.size(done) > 0) & (F.get(done, F.size(done) - 1)["b"] >= s["a"])
-        return F.when(s["b"] <= s["a"], done).when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(grown))).otherwise(F.concat(done, one))
-
-    return F.aggregate(F.col(spans), empty, step)
