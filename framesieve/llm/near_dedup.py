@@ -90,12 +90,12 @@ def _sketches(k: int, bands: int, rows: int):
         shingles = Shingler(k)
         for batch in batches:
             n, digests, keys = [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 items = shingles(text.as_py())
                 n.append(len(items))
                 digests.append(xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None)
                 keys.append(_band_keys(fast_sketch(items, bands * rows), bands, rows) if len(items) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "n", "digest", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "th", "n", "digest", "bands"])
 
     return run
 
@@ -177,8 +177,11 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: str = "
     Words are lower-cased in A-Z; a text with fewer than ``k`` words is one shingle. Null, empty and blank texts have no
     shingles and link with nothing. Rows whose shingle sets are equal form a class; classes are linked where the exact
     similarity of their sets reaches ``similarity``; ``component_id`` is the smallest id reachable, ``kept`` tells the
-    rows with that id. Rows that repeat an id are one class if their texts are; ids must not be null (such rows link with
-    nothing and keep a null component). An empty table gives no rows.
+    rows with that id. Rows that repeat an id are one class if their texts are, and link by their own texts if not; ids
+    must not be null (such rows link with nothing and keep a null component). An empty table gives no rows.
+
+    Below, ``rep`` numbers a class: its smallest id, or a hash for every further class with that smallest id. One row with
+    the class's text stands for it, however often it is repeated.
 
     Candidates come from bands of a fast similarity sketch. Every class meets the centre of each of its bands,
     the class that shares its own bands with most others, and similar pairs are links. For the other pairs of a band let D(x) be the items by which x differs from the
@@ -191,11 +194,13 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: str = "
     No cap is set on a band.
     """
     bands, rows = banding(similarity, miss)
-    slim = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
-    sketched = cut(slim.mapInArrow(_sketches(k, bands, rows), "id long, n long, digest binary, bands array<bigint>"), "near-sketches")
+    slim = docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("th"), F.col(text).alias("text"))
+    sketched = cut(slim.mapInArrow(_sketches(k, bands, rows), "id long, th long, n long, digest binary, bands array<bigint>"), "near-sketches")
     known = sketched.where("digest IS NOT NULL AND id IS NOT NULL")
-    classes = cut(known.groupBy("digest").agg(F.min("id").alias("rep")), "near-classes")
-    heads = known.join(classes.select(F.col("digest").alias("d"), "rep"), _same("digest", "d") & _same("id", "rep"))
+    classes = known.groupBy("digest").agg(F.min("id").alias("low"), F.min_by("th", "id").alias("low_th"))
+    nth = F.row_number().over(W.partitionBy("low").orderBy("digest"))
+    classes = cut(classes.withColumn("rep", F.when(nth == 1, F.col("low")).otherwise(F.xxhash64("low", "digest"))), "near-classes")
+    heads = known.join(classes.select(F.col("digest").alias("d"), "low", "rep"), _same("digest", "d") & _same("id", "low"))
     keyed = cut(heads.select("rep", F.explode("bands").alias("band")).distinct(), "near-bands")
     counts = keyed.groupBy(F.col("band").alias("key")).agg(F.count("*").alias("n_in")).where("n_in > 1")
     shared = cut(keyed.join(cut(counts, "near-counts"), _same("band", "key")).select("band", "rep", "n_in"), "near-shared")
@@ -208,8 +213,10 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: str = "
     pairs = cut(pairs, "near-pairs")
     # whole texts move once, and only those of some pair go on; later pairs are among the same representatives
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct()
-    texts = slim.select(F.col("id").alias("tid"), "text").where("tid IS NOT NULL AND text IS NOT NULL")
-    texts = cut(texts.join(cut(wanted, "near-wanted").hint("merge"), _same("tid", "w"), "left_semi"), "near-texts")
+    wanted = wanted.join(classes.select("rep", "low", "low_th"), _same("w", "rep")).select(F.col("rep").alias("tid"), "low", "low_th")
+    texts = slim.where("id IS NOT NULL AND text IS NOT NULL").join(cut(wanted, "near-wanted").hint("merge"), _same("id", "low") & _same("th", "low_th"))
+    # a row that is repeated counts once, or every pair of its class would be compared and counted as often
+    texts = cut(texts.dropDuplicates(["id", "th"]).select("tid", "text"), "near-texts")
 
     def compared(pairs: DataFrame) -> DataFrame:
         """The pairs of representatives with what ``_verify`` says of them."""
@@ -243,7 +250,10 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: str = "
     more = compared(cut(met, "near-more")).where("linked").select("a", "b")
     if not more.isEmpty():
         part = cut(components(edges.unionAll(more)), "near-parts")
-    joined = sketched.select("id", "n", "digest").join(classes.select(F.col("digest").alias("d"), "rep"), _same("digest", "d"), "left")
+    if not classes.where("rep <> low").isEmpty():  # a component's smallest number is then not always its smallest id
+        least = part.join(classes, _same("node", "rep")).groupBy(F.col("component").alias("c")).agg(F.min("low").alias("least"))
+        part = part.join(least, _same("component", "c")).select("node", F.col("least").alias("component"))
+    joined = sketched.select("id", "n", "digest").join(classes.select(F.col("digest").alias("d"), "low", "rep"), _same("digest", "d"), "left")
     joined = joined.join(part, _same("rep", "node"), "left")
-    component = F.coalesce("component", "rep", "id")
+    component = F.coalesce("component", "low", "id")
     return joined.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -510,6 +511,45 @@ def test_near_duplicates_repeated_null_and_no_rows(spark):
     assert near_dedup.near_duplicates(rows.limit(0)).count() == 0
 
 
+def test_near_duplicates_with_a_repeated_centre(spark, monkeypatch):
+    """All rows share one band, the centre's row is repeated, and the links are between rows that are not similar to it."""
+    real = near_dedup._sketches
+
+    def one_band(*args):
+        inner = real(*args)
+
+        def run(batches):
+            for batch in inner(batches):
+                keys = pa.array([None if v is None else [0] for v in batch.column("bands").to_pylist()], pa.list_(pa.int64()))
+                yield batch.set_column(batch.schema.get_field_index("bands"), "bands", keys)
+
+        return run
+
+    monkeypatch.setattr(near_dedup, "_sketches", one_band)
+    rng = random.Random(14)
+    base = prose(rng, 150).split()
+    texts = [" ".join(base)]
+    for first in range(4):  # pairs exactly at the threshold: five changes in common, two of their own
+        shared = {5 + first + 10 * i: f"s{first}{i}" for i in range(5)}
+        for own in range(2):
+            changed = shared | {80 + first + 10 * (2 * i + own): f"o{first}{own}{i}" for i in range(2)}
+            texts.append(" ".join(changed.get(at, w) for at, w in enumerate(base)))
+    docs = documents(spark, texts)
+    got = near_dedup.near_duplicates(docs.unionAll(docs.where("doc_id = 0")), k=3, similarity=0.85).collect()
+    want = brute_components(texts, 3, 85)
+    assert want[2][1] == 1 and len(got) == len(texts) + 1
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(i, c) for i, (_, c) in enumerate(want)}
+
+
+def test_near_duplicates_of_one_id_with_two_texts_link_apart(spark):
+    rng = random.Random(16)
+    a, b = prose(rng, 80).split(), prose(rng, 80).split()
+    near = lambda w: " ".join([*w[:-1], "changed"])
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (5, " ".join(b)), (2, near(a)), (9, near(b)), (7, "quite another text"), (7, "and one more")]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=3, similarity=0.85).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(2, 2), (5, 2), (5, 5), (5, 5), (7, 7), (7, 7), (9, 5)]
+
+
 def test_fast_sketch_fills_and_concentrates():
     rng = np.random.default_rng(13)
     for n in (1, 2, 5, 40, 900):
