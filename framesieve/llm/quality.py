@@ -72,12 +72,12 @@ def _terms(difference: float, ratio: float) -> np.ndarray:
     return np.array([1.0, 10 * difference, packed, packed**2])
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
-    """Newton's method on the ridge-penalised logistic loss."""
+def _logistic(x: np.ndarray, y: np.ndarray, row_weights: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
+    """Newton's method on the ridge-penalised logistic loss of weighted rows."""
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (y - p) - ridge * w)
+        step = np.linalg.solve((x * (row_weights * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (row_weights * (y - p)) - ridge * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -93,12 +93,16 @@ def _dictionary(texts: list[bytes], size: int) -> bytes:
         return b"".join(samples)[:size] or b" "
 
 
-def train(good: list[str], bad: list[str], *, dict_bytes: int = 64 << 10, level: int = 3) -> CompressionModel:
-    """Half of the texts of each label makes the dictionaries, the other half the calibration."""
+def train(good: list[str], bad: list[str], *, counts: tuple[int, int] | None = None, dict_bytes: int = 64 << 10, level: int = 3) -> CompressionModel:
+    """Half of the texts of each label makes the dictionaries, the other half the calibration.
+
+    ``counts`` are the good and bad texts there are where these are samples; the calibration rows are weighted to that
+    ratio, so a bound on the sample does not move the scores.
+    """
     data = [[t.encode("utf-8", "surrogatepass") for t in texts if t] for texts in (good, bad)]
     made = [_dictionary(texts[::2] or texts, dict_bytes) for texts in data]
-    total = max(1, len(good) + len(bad))
-    prior = len(good) / total if good or bad else 0.5
+    n_good, n_bad = counts or (len(good), len(bad))
+    prior = n_good / (n_good + n_bad) if n_good or n_bad else 0.5
     draft = CompressionModel(made[0], made[1], level, (0.0, 10.0, 0.0, 0.0), prior)
     scorer = draft.scorer()
     held = [texts[1::2] for texts in data]
@@ -106,13 +110,16 @@ def train(good: list[str], bad: list[str], *, dict_bytes: int = 64 << 10, level:
         return draft
     x = np.array([_terms(*scorer.evidence(t.decode("utf-8", "surrogatepass"))) for texts in held for t in texts])
     y = np.array([1.0] * len(held[0]) + [0.0] * len(held[1]))
-    return CompressionModel(made[0], made[1], level, tuple(_logistic(x, y)), prior)
+    shares = (prior, 1 - prior)
+    row_weights = np.concatenate([np.full(len(texts), share * len(y) / len(texts)) for texts, share in zip(held, shares, strict=True)])
+    return CompressionModel(made[0], made[1], level, tuple(_logistic(x, y, row_weights)), prior)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id", text: str = "text", label: str = "quality", sample: int = 1500, longest: int = 32768, seed: int = 7) -> CompressionModel:
     """Fits on at most ``sample`` labelled texts of each label, in hash order, of at most ``longest`` characters each.
 
-    The bound covers what reaches the driver; scoring has no such bound. Rows with null ids, labels or texts are left
+    The bound covers what reaches the driver; scoring has no such bound. The labels' ratio is counted over all labelled
+    rows with a text, however many are drawn. Rows with null ids, labels or texts are left
     out. Without rows of a label the dictionaries fall back to what there is, and scores to the size difference.
     """
     wanted = labels.where(F.col(label).isNotNull() & F.col(id_column).isNotNull()).select(F.col(id_column).alias("__id"), F.col(label).cast("int").alias("__label")).distinct()
@@ -121,7 +128,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id"
     rows = docs.where(F.col(text).isNotNull() & (F.length(text) <= longest)).select(F.col(id_column).alias("__id"), F.col(text).alias("__text"))
     found = rows.join(F.broadcast(drawn), "__id")  # at most 4 * sample ids
     good, bad = ([r[0] for r in found.where(F.col("__label") == v).orderBy(order, "__id", "__text").limit(sample).select("__text").collect()] for v in (1, 0))
-    return train(good, bad)
+    texts = docs.where(F.col(text).isNotNull()).select(F.col(id_column).alias("__id"))
+    counts = dict(texts.join(wanted.where("__label IN (0, 1)"), "__id").groupBy("__label").count().collect())
+    return train(good, bad, counts=(counts.get(1, 0), counts.get(0, 0)))
 
 
 def score_quality(docs: DataFrame, model: CompressionModel, *, text: str = "text", score: str = "score") -> DataFrame:

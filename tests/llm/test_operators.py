@@ -76,6 +76,17 @@ def test_quality_fits_without_labels_of_one_kind(spark):
     assert 0 <= empty.scorer().score("") <= 1
 
 
+def test_quality_bound_on_the_sample_keeps_the_ratio(spark):
+    """Labels that texts do not explain: scores are the share of good texts, though the sample holds as many bad ones."""
+    rng = random.Random(17)
+    docs = documents(spark, [prose(rng, 60) for _ in range(280)])
+    labels = spark.createDataFrame([(i, int(i % 7 > 0), 0) for i in range(280)], "doc_id long, quality int, toxic int")
+    model = quality.fit_quality(docs, labels, sample=40)
+    assert model.empty_score == pytest.approx(6 / 7)
+    s = model.scorer()
+    assert np.mean([s.score(prose(rng, 60)) for _ in range(50)]) == pytest.approx(6 / 7, abs=0.12)
+
+
 # --- 2 URLs
 
 
