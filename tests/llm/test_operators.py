@@ -127,6 +127,19 @@ def test_url_trees_learn_lexical_features(spark):
     assert url_filter.filter_urls(rows.select("url").limit(0), model).count() == 0
 
 
+def test_url_weak_labels_and_names_tell_the_six_kinds_of_bad_hosts(spark):
+    from framesieve.llm import queries
+
+    kinds = ("casino-win", "cheap-pills", "spam-farm", "free-bets", "ads-track", "adult-x")
+    hosts = [f"m.{kind}.example.com" for kind in kinds]
+    rows = spark.createDataFrame([(f"http://{h}/fr/1",) for h in [*hosts, "free-stuff.example.com", "blog.tionsh.example.com"]] + [("no scheme",)], "url string")
+    assert [r["label"] for r in url_filter.weak_labels(rows).collect()] == [1] * 6 + [None, 0, None]
+    judged = queries.op2_url_filter(spark, "/root/testdata/sf0.1").where("rule IS NULL").select("host", "verdict").collect()
+    bad = [r["verdict"] for r in judged if any(kind in r["host"] for kind in kinds)]
+    good = [r["verdict"] for r in judged if not any(kind in r["host"] for kind in kinds)]
+    assert bad.count("block") >= 0.9 * len(bad) and good.count("block") <= 0.01 * len(good)
+
+
 def test_url_model_of_one_label_is_its_prior(spark):
     model = url_filter.fit_url_model(spark.createDataFrame([("http://a.b/", 0), (None, 1)], "url string, label int"))
     assert model.trees is None and model.prior == 0.0
