@@ -118,18 +118,26 @@ def train(good: list[str], bad: list[str], *, counts: tuple[int, int] | None = N
 def fit_quality(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id", text: str = "text", label: str = "quality", sample: int = 1500, longest: int = 32768, seed: int = 7) -> CompressionModel:
     """Fits on at most ``sample`` labelled texts of each label, in hash order, of at most ``longest`` characters each.
 
-    The bound covers what reaches the driver; scoring has no such bound. The labels' ratio is counted over all labelled
-    rows with a text, however many are drawn. Rows with null ids, labels or texts are left
-    out. Without rows of a label the dictionaries fall back to what there is, and scores to the size difference.
+    The bounds cover what reaches the driver; scoring has none. Ids are drawn where their hash lies under the share that
+    twice the bound is of their label's rows, so no table is sorted for it. The labels' ratio is counted over all
+    labelled rows with a text, however many are drawn. Rows with null ids, labels or texts are left out, rows that repeat
+    an (id, label) count once, further columns are not read. Without rows of a label the dictionaries fall back to what
+    there is, and scores to the size difference.
     """
-    wanted = labels.where(F.col(label).isNotNull() & F.col(id_column).isNotNull()).select(F.col(id_column).alias("__id"), F.col(label).cast("int").alias("__label")).distinct()
+    wanted = labels.where(F.col(label).isNotNull() & F.col(id_column).isNotNull()).select(F.col(id_column).alias("__id"), F.col(label).cast("int").alias("__label")).where("__label IN (0, 1)").distinct()
     order = F.xxhash64(F.lit(seed), "__id")
-    drawn = wanted.where("__label = 1").orderBy(order, "__id").limit(2 * sample).unionAll(wanted.where("__label = 0").orderBy(order, "__id").limit(2 * sample))
+    labelled = {r["__label"]: r["count"] for r in wanted.groupBy("__label").count().collect()}  # two rows
+
+    def below(value: int) -> int:
+        """The hash below which about twice the bound of this label's ids lie."""
+        return min(2**63 - 1, int(2**64 * min(1.0, 2 * sample / labelled.get(value, 1))) - 2**63)
+
+    drawn = wanted.where(order <= F.when(F.col("__label") == 1, F.lit(below(1))).otherwise(F.lit(below(0))))
     rows = docs.where(F.col(text).isNotNull() & (F.length(text) <= longest)).select(F.col(id_column).alias("__id"), F.col(text).alias("__text"))
-    found = rows.join(F.broadcast(drawn), "__id")  # at most 4 * sample ids
+    found = rows.join(F.broadcast(drawn), "__id")  # about 4 * sample ids
     good, bad = ([r[0] for r in found.where(F.col("__label") == v).orderBy(order, "__id", "__text").limit(sample).select("__text").collect()] for v in (1, 0))
     texts = docs.where(F.col(text).isNotNull()).select(F.col(id_column).alias("__id"))
-    counts = dict(texts.join(wanted.where("__label IN (0, 1)"), "__id").groupBy("__label").count().collect())
+    counts = dict(texts.join(wanted, "__id").groupBy("__label").count().collect())
     return train(good, bad, counts=(counts.get(1, 0), counts.get(0, 0)))
 
 
@@ -137,10 +145,14 @@ def score_quality(docs: DataFrame, model: CompressionModel, *, text: str = "text
     """Adds ``score`` to every row: near 1 where the text packs better beside good text.
 
     Whole texts are compressed, block by block. Null and empty texts score the share of good texts in the fit. Rows that
-    repeat score alike; an empty table gives no rows.
+    repeat score alike; an empty table gives no rows. An incoming column named ``score`` is replaced (unless it is the
+    text's own), any other column is kept.
     """
-    schema = StructType([*docs.schema.fields, StructField(score, DoubleType())])
-    names = docs.columns
+    if score == text:
+        raise ValueError("the score needs a column of its own")
+    kept = docs.drop(score)
+    schema = StructType([*kept.schema.fields, StructField(score, DoubleType())])
+    names = kept.columns
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,4 +161,4 @@ def score_quality(docs: DataFrame, model: CompressionModel, *, text: str = "text
             scores = pa.array([scorer.score(t.as_py()) for t in batch.column(at)], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*names, score])
 
-    return docs.mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema)

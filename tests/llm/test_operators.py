@@ -19,6 +19,7 @@ from framesieve.llm import bpe, fingerprint, html_text, line_dedup, mixing, near
 from framesieve.llm.common import n_words
 
 LONG = "word " * 40_000
+DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -60,7 +61,8 @@ def test_quality_tells_held_out_texts_apart(quality_model):
 
 def test_quality_scores_every_row_within_bounds(spark, quality_model):
     model, good, bad = quality_model
-    docs = documents(spark, [None, "", "x", LONG, good[0], good[0], bad[0]]).withColumn("__id", F.lit(1))
+    docs = documents(spark, [None, "", "x", LONG, good[0], good[0], bad[0]]).withColumn("__id", F.lit(1)).withColumn("score", F.lit("clash"))
+    assert quality.score_quality(docs, model).columns == [*DOC_COLUMNS, "__id", "score"]
     rows = {r["doc_id"]: r["score"] for r in quality.score_quality(docs, model).collect()}
     assert len(rows) == 7 and all(0 <= v <= 1 for v in rows.values())
     assert rows[0] == rows[1] == model.empty_score and rows[4] == rows[5] > rows[6]
@@ -87,6 +89,34 @@ def test_quality_bound_on_the_sample_keeps_the_ratio(spark):
     assert np.mean([s.score(prose(rng, 60)) for _ in range(50)]) == pytest.approx(6 / 7, abs=0.12)
 
 
+def test_quality_query_holds_out_and_predicts_by_the_contract(spark):
+    import zlib
+
+    from framesieve.llm import queries
+
+    sf = "/root/testdata/sf0.01"
+    rows = {r["doc_id"]: r for r in queries.op1_quality(spark, sf).collect()}
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    truth = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert rows.keys() == docs.keys()
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) and r["predicted"] == int(r["score"] >= 0.3) for i, r in rows.items())
+    judged = [(truth[i], r["predicted"]) for i, r in rows.items() if r["held_out"] and truth.get(i) is not None]
+    assert np.mean([a == b for a, b in judged]) > 0.9
+
+
+def test_quality_evidence_equals_plain_block_compression(quality_model):
+    """The sizes behind a score, packed anew block by block with fresh compressors."""
+    import zstandard
+
+    model, good, bad = quality_model
+    for text in (good[3], bad[3], good[5] * 40, "é" * 3000):
+        data, sizes = text.encode(), []
+        for raw in (model.good, model.bad):
+            pack = lambda b, raw=raw: zstandard.ZstdCompressor(level=model.level, dict_data=zstandard.ZstdCompressionDict(raw), write_content_size=False, write_checksum=False, write_dict_id=False).compress(b)
+            sizes.append(sum(len(pack(data[i : i + 2048])) for i in range(0, len(data), 2048)))
+        assert model.scorer().evidence(text)[0] == pytest.approx((sizes[1] - sizes[0]) / (sizes[1] + sizes[0]), abs=0.02)
+
+
 # --- 2 URLs
 
 
@@ -120,11 +150,50 @@ def test_url_trees_learn_lexical_features(spark):
     good = [(f"https://{prose(rng, 1)}.example.com/a/{rng.randrange(99)}", 0) for _ in range(60)]
     bad = [(f"http://{'-'.join(['win', 'big', str(i)])}.example.com/x?id={rng.randrange(10**9)}", 1) for i in range(60)]
     model = url_filter.fit_url_model(spark.createDataFrame(good + bad, "url string, label int"))
-    rows = spark.createDataFrame([("http://get-rich-now-77.example.com/x?id=999999",), ("https://ba12.example.com/a/5",), (None,), ("",), (LONG,)], "url string").withColumn("tld", F.lit("clash"))
-    got = url_filter.filter_urls(rows.select("url"), model, rules=()).collect()
+    rows = spark.createDataFrame([("http://get-rich-now-77.example.com/x?id=999999",), ("https://ba12.example.com/a/5",), (None,), ("",), (LONG,)], "url string")
+    for clash in ("tld", "labels", "n_chars", "tld_rate", "probability", "rule", "host", "features", "label", "k", "w"):
+        rows = rows.withColumn(clash, F.lit("clash"))
+    judged = url_filter.filter_urls(rows, model, rules=())
+    got = judged.collect()
     by = {r["url"]: r["verdict"] for r in got}
     assert by["http://get-rich-now-77.example.com/x?id=999999"] == "block" and by["https://ba12.example.com/a/5"] == "allow" and len(got) == 5
-    assert url_filter.filter_urls(rows.select("url").limit(0), model).count() == 0
+    assert {(r["tld"], r["labels"], r["tld_rate"], r["w"], r["rule"]) for r in got} == {("clash", "clash", "clash", "clash", None)}
+    assert len(set(judged.columns)) == len(judged.columns)
+    assert url_filter.filter_urls(rows.limit(0), model).count() == 0
+
+
+def brute_features(url: str) -> dict:
+    text = url or ""
+    found = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", text)
+    host, path = (found[1].translate({c: c + 32 for c in range(65, 91)}), found[2]) if found else ("", "")
+    query = re.search(r"(?s)\?([^#]*)", text)
+    query = query[1] if query else ""
+    shares = [n / len(text) for n in Counter(text).values()]
+    return {
+        "host": host, "path": path, "n_chars": len(text), "host_chars": len(host), "path_chars": len(path), "depth": len([x for x in path.split("/") if x]), "labels": len(host.split(".")),
+        "digit_ratio": sum(c in "0123456789" for c in text) / max(1, len(text)), "hyphens": host.count("-"), "entropy": -sum(p * math.log2(p) for p in shares),
+        "n_params": len([x for x in query.split("&") if x]), "query_chars": len(query), "tld": host.split(".")[-1], "site": ".".join(host.split(".")[-2:]), "host3": ".".join(host.split(".")[-3:]),
+    }
+
+
+def test_url_features_equal_their_definitions(spark):
+    urls = ["http://A.b-c.Example.com/x/y1//z?a=1&&b=2#f?g", "no scheme?q", "", None, "https://h", "a://b://c/é漢/1?x", "http://x-y.z/" + "ab1" * 3000]
+    for r in url_filter.lexical_features(spark.createDataFrame([(u,) for u in urls], "url string")).collect():
+        got = {k.removeprefix("__url_"): v for k, v in r.asDict().items() if k != "url"}
+        want = brute_features(r["url"])
+        assert got.keys() == want.keys() and all(got[k] == (pytest.approx(v) if isinstance(v, float) else v) for k, v in want.items()), r["url"]
+
+
+def test_url_trees_judge_hosts_and_kinds_they_never_saw(spark):
+    """Whole kinds of bad hosts and whole other hosts are kept out of the fit, then judged."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url")
+    host, _ = url_filter.host_and_path(F.col("url"))
+    for kinds in ("casino-win|free-bets", "ads-track|adult-x"):
+        out = host.rlike(kinds) | (F.pmod(F.crc32(F.substring_index(host, ".", -3)), F.lit(4)) == 1)
+        model = url_filter.fit_url_model(url_filter.weak_labels(pages.where(~out)))
+        judged = url_filter.filter_urls(pages.where(out), model, rules=()).select(F.col("host").rlike(r"-(win|pills|farm|bets|track|x)\.").alias("bad"), "verdict").collect()
+        bad, good = ([r["verdict"] == "block" for r in judged if r["bad"] == v] for v in (True, False))
+        assert len(bad) > 30 and len(good) > 100 and np.mean(bad) >= 0.9 and np.mean(good) <= 0.02
 
 
 def test_url_weak_labels_and_names_tell_the_six_kinds_of_bad_hosts(spark):
