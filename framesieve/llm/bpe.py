@@ -5,7 +5,6 @@ from __future__ import annotations
 import base64
 import contextlib
 import ctypes
-import heapq
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -16,11 +15,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-#: Words that one recursive query takes, ids that one aggregation takes, bytes of text that are split at once, and words
-#: that a task remembers.
-WORDS, IDS, BYTES, REMEMBERED = 20_000, 200_000, 1_000_000, 250_000
-#: Longer words (in bytes) merge on a heap: a recursive query would need as many rounds as they have bytes.
-LONG_WORD = 256
+#: Ids that one aggregation takes, bytes of text that are split at once, and words that a task remembers.
+IDS, BYTES, REMEMBERED = 200_000, 1_000_000, 250_000
+#: Rows that one recursive query holds at most (it keeps those of all rounds).
+ROWS = 3_000_000
+#: Longer words (in bytes) are encoded in windows of this size, each half over the next; see ``Coder._long``.
+WINDOW = 128
 
 #: A row holds a token and its right neighbour; a round joins these pairs with the merge table, picks each word's
 #: smallest (rank, position), and contracts that pair: the left row goes, the right one and the neighbour change.
@@ -38,12 +38,27 @@ WITH RECURSIVE rounds(n, word, pos, id, next) AS (
 SELECT word, id FROM rounds JOIN final USING (word, n) ORDER BY word, pos
 """
 
-#: Pieces are put in order by position and aggregated in it; one thread runs the query, so the order holds.
-_DECODE = """
-SELECT part, string_agg(piece, '') AS text
-FROM (SELECT part, piece FROM ids JOIN vocabulary USING (id) ORDER BY pos) GROUP BY part
+#: The same for pieces with long repeats: where no token that holds the contracted one ranks before it (``safe``), a round
+#: contracts every pair of the smallest rank, from the left and without overlap, as one by one would; else the leftmost.
+_ENCODE_REPEATS = """
+WITH RECURSIVE rounds(n, word, pos, id, next) AS (
+  SELECT 0, word, pos, id, next FROM pieces
+  UNION ALL
+  (WITH hit AS (SELECT word, pos, merged, safe FROM rounds JOIN merges ON id = a AND next = b WHERE n < $most),
+   best AS (SELECT word, min(merged) AS m FROM hit GROUP BY word),
+   equal AS (SELECT h.word, h.pos, m, safe, row_number() OVER (PARTITION BY h.word ORDER BY h.pos) AS nth FROM hit h JOIN best ON h.word = best.word AND merged = m),
+   chained AS (SELECT *, row_number() OVER (PARTITION BY word, pos - nth ORDER BY pos) AS place FROM equal),
+   picked AS (SELECT word, pos, m FROM chained WHERE nth = 1 OR safe AND place % 2 = 1),
+   marked AS (SELECT r.n, r.word, r.pos, r.id, r.next, p.m, lag(p.m) OVER w AS before, lead(p.m) OVER w AS after, count(p.m) OVER (w ROWS UNBOUNDED PRECEDING) AS gone
+              FROM rounds r JOIN best ON r.word = best.word LEFT JOIN picked p ON r.word = p.word AND r.pos = p.pos WINDOW w AS (PARTITION BY r.word ORDER BY r.pos))
+   SELECT n + 1, word, (pos - gone)::INT, coalesce(before, id), coalesce(after, next) FROM marked WHERE m IS NULL)
+), final AS (SELECT word, max(n) AS n FROM rounds GROUP BY word)
+SELECT word, pos, id, next, n FROM rounds JOIN final USING (word, n) ORDER BY word, pos
 """
 
+#: Pieces are aggregated in the order of their positions.
+_DECODE = "SELECT part, string_agg(piece, '' ORDER BY pos) AS text FROM ids JOIN vocabulary USING (id) GROUP BY part"
+
 
 def read_ranks(path: str) -> bytes:
     """The rank file's bytes, read once on the driver and shipped with the tasks (under 1 MB for 50,000 ranks)."""
@@ -83,7 +98,9 @@ def _vocabulary(ranks: bytes) -> tuple[dict[bytes, int], pa.Table, pa.Table]:
     """(ranks by token, merge table, pieces as one character per byte): some MB, kept by the process for later tasks."""
     by_token = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(None, ranks.split(b"\n")))}
     merges = [(a, b, rank) for token, rank in by_token.items() for i in range(1, len(token)) if (a := by_token.get(token[:i])) is not None and (b := by_token.get(token[i:])) is not None]
+    early = {part for a, b, rank in merges for part in (a, b) if rank < part}
     table = pa.table({n: pa.array([m[i] for m in merges], pa.int32()) for i, n in enumerate(("a", "b", "merged"))})
+    table = table.append_column("safe", pa.array([m[2] not in early for m in merges]))
     return by_token, table, pa.table({"id": pa.array(by_token.values(), pa.int32()), "piece": [t.decode("latin-1") for t in by_token]})
 
 
@@ -93,9 +110,11 @@ class Coder:
     def __init__(self, ranks: bytes, pattern: str):
         import duckdb
 
-        self.ranks, merges, pieces = _vocabulary(ranks)
+        by_token, merges, pieces = _vocabulary(ranks)
         self.pattern, self.latin = regex.compile(pattern), latin_pattern(pattern)
-        self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        self.bytes = np.array([by_token[bytes([b])] for b in range(256)], np.int32)
+        self.length = np.zeros(max(by_token.values()) + 1, np.int64)
+        self.length[list(by_token.values())] = list(map(len, by_token))
         self.known: dict[str, bytes] = {}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
         for name, table in (("merges", merges), ("vocabulary", pieces)):
@@ -116,8 +135,7 @@ class Coder:
         split = [self._words(t) if t else [] for t in texts]
         words = set().union(*split)
         fresh = list(words.difference(self.known))
-        for at in range(0, len(fresh), WORDS):
-            self.known.update(self._learn(fresh[at : at + WORDS]))
+        self.known.update(zip(fresh, (ids.tobytes() for ids in self._merged([w.encode("utf-8", "surrogatepass") for w in fresh])), strict=True))
         packed = [b"".join(map(self.known.__getitem__, each)) for each in split]
         if len(self.known) > REMEMBERED:  # the words of the last texts go on, the others are forgotten
             self.known = {w: self.known[w] for w in words}
@@ -130,56 +148,95 @@ class Coder:
                 return self.latin.findall(text)
         return self.pattern.findall(text)
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        known: dict[str, bytes] = {}
-        data = [w.encode("utf-8", "surrogatepass") for w in words]
-        short = [i for i, d in enumerate(data) if len(d) <= LONG_WORD]
-        for i in set(range(len(data))) - set(short):
-            known[words[i]] = np.array(self._merge_long(data[i]), "<u4").tobytes()
-        if not short:
-            return known
-        size = np.array([len(data[i]) for i in short])
-        ids = self.bytes[np.frombuffer(b"".join(data[i] for i in short), np.uint8)]
+    def _merged(self, words: list[bytes]) -> list[np.ndarray]:
+        """The ids of every word: short ones as they are, long ones by windows, all of them by recursive queries."""
+        out: list[np.ndarray] = [np.empty(0, "<u4")] * len(words)
+        group: list[int] = []
+        rows = 0
+        for i, word in enumerate(words):
+            if len(word) > WINDOW:
+                out[i] = self._long(word)
+                continue
+            if group and rows + len(word) ** 2 > ROWS:
+                self._settle(group, words, out)
+                group, rows = [], 0
+            group.append(i)
+            rows += len(word) ** 2
+        if group:
+            self._settle(group, words, out)
+        return out
+
+    def _settle(self, group: list[int], words: list[bytes], out: list[np.ndarray]) -> None:
+        for i, ids in zip(group, self._query([words[i] for i in group]), strict=True):
+            out[i] = ids
+
+    def _query(self, pieces: list[bytes], repeats: bool = False) -> list[np.ndarray]:
+        """The ids of each piece by one recursive query, or by several of bounded rounds for pieces with repeats."""
+        size = np.array([len(p) for p in pieces])
+        ids = self.bytes[np.frombuffer(b"".join(pieces), np.uint8)]
         end = np.cumsum(size)
         following = np.append(ids[1:], np.int32(-1))
         following[end - 1] = -1
         pos = np.arange(len(ids)) - np.repeat(end - size, size)
-        self.db.register("pieces", pa.table({"word": np.repeat(np.arange(len(short), dtype=np.int32), size), "pos": pos.astype(np.int32), "id": ids, "next": following}))
-        found = self.db.sql(_ENCODE).to_arrow_table()
-        self.db.unregister("pieces")
-        at, ids = found.column("word").to_numpy(), found.column("id").to_numpy().astype("<u4")
-        edges = np.searchsorted(at, np.arange(len(short) + 1)).tolist()
-        for row, i in enumerate(short):
-            known[words[i]] = ids[edges[row] : edges[row + 1]].tobytes()
-        return known
-
-    def _merge_long(self, word: bytes) -> list[int]:
-        """The same merges, leftmost smallest rank first, over a linked list and a heap."""
-        ids = self.bytes[np.frombuffer(word, np.uint8)].tolist()
-        parts: list[bytes | None] = [word[i : i + 1] for i in range(len(word))]
-        right, left = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
-        heap: list[tuple[int, int, bytes]] = []
-
-        def offer(i: int) -> None:
-            if i >= 0 and right[i] < len(parts):
-                whole = parts[i] + parts[right[i]]
-                if (rank := self.ranks.get(whole)) is not None:
-                    heapq.heappush(heap, (rank, i, whole))
-
-        for i in range(len(parts)):
-            offer(i)
-        while heap:
-            rank, i, whole = heapq.heappop(heap)
-            j = right[i]
-            if parts[i] is None or j >= len(parts) or parts[i] + parts[j] != whole:
-                continue
-            parts[i], parts[j], ids[i] = whole, None, rank
-            right[i] = right[j]
-            if right[j] < len(parts):
-                left[right[j]] = i
-            offer(i)
-            offer(left[i])
-        return [n for n, part in zip(ids, parts, strict=True) if part is not None]
+        state = pa.table({"word": np.repeat(np.arange(len(pieces), dtype=np.int32), size), "pos": pos.astype(np.int32), "id": ids, "next": following})
+        while True:
+            self.db.register("pieces", state)
+            if repeats:
+                most = max(2, ROWS // len(state))
+                state = self.db.execute(_ENCODE_REPEATS, {"most": most}).to_arrow_table()
+            else:
+                most, state = None, self.db.sql(_ENCODE).to_arrow_table()
+            self.db.unregister("pieces")
+            if most is None or max(state.column("n").to_pylist()) < most:
+                break
+        at, ids = state.column("word").to_numpy(), state.column("id").to_numpy().astype("<u4")
+        return np.split(ids, np.searchsorted(at, np.arange(1, len(pieces))))
+
+    def _united(self, pieces: list[bytes]) -> list[np.ndarray]:
+        out: list[np.ndarray] = []
+        at = 0
+        while at < len(pieces):
+            upto, held = at, 0
+            while upto < len(pieces) and (upto == at or held + len(pieces[upto]) <= ROWS // 16):
+                held += len(pieces[upto])
+                upto += 1
+            out += self._query(pieces[at:upto], repeats=True)
+            at = upto
+        return out
+
+    def _long(self, word: bytes) -> np.ndarray:
+        """The ids of a long word from those of windows, each half over the next.
+
+        A run of tokens is a word's encoding if and only if every two neighbours, taken alone, encode to themselves: merges
+        inside them happen in the same order in the word, so the first that crossed their border would cross it there,
+        too. Neighbours in a window's encoding do; so two windows with a token in common (the same bytes of the word) are
+        joined at it. Windows that share none, as in runs of one character, are united and encoded again.
+        """
+        half = WINDOW // 2
+        spans = [(at, min(at + WINDOW, len(word))) for at in range(0, len(word) - half, half)]
+        found = self._merged([word[a:b] for a, b in spans])
+        while True:
+            starts = [a + np.cumsum(self.length[ids]) - self.length[ids] for (a, _), ids in zip(spans, found, strict=True)]
+            # a token of the word is known by its begin and id
+            keys = [at << 32 | ids.astype(np.int64) for at, ids in zip(starts, found, strict=True)]
+            shared = [np.intersect1d(one, two, assume_unique=True)[:1] for one, two in zip(keys, keys[1:], strict=False)]
+            apart = [i for i, s in enumerate(shared) if not len(s)]
+            if not apart:
+                break
+            united: dict[int, tuple[int, int]] = {}
+            for i in apart:  # every other one of a row of windows without a common token
+                if i - 1 not in united:
+                    united[i] = spans[i][0], spans[i + 1][1]
+            new = dict(zip(united, self._united([word[a:b] for a, b in united.values()]), strict=True))
+            keep = [i for i in range(len(spans)) if i - 1 not in united]
+            found = [new.get(i, found[i]) for i in keep]
+            spans = [united.get(i, spans[i]) for i in keep]
+        ids, begin = [], -1
+        for i, key in enumerate(keys):
+            stop = shared[i][0] if i < len(shared) else np.iinfo(np.int64).max
+            ids.append(found[i][(key >= begin) & (key < stop)])
+            begin = stop
+        return np.concatenate(ids)
 
     def decode(self, packed: Iterable[bytes | None]) -> list[bytes]:
         """Bytes of each run of packed ids; unknown ids decode to nothing, null to no bytes."""
@@ -228,6 +285,9 @@ def _groups(texts, size: int) -> Iterator[list]:
 
 
 def _mapped(df: DataFrame, source: str, added: list[str], work, ranks: bytes, pattern: str) -> DataFrame:
+    if source in added:
+        raise ValueError(f"the result needs another column than {source}")
+    df = df.drop(*added)
     names = df.columns
     at = names.index(source)
     schema = StructType([*df.schema.fields, *[StructField(c, BinaryType()) for c in added]])
@@ -253,18 +313,22 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, *, text: str = "text", i
     """Adds ``ids``: the text's token ids as packed little-endian uint32.
 
     Each match of ``pattern`` is merged on its own; there are no special tokens. Null and empty texts have no ids, rows
-    that repeat are encoded alike, an empty table gives no rows. Whole texts are encoded, whatever their length.
+    that repeat are encoded alike, an empty table gives no rows. Whole texts are encoded, whatever their length. An
+    incoming column named ``ids`` is replaced, any other is kept.
     """
     return _mapped(docs, text, [ids], lambda tool, texts: [tool.encode(texts)], ranks, pattern)
 
 
 def decode(df: DataFrame, ranks: bytes, pattern: str, *, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """Adds ``decoded``: the bytes of the packed ids; null ids decode to no bytes."""
+    """Adds ``decoded``: the bytes of the packed ids; null ids decode to no bytes, unknown ids to nothing.
+
+    An incoming column named ``decoded`` is replaced, any other is kept; an empty table gives no rows.
+    """
     return _mapped(df, ids, [decoded], lambda tool, packed: [tool.decode(packed)], ranks, pattern)
 
 
 def encode_decode(docs: DataFrame, ranks: bytes, pattern: str, *, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """Adds ``ids`` and, decoded from these, ``decoded``, in one pass over the texts."""
+    """Adds ``ids`` and, decoded from these, ``decoded``, in one pass over the texts; see ``encode`` and ``decode``."""
 
     def work(tool: Coder, texts: list) -> list[list[bytes]]:
         packed = tool.encode(texts)

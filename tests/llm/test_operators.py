@@ -320,7 +320,7 @@ def test_bpe_latin_pattern_splits_alike():
 
 def test_bpe_word_memory_does_not_change_results(reference_encoding, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 5)
-    monkeypatch.setattr(bpe, "WORDS", 3)
+    monkeypatch.setattr(bpe, "ROWS", 300)
     monkeypatch.setattr(bpe, "IDS", 4)
     rng = random.Random(7)
     c = bpe.Coder(RANKS, public_tokenizers.PATTERN)
@@ -331,9 +331,24 @@ def test_bpe_word_memory_does_not_change_results(reference_encoding, monkeypatch
         assert c.decode(packed) == [t.encode() for t in texts]
 
 
+def test_bpe_long_words_go_through_the_recursive_query(reference_encoding):
+    """Words of up to 1 MB: random ones, runs, short periods, and all lengths around the window's."""
+    rng = random.Random(18)
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    texts = ["a" * 50_001, "-=" * 9_999, "=" * 30_000, draw("etaoinshrdlu", 1_000_000), "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(20_000))]
+    texts += [draw("abcde", period) * (6000 // period) for period in (2, 3, 5, 7, 12, 13, 37, 63, 64, 65, 101, 127, 128)]
+    texts += [draw(rng.choice(["ab", "aab", "the", "éa", "漢字か", "0"]), n) for n in range(120, 300, 3)]
+    c = bpe.Coder(RANKS, public_tokenizers.PATTERN)
+    for text, packed in zip(texts, c.encode(texts), strict=True):
+        assert np.frombuffer(packed, "<u4").tolist() == reference_encoding.encode_ordinary(text), text[:40]
+        assert c.decode([packed]) == [text.encode()]
+    c.close()
+
+
 def test_bpe_on_rows(spark, reference_encoding):
-    docs = documents(spark, [None, "", "Hello world", "Hello world", LONG]).withColumn("ids2", F.lit(1))
+    docs = documents(spark, [None, "", "Hello world", "Hello world", LONG]).withColumn("ids", F.lit(1)).withColumn("decoded", F.lit(2)).withColumn("pos", F.lit(3))
     both = bpe.encode_decode(docs, RANKS, public_tokenizers.PATTERN)
+    assert both.columns == [*DOC_COLUMNS, "pos", "ids", "decoded"]
     rows = {r["doc_id"]: r for r in both.collect()}
     assert len(rows) == 5 and rows[0]["ids"] == rows[1]["ids"] == b"" and bytes(rows[4]["decoded"]).decode() == LONG
     assert rows[2]["ids"] == rows[3]["ids"] and np.frombuffer(rows[2]["ids"], "<u4").tolist() == reference_encoding.encode_ordinary("Hello world")
