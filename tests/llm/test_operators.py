@@ -560,10 +560,46 @@ def test_topk_without_broadcast_is_the_same(spark, monkeypatch):
     rng = np.random.default_rng(11)
     vectors = spark.createDataFrame([(i, rng.normal(0, 1, 4).tolist()) for i in range(600)], "vec_id long, embedding array<double>")
     want = {tuple(r) for r in topk.exact_top_k(vectors).collect()}
-    monkeypatch.setattr(topk, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(topk, "BROADCAST_BYTES", 100)
     assert {tuple(r) for r in topk.exact_top_k(vectors, query_block=2, block=100).collect()} == want
 
 
+def brute_top(ids, x, k=10, every=100):
+    """By Python's integers: {(query, rank, id, score)}."""
+    want = set()
+    for i, q in zip(ids, x, strict=True):
+        if i % every == 0:
+            found = sorted((-sum(a * b for a, b in zip(q, y, strict=True)), j) for j, y in zip(ids, x, strict=True) if j != i)[:k]
+            want |= {(i, r + 1, j, max(-(2**63), min(2**63 - 1, -s))) for r, (s, j) in enumerate(found)}
+    return want
+
+
+@pytest.mark.parametrize("size", [2.0**10, 2.0**21, 2.0**27, 2.0**40, 1e30])
+def test_topk_settles_scores_of_any_size_in_exact_integers(spark, size):
+    """Scores below 2^53, between 2^53 and 2^63, and beyond a long; neighbours differ in their last units."""
+    rng = np.random.default_rng(21)
+    x = np.round(rng.normal(0, size, (300, 6)))
+    x[40:80] = x[0] + rng.integers(-2, 3, (40, 6))  # near ties that bounds in doubles cannot tell apart
+    vectors = spark.createDataFrame([(i, x[i].tolist()) for i in range(300)], "vec_id long, embedding array<double>")
+    got = {tuple(r) for r in topk.exact_top_k(vectors, block=64).collect()}
+    assert got == brute_top(list(range(300)), [[int(v * 1024) for v in row] for row in x])
+
+
+def test_topk_stops_early_on_clustered_vectors():
+    rng = np.random.default_rng(22)
+    centres = rng.normal(0, 1, (40, 32))
+    x = np.floor(1024 * (centres[rng.integers(0, 40, 4000)] + rng.normal(0, 0.05, (4000, 32))))
+    ids = np.arange(4000)
+    blocks = [topk.SortedLists(ids[a : a + 1000], x[a : a + 1000]) for a in range(0, 4000, 1000)]
+    own, floor, found = ids[::100], np.full(40, -np.inf), [[] for _ in range(40)]
+    for lists in blocks:
+        for i, (near, scores) in enumerate(lists.top(x[::100], own, 10, floor)):
+            found[i] += zip((-scores).tolist(), near.tolist(), strict=True)
+            floor[i] = -sorted(found[i])[9][0] if len(found[i]) >= 10 else -np.inf
+    assert {(int(own[i]), r + 1, j, -s) for i in range(40) for r, (s, j) in enumerate(sorted(found[i])[:10])} == brute_top(ids.tolist(), x.astype(int).tolist())
+    assert sum(b.read for b in blocks) < 0.5 * sum(b.entries for b in blocks)
+
+
 # --- 10 near-duplicates
 
 
