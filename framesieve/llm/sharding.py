@@ -5,17 +5,20 @@ from __future__ import annotations
 import json
 import math
 import uuid
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .common import filesystem, remove
 
-
 #: Up to so many shards (some 10 MB of names) their ids are broadcast to the rows; beyond, both are shuffled.
 BROADCAST_SHARDS = 100_000
+#: Small shards that one round of compaction plans on the driver; further rounds take the others.
+PLANNED = 100_000
+_LIST = "id string, path string, bytes long, tier int"
 
 
 class CommitConflict(RuntimeError):
@@ -34,9 +37,12 @@ class Shard:
 
 @dataclass(frozen=True)
 class Manifest:
+    """A version: its rows' schema, and the Parquet lists of its full and of its small shards."""
+
     version: int
     schema: str
-    shards: tuple[Shard, ...]
+    full: tuple[str, ...]
+    small: tuple[str, ...]
 
 
 def tier_of(size: int, smallest: int, ratio: int) -> int:
@@ -71,11 +77,17 @@ def plan_merges(shards: list[Shard], *, target: int, fan_in: int) -> list[list[S
 class ShardStore:
     """A table of shards under one folder of a file system that all nodes share.
 
-    ``append`` adds an arrival, ``compact`` merges what is due, ``read`` gives the rows of a version. Each change ends in
-    one commit: a manifest of the next number is written aside and renamed into place, which fails if the number exists.
-    Files are never changed, so a reader of an older version goes on reading; ``vacuum`` removes what the current version
-    no longer names. Work that dies before its commit leaves files that no manifest names. Rows, nulls, repeated rows and
-    all columns are kept as they are; an empty arrival adds no shard.
+    ``append`` adds an arrival, ``compact`` merges what is due, ``read`` gives the rows of a version. A version is a small
+    JSON file that names Parquet lists of shards: those of full shards (half the target or more), which are never written
+    again, and the one of small shards. Each change ends in one commit: the JSON file of the next number is written aside
+    and put into place by an operation that fails if the name exists (a hard link on a local disk, a rename without
+    overwriting elsewhere), so of two racing writers one wins and the other gets ``CommitConflict``. Object stores whose
+    rename is a copy need a single writer.
+
+    Files are never changed, and neither ``append`` nor ``compact`` removes any: a reader of an older version goes on
+    reading until ``vacuum`` is called, which keeps the newest ``keep`` versions. Work that dies before its commit leaves
+    files that no version names. Rows, nulls, empty and long texts, repeated rows and all columns are kept as they are; an
+    empty arrival adds no shard.
     """
 
     def __init__(self, spark: SparkSession, root: str, *, target: int = 128 << 20, smallest: int = 1 << 20, ratio: int = 4, fan_in: int = 4, arrival_rows: int = 20_000):
@@ -88,32 +100,70 @@ class ShardStore:
             return []
         return sorted((x.getPath().toString(), x.getLen()) for x in fs.listStatus(hadoop) if x.getPath().getName().endswith(ending))
 
+    def versions(self) -> dict[int, str]:
+        """The file of every version that is kept."""
+        return {int(p.rsplit("-", 1)[1].split(".")[0]): p for p, _ in self._files(f"{self.root}/manifests", ".json")}
+
     def manifest(self, version: int | None = None) -> Manifest | None:
-        """The given version, or the newest; None before the first commit."""
-        found = {int(p.rsplit("-", 1)[1].split(".")[0]): p for p, _ in self._files(f"{self.root}/manifests", ".json")}
+        """The given version, or the newest; None before the first commit. A version that vacuum removed is a KeyError."""
+        found = self.versions()
         if not found:
             return None
-        path = found[max(found) if version is None else version]
-        text = "\n".join(r[0] for r in self.spark.read.text(path, wholetext=True).collect())
-        raw = json.loads(text)
-        return Manifest(raw["version"], raw["schema"], tuple(Shard(**s) for s in raw["shards"]))
-
-    def _commit(self, base: Manifest | None, schema: str, shards: list[Shard]) -> Manifest:
-        new = Manifest((base.version if base else 0) + 1, schema, tuple(sorted(shards, key=lambda s: s.id)))
-        final = f"{self.root}/manifests/manifest-{new.version:08d}.json"
+        raw = json.loads(self.spark.read.text(found[max(found) if version is None else version], wholetext=True).first()[0])
+        return Manifest(raw["version"], raw["schema"], tuple(raw["full"]), tuple(raw["small"]))
+
+    def shards(self, manifest: Manifest, *, full: bool = True) -> DataFrame:
+        """(id, path, bytes, tier) of a version's shards, or of its small ones only."""
+        lists = [f"{self.root}/lists/{name}" for name in (*(manifest.full if full else ()), *manifest.small)]
+        return self.spark.read.schema(_LIST).parquet(*lists) if lists else self.spark.createDataFrame([], _LIST)
+
+    def _write_list(self, shards: DataFrame) -> tuple[str, ...]:
+        name = uuid.uuid4().hex
+        shards.write.parquet(f"{self.root}/lists/{name}")
+        return (name,)
+
+    def _put(self, aside: str, final: str) -> bool:
+        """Gives the file ``aside`` its final name; False if that exists. Only one of any callers gets True."""
+        jvm = self.spark._jvm
+        fs, hadoop = filesystem(self.spark, aside)
+        place = jvm.org.apache.hadoop.fs.Path(final)
+        try:
+            if fs.getScheme() == "file":
+                local = lambda p: jvm.java.io.File(p.toUri().getPath()).toPath()
+                jvm.java.nio.file.Files.createLink(local(place), local(hadoop))
+                fs.delete(hadoop, False)
+            else:
+                options = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+                jvm.org.apache.hadoop.fs.FileContext.getFileContext(hadoop.toUri(), self.spark._jsc.hadoopConfiguration()).rename(hadoop, place, options)
+        except Py4JJavaError as e:
+            if "FileAlreadyExistsException" not in e.java_exception.getClass().getName():
+                raise
+            return False
+        return True
+
+    def _commit(self, base: Manifest | None, schema: str, full: tuple[str, ...], small: tuple[str, ...]) -> Manifest:
+        new = Manifest((base.version if base else 0) + 1, schema, full, small)
         aside = f"{self.root}/manifests/_{uuid.uuid4().hex}"
         fs, hadoop = filesystem(self.spark, aside)
         out = fs.create(hadoop, False)
-        out.write(bytearray(json.dumps({"version": new.version, "schema": schema, "shards": [asdict(s) for s in new.shards]}).encode()))
+        out.write(bytearray(json.dumps({"version": new.version, "schema": schema, "full": full, "small": small}).encode()))
         out.close()
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(final)
-        if fs.exists(place) or not fs.rename(hadoop, place):
+        if not self._put(aside, f"{self.root}/manifests/manifest-{new.version:08d}.json"):
             fs.delete(hadoop, False)
             raise CommitConflict(f"version {new.version} exists")
         return new
 
-    def _shards(self, folder: str, version: int) -> list[Shard]:
-        return [Shard(f"{version:06d}-{i:06d}", path, size, tier_of(size, self.smallest, self.ratio)) for i, (path, size) in enumerate(self._files(folder, ".parquet"))]
+    def _written(self, folder: str, version: int) -> DataFrame:
+        rows = [(f"{version:06d}-{i:06d}", path, size, tier_of(size, self.smallest, self.ratio)) for i, (path, size) in enumerate(self._files(folder, ".parquet"))]
+        return self.spark.createDataFrame(rows, _LIST)
+
+    def _advance(self, base: Manifest | None, schema: str, small: DataFrame, added: DataFrame) -> Manifest:
+        """Commits ``added`` beside the full shards of ``base`` and the given small ones."""
+        done = F.col("bytes") * 2 >= self.target
+        full = base.full if base else ()
+        if not added.where(done).isEmpty():
+            full += self._write_list(added.where(done))
+        return self._commit(base, schema, full, self._write_list(small.unionAll(added.where(~done)).coalesce(1)))
 
     def append(self, arrival: DataFrame) -> Manifest:
         """Writes the arrival as it is partitioned, in files of at most ``arrival_rows`` rows, and commits them."""
@@ -121,18 +171,25 @@ class ShardStore:
         version = (base.version if base else 0) + 1
         folder = f"{self.root}/data/{version:06d}-{uuid.uuid4().hex}"
         arrival.write.option("maxRecordsPerFile", self.arrival_rows).parquet(folder)
-        added = self._shards(folder, version)
-        if not arrival.sparkSession.read.schema(arrival.schema).parquet(folder).take(1):
-            added = []  # a file without rows only carries the schema
-        return self._commit(base, arrival.schema.json(), [*(base.shards if base else ()), *added])
+        added = self._written(folder, version)
+        if self.spark.read.schema(arrival.schema).parquet(folder).isEmpty():
+            added = added.limit(0)  # a file without rows only carries the schema
+        small = self.shards(base, full=False) if base else added.limit(0)
+        return self._advance(base, arrival.schema.json(), small, added)
+
+    def due(self, manifest: Manifest) -> list[list[Shard]]:
+        """The groups that the next round of compaction merges; at most ``PLANNED`` small shards are looked at, smallest tiers first."""
+        small = self.shards(manifest, full=False).orderBy("tier", "bytes", "id").limit(PLANNED)
+        return plan_merges([Shard(**r.asDict()) for r in small.collect()], target=self.target, fan_in=self.fan_in)
 
     def compact(self, *, batch: int = 200) -> Manifest | None:
         """Merges what is due, one task and one file per group, until nothing is; each round is one commit.
 
-        A task reads its group's files one after the other and writes them through: nothing is shuffled or held.
+        A task reads its group's files one after the other and writes them through: nothing is shuffled or held. The files
+        of older versions stay.
         """
         while (base := self.manifest()) is not None:
-            groups = plan_merges(list(base.shards), target=self.target, fan_in=self.fan_in)
+            groups = self.due(base)
             if not groups:
                 break
             version, schema = base.version + 1, StructType.fromJson(json.loads(base.schema))
@@ -143,42 +200,47 @@ class ShardStore:
                     run = self.spark.read.schema(schema).parquet(*[s.path for s in group]).coalesce(1)
                     merged = run if merged is None else merged.unionAll(run)
                 merged.write.mode("append").parquet(folder)
-            gone = {s.id for group in groups for s in group}
-            self._commit(base, base.schema, [*(s for s in base.shards if s.id not in gone), *self._shards(folder, version)])
-            self.vacuum()
+            gone = self.spark.createDataFrame([(s.id,) for group in groups for s in group], "gone string")
+            left = self.shards(base, full=False).join(gone, F.col("id") == F.col("gone"), "left_anti")
+            self._advance(base, base.schema, left, self._written(folder, version))
         return base
 
-    def vacuum(self) -> int:
-        """Removes shards of older versions that the current one doesn't name; returns their number."""
-        current = self.manifest()
-        if current is None:
+    def vacuum(self, keep: int = 10) -> int:
+        """Removes all but the newest ``keep`` versions, and the shards and lists that only those name; returns their number."""
+        found = sorted(self.versions())
+        old, kept = ([self.manifest(v) for v in some] for some in (found[:-keep], found[-keep:]))
+        if not old:
             return 0
-        live = {s.path for s in current.shards}
-        old = {s.path for v in range(1, current.version) if (m := self._kept(v)) for s in m.shards} - live
-        for path in old:
+        names = lambda some: {n for m in some for n in (*m.full, *m.small)}
+        lists = names(old) - names(kept)
+        live = self.shards(Manifest(0, "", tuple(names(kept)), ())).select(F.col("path").alias("live"))
+        gone = self.shards(Manifest(0, "", tuple(lists), ())).select("path").distinct().join(live, F.col("path") == F.col("live"), "left_anti")
+        paths = [r["path"] for r in gone.collect()]
+        for m in old:  # first the versions, so that none is found without its files
+            remove(self.spark, self.versions()[m.version])
+        for path in [*paths, *(f"{self.root}/lists/{name}" for name in lists)]:
             remove(self.spark, path)
-        for v in range(1, current.version):
-            remove(self.spark, f"{self.root}/manifests/manifest-{v:08d}.json")
-        return len(old)
-
-    def _kept(self, version: int) -> Manifest | None:
-        fs, hadoop = filesystem(self.spark, f"{self.root}/manifests/manifest-{version:08d}.json")
-        return self.manifest(version) if fs.exists(hadoop) else None
+        return len(paths)
 
     def read(self, version: int | None = None, shard_column: str | None = None) -> DataFrame:
-        """The rows of a version; with ``shard_column``, also the id of the shard that holds each row."""
+        """The rows of a version; with ``shard_column``, also the id of the shard that holds each row.
+
+        The driver lists the version's files, some 100 bytes each. An existing column of that name is replaced.
+        """
         found = self.manifest(version)
         if found is None:
             raise ValueError("nothing was committed yet")
         schema = StructType.fromJson(json.loads(found.schema))
-        if not found.shards:
+        shards = self.shards(found)
+        paths = [r["path"] for r in shards.select("path").collect()]
+        if not paths:
             empty = self.spark.createDataFrame([], schema)
             return empty.withColumn(shard_column, F.lit(None).cast("string")) if shard_column else empty
-        rows = self.spark.read.schema(schema).parquet(*[s.path for s in found.shards])
+        rows = self.spark.read.schema(schema).parquet(*paths)
         if not shard_column:
             return rows
         # file names carry a task's number and a write's own id, so they tell shards apart
-        names = self.spark.createDataFrame([(s.path.rsplit("/", 1)[1], s.id) for s in found.shards], "__file string, __shard string")
-        names = F.broadcast(names) if len(found.shards) <= BROADCAST_SHARDS else names
-        rows = rows.withColumn("__file", F.col("_metadata.file_name")).join(names, "__file", "left")
-        return rows.withColumn(shard_column, F.col("__shard")).drop("__file", "__shard")
+        names = shards.select(F.substring_index("path", "/", -1).alias("__file"), F.col("id").alias("__shard"))
+        names = F.broadcast(names) if len(paths) <= BROADCAST_SHARDS else names
+        rows = rows.withColumn("__name", F.col("_metadata.file_name")).join(names, F.col("__name") == F.col("__file"), "left")
+        return rows.withColumn(shard_column, F.col("__shard")).drop("__name", "__file", "__shard")

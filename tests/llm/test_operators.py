@@ -409,16 +409,26 @@ def test_html_rows_and_long_pages(spark):
 
 def test_sharding_keeps_rows_and_merges_similar_sizes(spark, tmp_path):
     store = sharding.ShardStore(spark, f"file://{tmp_path}/s", target=200_000, smallest=1000, fan_in=3, arrival_rows=50)
-    docs = documents(spark, [prose(random.Random(i), 30) for i in range(400)] + [None, "", LONG]).repartition(4)
+    docs = documents(spark, [prose(random.Random(i), 30) for i in range(400)] + [None, "", LONG]).withColumn("shard", F.lit("clash")).repartition(4)
     for i in range(3):
         store.append(docs.where(F.col("doc_id") % 3 == i))
     before = store.manifest()
+    n = store.shards(before).count()
+    reader = store.read()  # opened before the compaction, read after it
     store.compact()
     after = store.manifest()
-    assert before.version == 3 and len(after.shards) < len(before.shards)
-    assert Counter(map(tuple, store.read().collect())) == Counter(map(tuple, docs.collect()))
-    assert store.read(shard_column="shard").where("shard IS NULL").count() == 0
-    assert sharding.plan_merges(list(after.shards), target=200_000, fan_in=3) == []
+    assert before.version == 3 and store.shards(after).count() < n and store.due(after) == []
+    rows = Counter(map(tuple, docs.collect()))
+    assert Counter(map(tuple, reader.collect())) == Counter(map(tuple, store.read().collect())) == Counter(map(tuple, store.read(3).collect())) == rows
+    named = store.read(shard_column="shard")
+    assert named.columns == docs.columns
+    # each row's shard is the file that holds it
+    files = {r["id"]: r["path"] for r in store.shards(after).collect()}
+    want = {(r["doc_id"], i) for i, path in files.items() for r in spark.read.parquet(path).select("doc_id").collect()}
+    assert {(r["doc_id"], r["shard"]) for r in named.collect()} == want
+    assert store.vacuum(keep=1) > 0 and Counter(map(tuple, store.read().collect())) == rows and list(store.versions()) == [after.version]
+    with pytest.raises(KeyError):
+        store.read(3)
 
 
 def test_sharding_commits_once_and_reads_old_versions(spark, tmp_path):
@@ -428,11 +438,36 @@ def test_sharding_commits_once_and_reads_old_versions(spark, tmp_path):
     store.append(documents(spark, ["c"]))
     assert store.read(1).count() == 2 and store.read().count() == 3
     with pytest.raises(sharding.CommitConflict):
-        store._commit(base, base.schema, list(base.shards))
-    assert store.manifest().version == 2
+        store._commit(base, base.schema, base.full, base.small)
+    assert store.manifest().version == 2 and store.vacuum() == 0
     empty = sharding.ShardStore(spark, f"file://{tmp_path}/e")
+    assert empty.manifest() is None and empty.compact() is None
     empty.append(documents(spark, []))
-    assert empty.manifest().shards == () and empty.read().columns == documents(spark, []).columns and empty.read(shard_column="s").count() == 0
+    assert empty.shards(empty.manifest()).count() == 0 and empty.read().columns == documents(spark, []).columns and empty.read(shard_column="s").count() == 0
+
+
+@pytest.mark.parametrize("scheme", ["file", "viewfs"])
+def test_of_racing_commits_one_wins(spark, tmp_path, scheme):
+    from concurrent.futures import ThreadPoolExecutor
+
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.race.link./store", f"file://{tmp_path}/v")
+    (tmp_path / "v").mkdir()
+    root = f"file://{tmp_path}/s" if scheme == "file" else "viewfs://race/store"
+    store = sharding.ShardStore(spark, root)
+    first = store.append(documents(spark, ["a"]))
+
+    def commit(n: int) -> bool:
+        try:
+            store._commit(first, first.schema, first.full, (f"list-{n}",))
+        except sharding.CommitConflict:
+            return False
+        return True
+
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(commit, range(8 if scheme == "file" else 1)))
+    assert sum(won) == 1 and sorted(store.versions()) == [1, 2] and store.manifest().small == (f"list-{won.index(True)}",)
+    assert not commit(99)
 
 
 def test_merge_plan_groups_within_the_target():
@@ -442,6 +477,17 @@ def test_merge_plan_groups_within_the_target():
     assert sum(map(len, groups)) == 13  # nine small, four of the five of 100 bytes
 
 
+def test_sharding_query_is_the_whole_table(spark):
+    from framesieve.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    got = queries.op6_sharding(spark, sf).collect()
+    digest = lambda t: None if t is None else hashlib.sha256(t.encode()).hexdigest()
+    assert Counter((r["doc_id"], r["n_chars"], r["text_sha256"]) for r in got) == Counter((r["doc_id"], r["n_chars"], digest(r["text"])) for r in docs)
+    assert all(r["shard"] for r in got) and len({r["version"] for r in got}) == 1
+
+
 # --- 7 mixing
 
 
