@@ -20,6 +20,8 @@ BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split()
 )
+#: Elements that are prose whatever their length, unless they are mostly links.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 #: An open element that the start of these ends (where the markup leaves end tags out).
 ENDED_BY = {
     "p": BLOCK - {"body", "html"}, "li": frozenset({"li"}), "dt": frozenset({"dt", "dd"}), "dd": frozenset({"dt", "dd"}),
@@ -30,39 +32,56 @@ ENDED_BY = {
 _ENDERS = frozenset().union(*ENDED_BY.values())
 #: What an element may not be ended through.
 SCOPE = frozenset("html body table td th caption object template button article section main aside nav header footer div form ul ol dl blockquote".split())
-#: Words of class, id and role values that mark menus, adverts, notices and comments.
+#: Words of class, id and role values that mark menus, adverts, notices and comments. A value counts if a whole token is one
+#: of these, or if all parts of a token ("cookie-notice", "siteFooter") are of these or neutral and one is of these.
 MARKED = frozenset(
-    "ad ads adsbygoogle adv advert adverts alert gdpr paywall advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disclaimer disqus "
-    "dialog discussion footer header masthead menu modal nav navbar navigation newsletter notice notices notification outbrain overlay pagination pager popup "
-    "promo promoted promotion related replies respond share sharing sidebar signup social sponsor sponsored subscribe taboola toolbar widget widgets complementary contentinfo search reactions".split()
+    "ad ads adsbygoogle adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr masthead menu "
+    "modal nav navbar navigation newsletter notice notices notification outbrain pagination pager paywall popup promo promoted respond sidebar signup sponsor sponsored subscribe taboola "
+    "toolbar widget widgets complementary contentinfo".split()
 )
+#: Words that may as well stand for prose: an element they mark goes only if it is less dense than the page, too.
+DOUBTFUL = frozenset("alert dialog disclaimer discussion header overlay promotion reactions related replies search share sharing social".split())
+NEUTRAL = frozenset("area bar block bottom box btn button col column container content form global group head inner item items left link links list main module outer page panel post right row section site slot text title top user wrap wrapper".split())
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?:(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>|[!?/][^>]*(?:>|\Z))", re.S)
 #: A tag with a quote that never ends: up to the next ">".
 _PLAIN_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*?)(/?)>")
 _ATTRIBUTE = re.compile(r"(?:^|\s|/)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)|(?=[\s/>]|$))", re.I)
-_SPLIT = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SPACE = re.compile(r"\s+")
 
 
 class Node:
     """An element: its children and texts in order, and the sums over its subtree that densities need."""
 
-    __slots__ = ("tag", "parent", "items", "noise", "marked", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "items", "noise", "marked", "doubtful", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: "Node | None", noise: bool, marked: bool = False):
-        self.tag, self.parent, self.items, self.noise, self.marked = tag, parent, [], noise, marked
+    def __init__(self, tag: str, parent: "Node | None", noise: bool, marked: bool = False, doubtful: bool = False):
+        self.tag, self.parent, self.items, self.noise, self.marked, self.doubtful = tag, parent, [], noise, marked, doubtful
 
 
-def _marks(attributes: str) -> tuple[bool, bool]:
-    """(whether an element is hidden, whether its class, id or role holds a marking word)."""
-    marked = False
+def _kind(value: str) -> int:
+    """2 for a class, id or role value with a marking token, 1 for a doubtful one, else 0."""
+    found = 0
+    for token in value.split():
+        if token.lower() in MARKED:
+            return 2
+        parts = [p.lower() for p in _PARTS.findall(token)]
+        if parts and all(p in MARKED or p in DOUBTFUL or p in NEUTRAL for p in parts):
+            found = max(found, 2 if any(p in MARKED for p in parts) else int(any(p in DOUBTFUL for p in parts)))
+    return found
+
+
+def _marks(attributes: str) -> tuple[bool, int]:
+    """(whether an element is hidden, the kind of its class, id and role values)."""
+    marked = 0
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
-        return False, False
+        return False, 0
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" and value.lower() != "false" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True, False
-        marked = marked or name in ("class", "id", "role") and any(w.lower() in MARKED for w in _SPLIT.findall(value))
+            return True, 0
+        if name in ("class", "id", "role"):
+            marked = max(marked, _kind(value))
     return False, marked
 
 
@@ -126,7 +145,9 @@ def parse(page: str) -> Node:
                 break
             open_ = open_.parent
         hidden, marked = _marks(attributes)
-        child = Node(tag, node, tag in NOISE or hidden, marked and tag not in ("html", "body", "article", "main"))
+        if tag in ("html", "body", "article", "main"):
+            marked = 0
+        child = Node(tag, node, tag in NOISE or hidden, marked == 2, marked == 1)
         node.items.append(child)
         if tag in VOID:
             continue
@@ -215,8 +236,23 @@ def _densities(order: list[Node], body: Node) -> None:
         node.total = sum(x.density for x in node.items if isinstance(x, Node) and not x.noise) + (node.density if any(isinstance(x, str) and x.strip() for x in node.items) else 0.0)
 
 
-def _blocks(node: Node) -> list[str]:
-    """Texts of the blocks below a node in page order: white space collapsed, character references decoded."""
+def _drop_doubtful(order: list[Node], body: Node) -> bool:
+    """Turns elements with a doubtful mark into noise where they have fewer unlinked characters per tag than the page.
+
+    The composite density is no measure here: it grows with an element's size.
+    """
+    plain = lambda x: (x.chars - x.link_chars) / max(1, x.tags)
+    least, dropped = plain(body), False
+    for node in order:
+        if node.doubtful and not node.noise and node is not body and plain(node) < least:
+            node.noise = dropped = True
+        elif node.parent is not None and node.parent.noise and not node.noise:
+            node.noise = True
+    return dropped
+
+
+def _blocks(node: Node, wanted=None) -> list[str]:
+    """Texts of the blocks below a node in page order, of ``wanted`` elements: white space collapsed, references decoded."""
     out: list[str] = []
     held: list[str] = []
 
@@ -233,7 +269,7 @@ def _blocks(node: Node) -> list[str]:
             flush()
         elif isinstance(x, str):
             held.append(x)
-        elif x.noise:
+        elif x.noise or wanted is not None and not wanted(x):
             if x.tag in BLOCK:
                 flush()
         elif x.tag == "br":
@@ -247,14 +283,40 @@ def _blocks(node: Node) -> list[str]:
     return out
 
 
+def _beside(order: list[Node], path: list[Node], threshold: float):
+    """Tells the elements of a text without an article: all of the core, the path, and what beside it is prose.
+
+    Beside the path, from the top down, an element is taken whole if it is at least as dense as the threshold, or a
+    paragraph, quotation or heading, and not mostly links; what is not is searched for such elements. Inline elements go
+    with the text around them.
+    """
+    whole, on_path, taken = {id(path[0])}, set(map(id, path)), set(map(id, path))
+    for x in order:  # parents before children
+        above = id(x.parent) if x.parent is not None else None
+        if above in whole:
+            whole.add(id(x))
+        elif id(x) not in on_path and not x.noise:
+            linked = 2 * x.link_chars > x.chars
+            inline = x.tag not in BLOCK and above in on_path and (not linked or any(isinstance(y, str) and y.strip() for y in x.parent.items))
+            if inline or x.chars and not linked and (x.density >= threshold or x.tag in PROSE):
+                whole.add(id(x))
+    for x in reversed(order):  # an element that holds a taken one is passed through
+        if id(x) in whole or id(x) in taken:
+            taken.add(id(x))
+            if x.parent is not None:
+                taken.add(id(x.parent))
+    return lambda x: id(x) in taken
+
+
 def main_text(page: str | None) -> str:
     """The main text of a whole page, its blocks joined by blank lines; empty if there is none.
 
     Every DOM node gets its link-adjusted characters per tag. The subtree whose children's densities sum highest is the
-    core; the least density on the path from it up to the body is the threshold, and the text is that of the core's
-    highest ancestor inside ``body`` which, like everything on the way, is at least that dense and adds prose of its own.
-    An ``article`` (or ``main``) around the core, or one that holds at least half of it, is taken whole. Noise elements and marked ones (menus, adverts, notices, comments) count nowhere.
-    Without a body the document stands for it.
+    core; the least density on the path from it up to the body is the threshold. An ``article`` (or ``main``) around the
+    core, or one that holds at least half of it, is taken whole. Without one the text is that of the core, of everything
+    on the path's own level, and of every other subtree below the body that is at least as dense as the threshold, with
+    its heading. Noise elements and marked ones (menus, adverts, notices, comments) count nowhere; elements with a
+    doubtful mark go where their density is below the page's. Without a body the document stands for it.
     """
     if not page:
         return ""
@@ -264,6 +326,9 @@ def main_text(page: str | None) -> str:
     if not body.chars:
         body = root
     _densities(order, body)
+    if _drop_doubtful(order, body):
+        _measure(root)
+        _densities(order, body)
     inside, node = set(), None
     stack = [body]
     while stack:
@@ -280,19 +345,12 @@ def main_text(page: str | None) -> str:
     while path[-1] is not body and path[-1].parent is not None:
         path.append(path[-1].parent)
     threshold = min((x.density for x in path if x.tag not in ("html", "#document")), default=0.0)
-    node = core
     articles = [x for x in path if x.tag in ("article", "main")]
     if not articles:  # the core spans more than the article that holds most of it
         articles = sorted((x for x in order if x.tag in ("article", "main") and id(x) in inside and 2 * x.chars >= core.chars), key=lambda x: x.chars)[-1:]
     if articles:
-        node = next((x for x in reversed(articles) if x.tag == "article"), articles[0])
-    else:
-        for x in path[1:]:
-            if x is body and any(y.noise for y in x.items if isinstance(y, Node)) and node.chars >= 0.5 * x.chars:
-                break
-            if x.density >= threshold and node.chars < x.chars:
-                node = x
-    return "\n\n".join(_blocks(node))
+        return "\n\n".join(_blocks(next((x for x in reversed(articles) if x.tag == "article"), articles[0])))
+    return "\n\n".join(_blocks(body, _beside(order, path, threshold)))
 
 
 def extract_text(pages: DataFrame, *, html_column: str = "html", text: str = "text") -> DataFrame:

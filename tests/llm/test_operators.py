@@ -359,6 +359,8 @@ def test_bpe_on_rows(spark, reference_encoding):
 
 # --- 5 HTML
 
+PARAGRAPH = "A long paragraph of the main text, which goes on for a while and then a little longer, as paragraphs do."
+
 
 @pytest.mark.parametrize(
     ("page", "text"),
@@ -372,12 +374,79 @@ def test_bpe_on_rows(spark, reference_encoding):
         ("<body class='has-sidebar'><div class='layout with-sidebar'><main><h1>Head</h1><article><p>inner text one</p><article><p>inner text two</p></article></article></main></div>", "inner text one\n\ninner text two"),
         ("<body><div class='page header-fixed'><h1>Head line</h1><p>The text of the page goes on and on.</p></div><div class='header'><h1>Site</h1></div></body>", "Head line\n\nThe text of the page goes on and on."),
         ("<!-- c --><article><p>x<!-- <p>no</p> -->y</p></article>", "xy"),
+        (f"<body><nav><a href=x>m</a></nav><div><p>{PARAGRAPH}</p><p class='market-share'>{PARAGRAPH}</p><div id='discussion'><p>{PARAGRAPH}</p></div><p>{PARAGRAPH}</p></div></body>", "\n\n".join([PARAGRAPH] * 4)),
+        (f"<article><p>{PARAGRAPH}</p><p class='search related'>{PARAGRAPH}</p><div class='social share'><a href=x>Tell</a> <a href=y>Post</a></div><div class=related><ul><li><a href=x>One</a><li><a href=y>Two</a></ul></div></article>", f"{PARAGRAPH}\n\n{PARAGRAPH}"),
+        (f"<body><nav><a href=x>m</a></nav><h1>Head</h1><div><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div><div><p>{PARAGRAPH}</p><p>Short.</p></div><div><a href=x>One</a><a href=y>Two</a></div></body>", "\n\n".join(["Head", *[PARAGRAPH] * 4, "Short."])),
+        (f"<article><p>{PARAGRAPH}</p><div class='siteFooter'>no</div><div class='comment-list'><p>{PARAGRAPH}</p></div><div class='breaking-news'><p>kept</p></div></article>", f"{PARAGRAPH}\n\nkept"),
     ],
 )
 def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+def brute_densities(page: str) -> list[tuple[str, float, float]]:
+    """(tag, density, sum of the children's densities) by their definitions, for well-formed pages without noise."""
+    import xml.etree.ElementTree as ET
+
+    def text(x) -> str:
+        return re.sub(r"[ \n]", "", "".join(x.itertext()))
+
+    def links(x) -> list:
+        return [x] if x.tag == "a" else [y for z in x for y in links(z)]
+
+    root = ET.fromstring(page)
+    total, body_links = len(text(root)), sum(len(text(a)) for a in links(root))
+
+    def density(x) -> float:
+        c, t = len(text(x)), max(1, len(list(x.iter())) - 1)
+        lc, lt = sum(len(text(a)) for a in links(x)), len([a for a in x.iter() if a.tag == "a"])
+        if not c:
+            return 0.0
+        base = math.log(c / max(1, c - lc) * lc + body_links / max(1, total) * c + math.e)
+        return c / t * math.log(max(1.0, c / max(1, lc) * t / max(1, lt)) + math.e - 1) / max(1.0, math.log(base) + 1)
+
+    def own(x) -> bool:
+        return any((s or "").strip() for s in (x.text, *(y.tail for y in x)))
+
+    return [(x.tag, density(x), sum(map(density, x)) + (density(x) if own(x) else 0.0)) for x in root.iter()]
+
+
+def test_densities_equal_their_definition():
+    rng = random.Random(23)
+
+    def tree(depth: int) -> str:
+        inner = "".join(rng.choice([prose(rng, rng.randrange(1, 9)), "<a>" + prose(rng, 2) + "</a>", f"<p>{prose(rng, 12)}</p>", tree(depth - 1) if depth else "x"]) for _ in range(rng.randrange(1, 5)))
+        return f"<div>{inner}</div>"
+
+    for _ in range(40):
+        page = f"<body>{tree(4)}{tree(3)}</body>"
+        root = html_text.parse(page)
+        order = html_text._measure(root)
+        html_text._densities(order, order[1])
+        assert [(x.tag, pytest.approx(x.density), pytest.approx(x.total)) for x in order[1:]] == brute_densities(page)
+
+
+def test_html_query_equals_the_articles_of_the_pages(spark):
+    """The given pages hold one article each: its blocks, cut out by a plain splitter."""
+    import html
+
+    from framesieve.llm import queries
+
+    sf = "/root/testdata/sf0.01"
+    pages = {r["page_id"]: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    got = queries.op5_html(spark, sf).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        page = pages[r["page_id"]]
+        inner = re.search(r"(?s)<article>(.*)</article>", page["html"])[1]
+        inner = re.sub(r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<(nav|aside|footer|form)\b.*?</\1>", "\n\n", inner)
+        blocks = re.split(r"(?i)</?(?:p|h\d|div|li|ul|ol|table|tr|td|section|blockquote)\b[^>]*>", inner.replace("<br>", " "))
+        want = [t for b in blocks if (t := re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]+>", "", b))).strip())]
+        if not re.search(r"<div|<section", inner):
+            assert r["text"] == "\n\n".join(want), r["page_id"]
+        assert r["n_chars"] == len(r["text"]) and r["url"] == page["url"]
+
+
 @pytest.mark.parametrize("page", ["<a " * 30_000, "<" * 50_000, '<a "x ' * 9_999 + ">", "<!--" * 20_000, "<div>" * 20_000 + "x", "</p>" * 30_000, "<b>" * 20_000 + "</i>" * 20_000, "<ul><li>" * 8_000 + "x", "<p><b>" * 20_000, "&#x110000;&bogus;&" * 5_000], ids=lambda p: p[:6])
 def test_hostile_pages_take_linear_time(page):
     import time
