@@ -111,11 +111,13 @@ def needed_in_common(differing: int, n_centre: int, n: int, similarity: float) -
     return max(1, math.floor((differing + kappa * (n_centre - n)) / 2 - 1e-9) + 1)
 
 
-_PAIR = "a long, b long, n long, linked boolean, size long, prefix int, items array<bigint>"
+#: Centres with more pairs than this, and than a 1/10000 of all pairs, are dealt to several tasks: 10,000 centres at most.
+HOT_PAIRS = 256
+_PAIR = "a long, salt int, b long, n long, linked boolean, size long, prefix int, items array<bigint>"
 
 
 def _verify(k: int, similarity: float):
-    """Compares the full shingle sets of pairs (a, ta, b, tb), and gives the items by which b differs from a.
+    """Compares the full shingle sets of pairs (a, salt, ta, b, tb), and gives the items by which b differs from a.
 
     These are b's additions and, hashed anew, its omissions. a's set is kept while a repeats.
     """
@@ -126,7 +128,7 @@ def _verify(k: int, similarity: float):
         sets: dict[int, np.ndarray] = {}
         for batch in batches:
             out: list[tuple] = []
-            for ia, ta, ib, tb in zip(*(batch.column(i) for i in range(4)), strict=True):
+            for ia, salt, ta, ib, tb in zip(*(batch.column(i) for i in range(5)), strict=True):
                 ia = ia.as_py()
                 if ia not in sets:
                     if len(sets) > 64:
@@ -137,9 +139,9 @@ def _verify(k: int, similarity: float):
                 linked = similar(len(two) - len(added), len(one), len(two), percent)
                 items = np.concatenate([added, _mix(left_out + _A)])
                 prefix = max(0, len(items) - needed_in_common(len(items), len(one), len(two), similarity) + 1)
-                out.append((ia, ib.as_py(), len(two), linked, len(items), prefix, items.view(np.int64)))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["a", "b", "n", "linked", "size", "prefix", "items"])
+                out.append((ia, salt.as_py(), ib.as_py(), len(two), linked, len(items), prefix, items.view(np.int64)))
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["a", "salt", "b", "n", "linked", "size", "prefix", "items"])
 
     return run
 
@@ -178,7 +180,8 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: str = "
     shingles and link with nothing. Rows whose shingle sets are equal form a class; classes are linked where the exact
     similarity of their sets reaches ``similarity``; ``component_id`` is the smallest id reachable, ``kept`` tells the
     rows with that id. Rows that repeat an id are one class if their texts are, and link by their own texts if not; ids
-    must not be null (such rows link with nothing and keep a null component). An empty table gives no rows.
+    must be integers and not null (such rows link with nothing and keep a null component). Texts of any length are
+    compared whole. Further columns are not read, whatever their names. An empty table gives no rows.
 
     Below, ``rep`` numbers a class: its smallest id, or a hash for every further class with that smallest id. One row with
     the class's text stands for it, however often it is repeated.
@@ -219,10 +222,18 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: str = "
     texts = cut(texts.dropDuplicates(["id", "th"]).select("tid", "text"), "near-texts")
 
     def compared(pairs: DataFrame) -> DataFrame:
-        """The pairs of representatives with what ``_verify`` says of them."""
-        left = pairs.join(texts, _same("b", "tid")).select("a", "b", F.col("text").alias("tb"))
-        right = texts.select(F.col("tid").alias("aid"), F.col("text").alias("ta"))
-        met = left.join(right, _same("a", "aid")).select("a", "ta", "b", "tb")
+        """The pairs of representatives with what ``_verify`` says of them.
+
+        The pairs of a hot centre are dealt to several tasks by a salt; its text goes once to each of them.
+        """
+        most = max(HOT_PAIRS, pairs.count() // 10_000)
+        hot = pairs.groupBy(F.col("a").alias("h")).agg(F.count("*").alias("n_pairs")).where(F.col("n_pairs") > most)
+        parts = F.coalesce(F.ceil(F.col("n_pairs") / most), F.lit(1))
+        dealt = pairs.join(F.broadcast(hot), _same("a", "h"), "left").select("a", "b", F.pmod(F.xxhash64("b"), parts).cast("int").alias("salt"))
+        left = dealt.join(texts, _same("b", "tid")).select("a", "salt", "b", F.col("text").alias("tb"))
+        heads = dealt.select(F.col("a").alias("ha"), F.col("salt").alias("hs")).distinct()
+        right = heads.join(texts, _same("ha", "tid")).select("ha", "hs", F.col("text").alias("ta"))
+        met = left.join(right, _same("a", "ha") & _same("salt", "hs")).select("a", "salt", "ta", "b", "tb")
         return cut(met.mapInArrow(_verify(k, similarity), _PAIR), "near-compared")
 
     stars = compared(pairs)
@@ -230,8 +241,9 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: str = "
     part = cut(components(edges), "near-parts")
     kappa = (1 - similarity) / (1 + similarity)
     # groups without an unlinked row have nothing to find
-    open_ = stars.where("NOT linked").select(F.col("a").alias("__a")).distinct()
-    items = stars.join(open_, _same("a", "__a"), "left_semi").select("a", "b", "n", "linked", "size", "prefix", F.explode("items").alias("i"))
+    open_ = stars.where("NOT linked").select(F.col("a").alias("oa")).distinct()
+    open_ = stars.select(F.col("a").alias("__a"), F.col("salt").alias("__s")).distinct().join(open_, _same("__a", "oa"), "left_semi")
+    items = stars.join(open_, _same("a", "__a") & _same("salt", "__s"), "left_semi").select("a", "b", "n", "linked", "size", "prefix", F.explode("items").alias("i"))
     items = cut(items, "near-items")
     often = items.groupBy(F.col("a").alias("oa"), F.col("i").alias("oi")).agg(F.count("*").alias("df")).where("df > 1")
     ranked = items.join(cut(often, "near-often"), _same("a", "oa") & _same("i", "oi"), "left").withColumn("df", F.coalesce("df", F.lit(1)))
