@@ -22,9 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a folder of this process where none is set (tests, local mode)."""
+    """The cluster's shared checkpoint folder; in local mode, where none is set, a folder of this process."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = os.path.join(tempfile.gettempdir(), f"framesieve-checkpoints-{os.getpid()}")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -56,6 +58,18 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def made() -> int:
+    """How many scratch paths there are so far; for ``free``."""
+    return len(_made)
+
+
+def free(since: int) -> None:
+    """Removes the scratch tables made after the first ``since``, but for the newest, which no longer needs them."""
+    for spark, path in _made[since:-1]:
+        remove(spark, path)
+    del _made[since:-1]
+
+
 def ascii_lower(column):
     return F.translate(column, UPPER, LOWER)
 

@@ -157,7 +157,8 @@ def successors(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text"
 
     Null texts count as empty. The edited text takes from the successor in ascending id order, after the last row from
     the first; a single row is its own successor. Rows that repeat an id follow each other in the order of their texts'
-    hashes. Two empty texts are alike (1.0); an empty table gives no rows.
+    hashes. Two empty texts are alike (1.0); an empty table gives no rows. Texts of any length are signed whole. Ids must be
+    integers; null ones come first. Further columns are not read, whatever their names.
     """
     maker = OrderMinHash(k, length, sketches, seed)
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

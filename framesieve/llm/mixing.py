@@ -14,27 +14,45 @@ from .common import cut, n_words
 WEIGHTS = (3, 1, 2)
 
 
+def source_ranks(sources: DataFrame) -> DataFrame:
+    """Adds ``rank``, from 0, in code-point order of ``source``, null last.
+
+    Sources may be hosts, millions of them: they are sorted by ranges, and a range's rows are numbered from the sum of the
+    ranges before it; the driver sees one number per range.
+    """
+    spark = sources.sparkSession
+    key = F.col("source").asc_nulls_last()
+    ranges = sources.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), key).withColumn("p", F.spark_partition_id())
+    numbered = cut(ranges.withColumn("nth", F.row_number().over(W.partitionBy("p").orderBy(key)) - 1), "mix-ranks")
+    upto, at = {}, 0
+    for r in numbered.groupBy("p").count().orderBy("p").collect():
+        upto[r["p"]], at = at, at + r["count"]
+    earlier = F.element_at(F.create_map(*[F.lit(v).cast("long") for pair in upto.items() for v in pair]), F.col("p").cast("long")) if upto else F.lit(0)
+    return numbered.withColumn("rank", F.col("nth") + earlier).drop("p", "nth")
+
+
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, repeat: int = 2) -> DataFrame:
     """(source, source_size, n_docs, target): ``share`` of all words dealt by weight, capped at ``repeat`` sizes.
 
-    A source is capped where pouring every source up to its own cap-to-weight level still fits the total; what is left
-    goes to the others by weight. This is the fixpoint of resharing the excess. One row per source goes through single
-    windows: the catalogue of sources is small, the documents are summed before it.
+    The excess over caps is dealt anew by weight until no source is above its cap: each round caps the sources whose
+    part at the present level (words per weight) passes it, and the level rises with what they leave. A round is one
+    aggregate over the table of sources; no window holds them all.
     """
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-    rank = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (rank % len(weights) + 1).cast("int"))
-    per = per.withColumn("weight", weight).withColumn("cap", F.col("source_size").cast("double") * repeat)
-    level = W.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    every = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    upto = level.rowsBetween(W.unboundedPreceding, 0)
-    per = per.withColumn("total", F.sum("source_size").over(every) * F.lit(float(share)))
-    poured = F.sum("cap").over(upto) + F.col("cap") / F.col("weight") * (F.sum("weight").over(every) - F.sum("weight").over(upto))
-    per = per.withColumn("capped", poured <= F.col("total"))
-    left = F.col("total") - F.sum(F.when(F.col("capped"), F.col("cap")).otherwise(0.0)).over(every)
-    rest = F.sum(F.when(F.col("capped"), 0.0).otherwise(F.col("weight"))).over(every)
-    target = F.when(F.col("capped"), F.col("cap")).otherwise(F.least(F.col("cap"), F.greatest(left, F.lit(0.0)) * F.col("weight") / rest))
-    return per.select("source", "source_size", "n_docs", target.alias("target"))
+    ranked = source_ranks(per)
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
+    ranked = ranked.withColumn("weight", weight).withColumn("cap", F.col("source_size").cast("double") * repeat)
+    total, every = ranked.agg(F.sum("source_size"), F.sum("weight")).first()
+    total = float(total or 0) * share
+    level = total / every if every else 0.0
+    before = None
+    while True:
+        above = F.col("cap") < F.col("weight") * F.lit(level)
+        n, capped, rest = ranked.agg(F.count_if(above), F.sum(F.when(above, F.col("cap"))), F.sum(F.when(~above, F.col("weight")))).first()
+        if n == before or not rest:
+            break
+        before, level = n, max(level, (total - (capped or 0.0)) / rest)
+    return ranked.select("source", "source_size", "n_docs", F.least(F.col("cap"), F.col("weight") * F.lit(level)).alias("target"))
 
 
 def weighted_fair_mix(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS, share: float = 1.5, repeat: int = 2, seed: int = 7, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -47,8 +65,10 @@ def weighted_fair_mix(docs: DataFrame, *, id_column: str = "doc_id", text: str =
 
     Running sums never hold a source in one task: hash ranges of (source, range) are summed first, the sums are
     accumulated, and only then each range by itself. Null or empty texts have size 0 and are never taken; null sources
-    are a source of their own; rows that repeat are documents of their own; an empty table gives no rows. ``carry``
-    names further columns to keep.
+    are a source of their own; an empty table gives no rows. Equal finish times are ordered by the document's hash, id and
+    round, so reruns agree; rows that repeat are documents of their own, one after
+    the other in their queue. Of further
+    columns only those named in ``carry`` are kept, after the others; names of the result are its own.
     """
     spark = docs.sparkSession
     extra = [F.col(c).alias(f"__carry_{i}") for i, c in enumerate(carry)]

@@ -602,8 +602,26 @@ def test_mixing_meets_targets(spark):
     assert {(r["doc_id"], r["taken"]) for r in again} == {(r["doc_id"], r["taken"]) for r in rows}
 
 
+def test_mixing_of_many_sources_and_repeated_rows(spark):
+    rng = random.Random(24)
+    sources = [f"s{int(1000 * rng.random() ** 3)}" for _ in range(900)]
+    docs = documents(spark, ["w " * rng.randrange(1, 60) for _ in sources], sources)
+    rows = mixing.weighted_fair_mix(docs).collect()
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r["source"]] += r["size"]
+    want = expected_targets(sizes)
+    assert len(sizes) > 300 and all(math.isclose(r["target"], want[r["source"]], rel_tol=1e-9) for r in rows)
+    twice = mixing.weighted_fair_mix(docs.unionAll(docs)).collect()
+    assert set(Counter(r["doc_id"] for r in twice).values()) == {2} and all(r["taken"] <= 2 * r["size"] for r in twice)
+    assert all(math.isclose(r["target"], 2 * want[r["source"]], rel_tol=1e-9) for r in twice)
+
+
 def test_mixing_awkward_rows(spark):
-    rows = mixing.weighted_fair_mix(documents(spark, [None, "", "a b", "a b", LONG], ["x", "y", None, None, "x"]).withColumn("size", F.lit("clash"))).collect()
+    docs = documents(spark, [None, "", "a b", "a b", LONG], ["x", "y", None, None, "x"]).withColumn("size", F.lit("clash")).withColumn("target", F.lit("clash")).withColumn("h", F.lit("kept"))
+    mixed = mixing.weighted_fair_mix(docs, carry=("h",))
+    rows = mixed.collect()
+    assert {r["h"] for r in rows} == {"kept"} and len(set(mixed.columns)) == len(mixed.columns)
     assert len(rows) == 5 and all(0 <= r["taken"] <= 2 * r["size"] for r in rows)
     assert mixing.weighted_fair_mix(documents(spark, [])).count() == 0
     assert [r["taken"] for r in mixing.weighted_fair_mix(documents(spark, [None, ""])).collect()] == [0, 0]
@@ -631,7 +649,8 @@ def test_line_dedup_equals_brute_force(spark):
     rng = random.Random(9)
     texts = ["\n".join(rng.choice("abc") for _ in range(rng.randrange(1, 14))) for _ in range(60)]
     texts += ["x\nx\nx\nx\nx\nx", "q\nw\ne\nr\n", "q\nw\ne\nr\n", "", None, "\n\n\n\n", "\n".join(f"l{i}" for i in range(5000))]
-    docs = documents(spark, texts).withColumn("pos", F.lit("clash"))
+    docs = documents(spark, texts).withColumn("pos", F.lit("clash")).withColumn("n_lines", F.lit("clash")).withColumn("clean_text", F.lit("clash"))
+    assert sorted(line_dedup.dedup_lines(docs).columns) == sorted([*DOC_COLUMNS, "pos", "n_lines", "clean_text", "n_removed"])
     got = {r["doc_id"]: (r["n_removed"], r["clean_text"]) for r in line_dedup.dedup_lines(docs).collect()}
     want = brute_line_dedup(texts)
     assert {i: got[i] for i in want} == want and got[texts.index(None)] == (0, None) and len(got) == len(texts)
