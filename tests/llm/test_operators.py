@@ -860,3 +860,74 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 101), (102, 101)], "a long, b long")
     got = {r["node"]: r["component"] for r in near_dedup.components(edges).collect()}
     assert got == {i: 0 for i in range(n + 1)} | {100: 100, 101: 100, 102: 100}
+
+
+# --- the registered queries
+
+
+def sf_rows(spark, name, sf="/root/testdata/sf0.001"):
+    return spark.read.parquet(f"{sf}/{name}.parquet").collect()
+
+
+def test_url_query_applies_the_contract(spark):
+    from framesieve.llm import queries
+
+    got = {r["page_id"]: r for r in queries.op2_url_filter(spark, "/root/testdata/sf0.01").collect()}
+    pages = sf_rows(spark, "pages", "/root/testdata/sf0.01")
+    assert got.keys() == {p["page_id"] for p in pages}
+    for p in pages:
+        f = brute_features(p["url"])
+        fits = []
+        for verdict, rule in url_filter.RULES:
+            name, _, rest = rule.partition("/")
+            if (f["host"] == name or f["host"].endswith("." + name)) and f["path"].startswith("/" + rest):
+                fits.append((len(rule), rule, verdict))
+        r = got[p["page_id"]]
+        assert (r["host"], r["path"]) == (f["host"], f["path"]) and r["rule"] == (max(fits)[1] if fits else None)
+        assert r["verdict"] == (max(fits)[2] if fits else "block" if r["bad_probability"] >= 0.5 else "allow")
+
+
+def test_fingerprint_query_follows_the_contract(spark):
+    from framesieve.llm import queries
+
+    docs = sorted((r["doc_id"], r["text"] or "") for r in sf_rows(spark, "documents"))
+    got = {r["doc_id"]: r for r in queries.op3_fingerprint(spark, "/root/testdata/sf0.001").collect()}
+    m = fingerprint.OrderMinHash()
+    assert got.keys() == {i for i, _ in docs}
+    for (i, text), (_, after) in zip(docs, docs[1:] + docs[:1], strict=True):
+        n = len(text) // 4
+        changed = text[: len(text) - n] + after[:n]
+        r = got[i]
+        assert (r["n_chars"], r["edited_sha256"], r["fingerprint"]) == (len(text), hashlib.sha256(changed.encode()).hexdigest(), fingerprint.as_text(m(text)))
+        assert (r["near_edited"], r["near_next"]) == (fingerprint.likeness(m(text), m(changed)), fingerprint.likeness(m(text), m(after)))
+
+
+def test_bpe_query_equals_tiktoken(spark, reference_encoding):
+    from framesieve.llm import queries
+
+    docs = {r["doc_id"]: r["text"] or "" for r in sf_rows(spark, "documents")}
+    got = queries.op4_bpe(spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == len(docs)
+    for r in got:
+        ids = reference_encoding.encode_ordinary(docs[r["doc_id"]])
+        want = (len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest(), hashlib.sha256(docs[r["doc_id"]].encode()).hexdigest())
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == want
+
+
+def test_mixing_query_follows_the_contract(spark):
+    from framesieve.llm import queries
+
+    docs = {r["doc_id"]: r for r in sf_rows(spark, "documents", "/root/testdata/sf0.01")}
+    got = queries.op7_mixing(spark, "/root/testdata/sf0.01").collect()
+    words = {i: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for i, r in docs.items()}
+    sizes, taken = defaultdict(int), defaultdict(int)
+    for i, r in docs.items():
+        sizes[r["source"]] += words[i]
+    want = expected_targets(sizes)
+    assert len(got) == len(docs)
+    for r in got:
+        source = docs[r["doc_id"]]["source"]
+        taken[source] += r["taken"]
+        assert (r["size"], r["source_size"]) == (words[r["doc_id"]], sizes[source]) and math.isclose(r["target"], want[source], rel_tol=1e-9)
+        assert 0 <= r["taken"] <= 2 * r["size"]
+    assert all(abs(taken[s] - want[s]) <= 0.05 * want[s] + max(words.values()) for s in sizes)
