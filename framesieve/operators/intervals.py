@@ -51,16 +51,19 @@ def subtract(intervals: DataFrame, barriers: DataFrame) -> DataFrame:
     """Each interval cut around the barriers of its video; every piece keeps the interval's other columns.
 
     The barriers are unioned and gathered by (video, block of frames); an interval meets those of the blocks it touches and
-    folds over the ones that overlap it. No frame is exploded, and a long video's barriers never meet in one row.
+    folds over the ones that overlap it. No frame is exploded, and a long video's barriers never meet in one row. Columns
+    must be of types that can be grouped; rows that repeat stay as often as they are.
     """
     merged = union(barriers.select("video_id", "start", "end", F.array().cast("array<string>").alias("sample_ids")))
     per = binned(merged).groupBy(F.col("video_id").alias("__v"), F.col("__bin").alias("__at")).agg(F.collect_list(F.struct("start", "end")).alias("__b"))
-    rows = binned(intervals.select("video_id", "start", "end", F.struct(*intervals.columns).alias("__row"), F.monotonically_increasing_id().alias("__id")))
-    met = rows.join(per, (F.col("video_id") == F.col("__v")) & (F.col("__bin") == F.col("__at")), "left")
+    names = intervals.columns
+    met = binned(intervals).join(per, (F.col("video_id") == F.col("__v")) & (F.col("__bin") == F.col("__at")), "left")
     overlapping = F.filter(F.coalesce("__b", F.array().cast(merged_type(merged))), lambda b: (b["end"] >= F.col("start")) & (b["start"] <= F.col("end")))
-    met = met.select("__id", "__row", overlapping.alias("__hits"))
-    joined = met.groupBy("__id").agg(F.first("__row").alias("__row"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("__hits")))).alias("__hits"))
-    joined = joined.select("__row.*", "__hits")
+    met = met.withColumn("__hits", overlapping)
+    # rows are known by their columns; equal ones are counted in the block where they start
+    copies = F.count_if(F.col("__bin") == F.floor(F.col("start") / BLOCK)).alias("__copies")
+    joined = met.groupBy(*names).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("__hits")))).alias("__hits"), copies)
+    joined = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).drop("__copies", "__copy")
     # pieces run from behind one barrier to before the next
     pieces = F.transform(F.sequence(F.lit(0), F.size("__hits")), lambda i: F.struct(
         F.when(i == 0, F.col("start")).otherwise(F.get("__hits", i - 1)["end"] + 1).alias("a"),
@@ -101,13 +104,17 @@ def segment_id(run_hash: str, video: Column, start: Column, end: Column) -> Colu
 
 
 def segment_frames(segments: DataFrame, frames: DataFrame, *, least: int = 3) -> DataFrame:
-    """(segment columns, frame_index) of all frames inside; the job fails at a segment with fewer than ``least``."""
+    """(segment columns, frame_index) of all frames inside; the job fails at a segment with fewer than ``least``.
+
+    Frames are counted by partial sums per segment and block, so a long segment meets in no task.
+    """
     f = frames.select(F.col("video_id").alias("__v"), "frame_index", F.floor(F.col("frame_index") / BLOCK).alias("__at"))
     inside = (F.col("video_id") == F.col("__v")) & (F.col("__bin") == F.col("__at")) & F.col("frame_index").between(F.col("start"), F.col("end"))
-    met = binned(segments).join(f, inside, "left").drop("__v", "__at", "__bin")
-    n = F.count("frame_index").over(W.partitionBy("video_id", "start", "end"))
+    keys = ["video_id", "start", "end"]
+    counts = binned(segments.select(*keys).distinct()).join(f, inside).groupBy(*keys).agg(F.count("*").alias("__n"))
     fail = F.raise_error(F.lit("a segment has too few frames")).cast("boolean")
-    return met.withColumn("__ok", F.when(n < least, fail).otherwise(F.lit(True))).where("__ok AND frame_index IS NOT NULL").drop("__ok")
+    ready = segments.join(counts, keys, "left").withColumn("__ok", F.when(F.coalesce("__n", F.lit(0)) < least, fail).otherwise(F.lit(True)))
+    return binned(ready.where("__ok").drop("__ok", "__n").select(segments.columns)).join(f, inside).drop("__v", "__at", "__bin")
 
 
 def match_records(records: DataFrame, segments: DataFrame) -> DataFrame:

@@ -5,21 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, MapType, StructType
+
+from ..scratch import cut
 
 #: Columns that can name a record, in order of precedence.
 IDENTITIES = ("sample_id", "segment_id", "task_id")
 
 
+def comparable(kind) -> bool:
+    """Whether values of a type can be ordered (maps and what holds them cannot)."""
+    if isinstance(kind, StructType):
+        return all(comparable(f.dataType) for f in kind.fields)
+    return comparable(kind.elementType) if isinstance(kind, ArrayType) else not isinstance(kind, MapType)
+
+
 def canonical_json(df: DataFrame, columns: list[str] | None = None) -> Column:
-    """JSON of a row with its fields in alphabetical order at every level, nulls kept.
+    """JSON of a row with its fields and map keys in alphabetical order at every level, nulls kept.
 
-    Floats are written Java's way, so hash only integers and strings across systems.
+    Maps whose values hold maps keep their order. Floats are written Java's way, so hash only integers and strings across systems.
     """
 
     def ordered(column: Column, kind) -> Column:
         if isinstance(kind, StructType):
             return F.when(column.isNotNull(), F.struct(*[ordered(column[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)]))
+        if isinstance(kind, ArrayType):
+            return F.transform(column, lambda x: ordered(x, kind.elementType))
+        if isinstance(kind, MapType):
+            entries = F.array_sort(F.transform(F.map_keys(column), lambda k: F.struct(k.cast("string").alias("key"), ordered(F.element_at(column, k), kind.valueType).alias("value")))) if comparable(kind.valueType) else None
+            return F.map_from_entries(entries) if entries is not None else column
         return column
 
     names = sorted(columns or df.columns)
@@ -58,6 +72,58 @@ def sort_records(df: DataFrame, fields: list[str]) -> DataFrame:
     return df.withColumn("__json", canonical_json(df)).orderBy(*[F.col(f).asc_nulls_first() for f in fields], "__json").drop("__json")
 
 
+def _ranges(df: DataFrame, order: list[Column]) -> DataFrame:
+    """The rows, dealt by ranges of the order and written, with their range's number ``__p``."""
+    spark = df.sparkSession
+    return cut(df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("__p", F.spark_partition_id()), "ranges")
+
+
+def _offset(totals: list[tuple[int, int]]) -> Column:
+    """For a range's number: the sum of the ranges before it; the driver sees one number per range."""
+    upto, at = [], 0
+    for p, n in sorted(totals):
+        upto += [F.lit(p), F.lit(at)]
+        at += n
+    return F.element_at(F.create_map(*upto), F.col("__p")).cast("long") if upto else F.lit(0).cast("long")
+
+
+def numbered(df: DataFrame, order: list[Column], name: str = "place") -> DataFrame:
+    """Adds each row's place from 1 in a global order: places inside ranges plus the ranges before; no task holds all rows."""
+    rows = _ranges(df, order).withColumn(name, F.row_number().over(W.partitionBy("__p").orderBy(*order)).cast("long"))
+    counts = [(r["__p"], r["count"]) for r in rows.groupBy("__p").count().collect()]
+    return rows.withColumn(name, F.col(name) + _offset(counts)).drop("__p")
+
+
+def running_before(df: DataFrame, order: list[Column], value: str, name: str) -> DataFrame:
+    """Adds the sum of a whole-numbered column over the rows before each in a global order, range by range."""
+    window = W.partitionBy("__p").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    rows = _ranges(df, order)
+    sums = [(r["__p"], r["s"] or 0) for r in rows.groupBy("__p").agg(F.sum(value).alias("s")).collect()]
+    return rows.withColumn(name, F.coalesce(F.sum(value).over(window), F.lit(0)) + _offset(sums)).drop("__p")
+
+
+def checked_order(df: DataFrame, position: str, *fields: str) -> DataFrame:
+    """The rows; fails where the fields decrease along ``position``. Ranges of positions are checked by themselves, then their borders."""
+    key = F.struct(*fields)
+    rows = _ranges(df, [F.col(position)])
+    before = F.lag(key).over(W.partitionBy("__p").orderBy(position))
+    wrong = rows.withColumn("__bad", before > key).where("__bad").select(position).limit(1).collect()
+    edges = rows.groupBy("__p").agg(F.min_by(key, position).alias("a"), F.max_by(key, position).alias("b"), F.min(position).alias("at"))
+    one, two = edges.alias("x"), edges.alias("y")
+    later = [r["__p"] for r in edges.select("__p").orderBy("__p").collect()]
+    pairs = df.sparkSession.createDataFrame(list(zip(later, later[1:], strict=False)), "p int, q int")
+    across = pairs.join(one, F.col("p") == F.col("x.__p")).join(two, F.col("q") == F.col("y.__p")).where(F.col("x.b") > F.col("y.a")).select("y.at").limit(1).collect()
+    if found := wrong or across:
+        raise ValueError(f"not sorted at {found[0][0]}")
+    return rows.drop("__p")
+
+
+def checked_status(df: DataFrame, allowed: tuple[str, ...], column: str = "status") -> DataFrame:
+    """The rows; the job fails at a null status or one that isn't allowed."""
+    fail = F.raise_error(F.concat(F.lit("status not allowed: "), F.coalesce(F.col(column).cast("string"), F.lit("null")))).cast("boolean")
+    return df.withColumn("__ok", F.when(F.coalesce(F.col(column).isin(*allowed), F.lit(False)), True).otherwise(fail)).where("__ok").drop("__ok")
+
+
 def overlay(main: DataFrame, updates: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """All rows of ``main`` with ``columns`` taken from ``updates`` where these have the key."""
     renamed = updates.select(F.col(key).alias("__k"), F.struct(*columns).alias("__u"))

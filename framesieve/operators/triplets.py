@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .records import running_before
+
 
 def java_pattern(pattern: str) -> tuple[str, dict[str, int]]:
     """A Python regular expression in Java syntax, case-insensitive and anchored, and its groups' numbers.
@@ -56,11 +58,13 @@ def duplicate_frames(frames: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def checked_unique(frames: DataFrame, video: str = "video_id", index: str = "frame_index") -> DataFrame:
-    """The frames; the job fails at a repeated (video, index)."""
-    w = W.partitionBy(video).orderBy(index)
-    repeated = F.lag(index).over(w) == F.col(index)
+    """The frames; the job fails at a repeated (video, index). One shuffle, combined before it: no window holds a video."""
+    rest = [c for c in frames.columns if c not in (video, index)]
+    held = F.first(F.struct(*rest)).alias("__row") if rest else F.lit(None).alias("__row")
+    per = frames.groupBy(video, index).agg(F.count("*").alias("__n"), held)
     fail = F.raise_error(F.concat(F.lit("duplicate frame index "), F.col(index).cast("string"), F.lit(" in "), F.col(video).cast("string")))
-    return frames.withColumn("__ok", F.when(repeated, fail.cast("boolean")).otherwise(F.lit(True))).where("__ok").drop("__ok")
+    per = per.withColumn("__ok", F.when(F.col("__n") > 1, fail.cast("boolean")).otherwise(F.lit(True))).where("__ok")
+    return per.select(*[F.col(c) if c in (video, index) else F.col(f"__row.`{c}`").alias(c) for c in frames.columns])
 
 
 #: Frames of a video that one window holds: a long video is dealt over tasks by blocks of its indices.
@@ -114,8 +118,8 @@ def sample_id(video: Column, stride: int, frames: list[tuple[Column, Column]]) -
 def chunks(records: DataFrame, size: int, *, video: str = "video_id", index: str = "frame_index", block: int = BLOCK) -> DataFrame:
     """Adds chunk_in_video (from 0) and chunk (global, videos in order): ``size`` consecutive rows of one video each.
 
-    Places come from counts: per block of indices, then per video, so no task holds a whole video, and only the table of
-    videos meets in one place. Rows of one index are numbered in any order.
+    Places come from counts: per block of indices, then per video, then per range of videos, so no task holds a whole
+    video or all videos. Rows of one index are numbered in any order.
     """
     if size <= 0:
         raise ValueError("chunk size must be positive")
@@ -124,8 +128,7 @@ def chunks(records: DataFrame, size: int, *, video: str = "video_id", index: str
     before = F.sum("__n").over(W.partitionBy(video).orderBy("__block").rowsBetween(W.unboundedPreceding, -1))
     starts = counts.select(F.col(video).alias("__v"), F.col("__block").alias("__b"), F.coalesce(before, F.lit(0)).alias("__start"))
     per = counts.groupBy(video).agg(F.ceil(F.sum("__n") / size).alias("__k"))
-    first = F.coalesce(F.sum("__k").over(W.orderBy(video).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    per = per.select(F.col(video).alias("__w"), first.alias("__first"))
+    per = running_before(per, [F.col(video)], "__k", "__first").select(F.col(video).alias("__w"), "__first")
     place = F.row_number().over(W.partitionBy(video, "__block").orderBy(index)) - 1
     rows = rows.withColumn("__place", place).join(starts, (F.col(video) == F.col("__v")) & (F.col("__block") == F.col("__b"))).join(per, F.col(video) == F.col("__w"))
     rows = rows.withColumn("chunk_in_video", F.floor((F.col("__start") + F.col("__place")) / size).cast("long"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import intervals as iv
 from ..operators import ledger, records
 from ..operators import triplets as tr
+from ..scratch import cut
 from .encodings import FR, ST, STATUS, frames, statuses, table
 
 _TRIPLES = "t AS (SELECT a.video_id, a.frame_index AS s, a.frame_index + 2 AS e FROM fr a JOIN fr b ON a.video_id = b.video_id AND b.frame_index = a.frame_index + 1 JOIN fr c ON a.video_id = c.video_id AND c.frame_index = a.frame_index + 2)"
@@ -76,7 +77,8 @@ def _decisions(spark: SparkSession, sf: str) -> DataFrame:
     st = statuses(spark, sf).select(F.col("video_id").alias("v"), F.col("frame_index").alias("f"), "status")
     met = t.join(st, (F.col("video_id") == F.col("v")) & (F.col("gt_index") == F.col("f")))
     sample = F.concat_ws(":", "video_id", "img0_index")
-    return met.select("video_id", F.col("img0_index").alias("start"), F.col("img1_index").alias("end"), "status", sample.alias("sample_id"), F.array(sample).alias("sample_ids"))
+    found = met.select("video_id", F.col("img0_index").alias("start"), F.col("img1_index").alias("end"), "status", sample.alias("sample_id"), F.array(sample).alias("sample_ids"))
+    return cut(found, "decisions")  # several branches of a plan read them
 
 
 def _segments(d: DataFrame) -> DataFrame:
@@ -139,26 +141,24 @@ def coverage_extra(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def part_union_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Overlapping parts of the labels merge to one row per identity."""
-    rows = table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("sample_id"), "quality", "toxic")
-    parts = [rows.where("CAST(sample_id AS BIGINT) % 3 <> 0"), rows.where("CAST(sample_id AS BIGINT) % 2 = 0"), rows.where("CAST(sample_id AS BIGINT) % 3 = 0")]
-    return records.union_records(parts)
+    """Overlapping parts of whole documents merge to one row per identity."""
+    rows = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("sample_id"), "text", "lang", "source", "n_chars")
+    number = F.col("sample_id").cast("long")
+    return records.union_records([rows.where(number % 3 != 0), rows.where(number % 2 == 0), rows.where(number % 3 == 0)])
 
 
 def part_conflicts(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("sample_id"), "quality")
-    other = rows.withColumn("quality", F.when(F.col("sample_id").cast("long") % 10 == 0, F.lit(9)).otherwise(F.col("quality")))
-    both = rows.unionByName(other)
+    """Documents and a copy of them in which every tenth has another source."""
+    rows = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("sample_id"), "text", "source")
+    both = rows.unionByName(rows.withColumn("source", F.when(F.col("sample_id").cast("long") % 10 == 0, F.lit("other")).otherwise(F.col("source"))))
     return records.conflicts(both, records.identity(both))
 
 
 def record_sort(spark: SparkSession, sf: str) -> DataFrame:
     """Places in the typed order: toxic (nulls first), quality, then canonical JSON."""
-    from pyspark.sql import Window as W
-
     rows = table(spark, sf, "labels").select("doc_id", "quality", F.when(F.col("doc_id") % 11 != 0, F.col("toxic")).alias("toxic"))
-    order = W.orderBy(F.col("toxic").asc_nulls_first(), F.col("quality").asc_nulls_first(), records.canonical_json(rows))
-    return rows.select("doc_id", F.row_number().over(order).alias("place"))
+    order = [F.col("toxic").asc_nulls_first(), F.col("quality").asc_nulls_first(), records.canonical_json(rows)]
+    return records.numbered(rows, order).select("doc_id", F.col("place").cast("int"))
 
 
 def _tasks(spark: SparkSession, sf: str) -> DataFrame:
@@ -179,7 +179,9 @@ def _ledger_events(spark: SparkSession, sf: str) -> DataFrame:
     w = W.partitionBy("user_id").orderBy("ts", "event_id")
     kinds = F.create_map(*[F.lit(x) for p in (("click", "claim"), ("view", "heartbeat"), ("purchase", "complete"), ("error", "retry"), ("signup", "requeue")) for x in p])
     e = e.withColumn("seq", F.row_number().over(w))
-    return e.select(F.col("user_id").alias("task_id"), "seq", (F.col("seq") * 10.0).alias("at"), F.when(F.col("seq") == 1, "enqueue").otherwise(F.element_at(kinds, F.col("event_type"))).alias("kind"), F.when(F.col("event_id") % 2 == 0, "a").otherwise("b").alias("owner"), F.lit(35.0).alias("lease_seconds"))
+    kind = F.when(F.col("seq") == 1, "enqueue").when(F.col("event_id") % 17 == 0, "orphan").otherwise(F.element_at(kinds, F.col("event_type")))
+    more = (F.concat(F.lit("r"), F.col("seq")).alias("result_path"), F.concat(F.lit("e"), F.col("seq")).alias("error"))
+    return e.select(F.col("user_id").alias("task_id"), "seq", (F.col("seq") * 10.0).alias("at"), kind.alias("kind"), F.when(F.col("event_id") % 2 == 0, "a").otherwise("b").alias("owner"), F.lit(35.0).alias("lease_seconds"), *more)
 
 
 def ledger_fold(spark: SparkSession, sf: str) -> DataFrame:
@@ -213,23 +215,27 @@ _SAMPLES = "string_agg(DISTINCT k.sample_id, ',' ORDER BY k.sample_id)"
 #: The ledger's state machine, one event at a time.
 _LEDGER = """
 WITH RECURSIVE ev AS (SELECT user_id AS task_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq, event_id, event_type FROM events),
-k AS (SELECT task_id, seq, seq * 10.0::DOUBLE AS tm, CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END AS owner, CASE event_type WHEN 'click' THEN 'claim' WHEN 'view' THEN 'heartbeat' WHEN 'purchase' THEN 'complete' WHEN 'error' THEN 'retry' WHEN 'signup' THEN 'requeue' END AS kind FROM ev),
+k AS (SELECT task_id, seq, seq * 10.0::DOUBLE AS tm, CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END AS owner,
+             CASE WHEN event_id % 17 = 0 THEN 'orphan' WHEN event_type = 'click' THEN 'claim' WHEN event_type = 'view' THEN 'heartbeat' WHEN event_type = 'purchase' THEN 'complete' WHEN event_type = 'error' THEN 'retry' WHEN event_type = 'signup' THEN 'requeue' END AS kind FROM ev),
 f AS (
-  SELECT task_id, seq, 'pending' AS status, 0 AS attempt, NULL::VARCHAR AS owner, NULL::DOUBLE AS lease, tm AS updated FROM k WHERE seq = 1
+  SELECT task_id, seq, 'pending' AS status, 0 AS attempt, NULL::VARCHAR AS owner, NULL::DOUBLE AS lease, tm AS updated, NULL::VARCHAR AS result_path, NULL::VARCHAR AS error FROM k WHERE seq = 1
   UNION ALL
-  SELECT k.task_id, k.seq,
-    CASE WHEN can_claim THEN 'running' WHEN held AND kind = 'complete' THEN 'done' WHEN held AND kind = 'retry' THEN CASE WHEN attempt < 2 THEN 'pending' ELSE 'failed' END
-         WHEN kind = 'requeue' AND status IN ('done', 'failed') THEN 'pending' ELSE status END,
-    CASE WHEN can_claim THEN attempt + 1 ELSE attempt END,
-    CASE WHEN can_claim THEN k_owner WHEN held AND kind IN ('complete', 'retry') THEN NULL WHEN kind = 'requeue' AND status IN ('done', 'failed') THEN NULL ELSE owner END,
-    CASE WHEN can_claim OR (held AND kind = 'heartbeat') THEN tm + 35 WHEN held AND kind IN ('complete', 'retry') THEN NULL WHEN kind = 'requeue' AND status IN ('done', 'failed') THEN NULL ELSE lease END,
-    CASE WHEN can_claim OR (held AND kind IN ('heartbeat', 'complete', 'retry')) OR (kind = 'requeue' AND status IN ('done', 'failed')) THEN tm ELSE updated END
-  FROM (SELECT k.task_id, k.seq, k.tm, k.kind, k.owner AS k_owner, f.status, f.attempt, f.owner, f.lease, f.updated,
-               k.kind = 'claim' AND (f.status = 'pending' OR (f.status = 'running' AND f.lease <= k.tm)) AS can_claim,
-               coalesce(f.status = 'running' AND f.lease > k.tm AND f.owner = k.owner, false) AS held
-        FROM f JOIN k ON k.task_id = f.task_id AND k.seq = f.seq + 1) k
+  SELECT task_id, seq,
+    CASE act WHEN 'claim' THEN 'running' WHEN 'complete' THEN 'done' WHEN 'again' THEN 'pending' WHEN 'give up' THEN 'failed' WHEN 'requeue' THEN 'pending' WHEN 'orphan' THEN 'pending' ELSE status END,
+    CASE act WHEN 'claim' THEN attempt + 1 ELSE attempt END,
+    CASE WHEN act = 'claim' THEN k_owner WHEN act IN ('again', 'requeue', 'orphan') THEN NULL ELSE owner END,
+    CASE WHEN act IN ('claim', 'heartbeat') THEN tm + 35 WHEN act = '' THEN lease END,
+    CASE WHEN act = '' THEN updated ELSE tm END,
+    CASE act WHEN 'complete' THEN 'r' || seq WHEN 'requeue' THEN NULL ELSE result_path END,
+    CASE WHEN act IN ('claim', 'complete', 'requeue') THEN NULL WHEN act IN ('again', 'give up') THEN 'e' || seq WHEN act = 'orphan' THEN 'orphaned worker recovered' ELSE error END
+  FROM (SELECT *, CASE WHEN kind = 'claim' AND (status = 'pending' OR status = 'running' AND lease <= tm) THEN 'claim' WHEN held AND kind = 'heartbeat' THEN 'heartbeat' WHEN held AND kind = 'complete' THEN 'complete'
+                       WHEN held AND kind = 'retry' AND attempt < 2 THEN 'again' WHEN held AND kind = 'retry' THEN 'give up' WHEN kind = 'requeue' AND status IN ('done', 'failed') THEN 'requeue'
+                       WHEN kind = 'orphan' AND status = 'running' AND owner = k_owner THEN 'orphan' ELSE '' END AS act
+        FROM (SELECT k.task_id, k.seq, k.tm, k.kind, k.owner AS k_owner, f.status, f.attempt, f.owner, f.lease, f.updated, f.result_path, f.error,
+                     coalesce(f.status = 'running' AND f.lease > k.tm AND f.owner = k.owner, false) AS held
+              FROM f JOIN k ON k.task_id = f.task_id AND k.seq = f.seq + 1))
 )
-SELECT task_id, arg_max(status, seq) AS status, arg_max(attempt, seq) AS attempt, last(owner ORDER BY seq) AS owner, last(lease ORDER BY seq) AS lease_expires, arg_max(updated, seq) AS updated_at FROM f GROUP BY task_id
+SELECT task_id, status, attempt, owner, lease AS lease_expires, updated AS updated_at, result_path, error FROM f QUALIFY row_number() OVER (PARTITION BY task_id ORDER BY seq DESC) = 1
 """
 
 _PATH = "'{\"index\":' || {0} || ',\"path\":\"v' || a.video_id || '/' || printf('%05d', {0}) || '.png\"}'"
@@ -257,8 +263,8 @@ QUERIES = {
     "overlay_update": (overlay_update, f"{_CLASSIFIED} SELECT sample_id, CASE WHEN s % 2 = 0 AND status = 'review' THEN 'accept' WHEN s % 2 = 0 AND status = 'accept' THEN 'review' ELSE status END AS status, CASE WHEN s % 2 = 0 AND status IN ('accept', 'review') THEN 0.75::DOUBLE ELSE 0.25::DOUBLE END AS p_wrong FROM d"),
     "coverage_missing": (coverage_missing, f"{_CLASSIFIED} SELECT DISTINCT sample_id FROM d WHERE s % 7 = 0"),
     "coverage_extra": (coverage_extra, f"{_CLASSIFIED} SELECT DISTINCT sample_id FROM d WHERE s % 5 <> 0 AND s % 3 = 0"),
-    "part_union_dedup": (part_union_dedup, "SELECT DISTINCT CAST(doc_id AS VARCHAR) AS sample_id, quality, toxic FROM labels"),
-    "part_conflicts": (part_conflicts, "SELECT 'sample_id:' || doc_id AS identity, 2::BIGINT AS versions FROM labels WHERE doc_id % 10 = 0 AND quality <> 9"),
+    "part_union_dedup": (part_union_dedup, "SELECT DISTINCT CAST(doc_id AS VARCHAR) AS sample_id, text, lang, source, n_chars FROM documents"),
+    "part_conflicts": (part_conflicts, "SELECT 'sample_id:' || doc_id AS identity, 2::BIGINT AS versions FROM documents WHERE doc_id % 10 = 0 AND source IS DISTINCT FROM 'other'"),
     "record_sort": (record_sort, "WITH r AS (SELECT doc_id, quality, CASE WHEN doc_id % 11 <> 0 THEN toxic END AS toxic FROM labels) SELECT doc_id, CAST(row_number() OVER (ORDER BY toxic NULLS FIRST, quality NULLS FIRST, '{\"doc_id\":' || doc_id || ',\"quality\":' || quality || ',\"toxic\":' || coalesce(CAST(toxic AS VARCHAR), 'null') || '}') AS INTEGER) AS place FROM r"),
     "claim_order": (claim_order, "SELECT o_orderkey AS task_id, CAST(-CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS INTEGER) AS priority FROM orders WHERE o_orderstatus = 'O' ORDER BY priority DESC, o_orderdate, o_orderkey LIMIT 20"),
     "ledger_fold": (ledger_fold, _LEDGER),

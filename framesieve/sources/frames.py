@@ -95,14 +95,6 @@ def bad_resources(manifest: DataFrame) -> DataFrame:
     return manifest.withColumn("problem", problem).where("problem IS NOT NULL").select("path", "problem")
 
 
-def checked_sorted(df: DataFrame, position: str, *fields: str) -> DataFrame:
-    """The rows; the job fails where the fields decrease along ``position`` (a line number)."""
-    key = F.struct(*fields)
-    before = F.lag(key).over(W.orderBy(position))
-    fail = F.raise_error(F.concat(F.lit("not sorted at "), F.col(position).cast("string"))).cast("boolean")
-    return df.withColumn("__ok", F.when(before > key, fail).otherwise(True)).where("__ok").drop("__ok")
-
-
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     """(path, size, sha256) of all files below a root."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from framesieve import cli, config
+from framesieve.operators import records
 from framesieve.plans import mining
 from framesieve.sources import frames, sinks
 
@@ -155,9 +156,9 @@ def test_resource_rules(spark):
     newer = frames.upsert_resources(df.where("path = 'w.bin'"), spark.createDataFrame([(*row[:4], "2", *row[5:]), ("a", *row[1:])], frames.RESOURCE_SCHEMA))
     assert [(r["path"], r["version"]) for r in newer.collect()] == [("a", "1"), ("w.bin", "2")]
     lines = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "line int, k string")
-    assert frames.checked_sorted(lines.where("line < 3"), "line", "k").count() == 2
+    assert records.checked_order(lines.where("line < 3"), "line", "k").count() == 2
     with pytest.raises(Exception, match="not sorted at 3"):
-        frames.checked_sorted(lines, "line", "k").collect()
+        records.checked_order(lines, "line", "k")
 
 
 def test_config_is_strict(tmp_path):

@@ -317,11 +317,80 @@ def test_ledger_leases_and_fencing(spark):
     assert fold(spark, [new, (10.0, "claim", "a", 5.0), (14.9, "claim", "b", 5.0)]) == ("running", 1, "a", 15.0)
     assert fold(spark, [new, (10.0, "claim", "a", 5.0), (15.0, "claim", "b", 5.0)]) == ("running", 2, "b", 20.0)
     assert fold(spark, [new, claim, (15.0, "complete", "b", None)]) == ("running", 1, "a", 40.0)
-    assert fold(spark, [new, claim, (15.0, "complete", "a", None)])[:2] == ("done", 1)
-    assert fold(spark, [new, claim, (15.0, "retry", "a", None), (16.0, "claim", "a", 9.0), (17.0, "retry", "a", None)])[:2] == ("failed", 2)
+    assert fold(spark, [new, claim, (15.0, "complete", "a", None)]) == ("done", 1, "a", None)
+    assert fold(spark, [new, claim, (15.0, "retry", "a", None), (16.0, "claim", "a", 9.0), (17.0, "retry", "a", None)]) == ("failed", 2, "a", None)
+    assert fold(spark, [new, claim, (15.0, "retry", "a", None)]) == ("pending", 1, None, None)
+    assert fold(spark, [new, claim, (15.0, "fail", "a", None)]) == ("failed", 1, "a", None)
+    assert fold(spark, [new, claim, (99.0, "orphan", "b", None)]) == ("running", 1, "a", 40.0)
+    assert fold(spark, [new, claim, (99.0, "orphan", "a", None)]) == ("pending", 1, None, None)
     assert fold(spark, [new, claim, (15.0, "fail", "a", None), (16.0, "requeue", None, None)])[:2] == ("pending", 1)
 
 
+def test_ledger_results_errors_and_refusals(spark):
+    schema = "task_id string, seq long, at double, kind string, owner string, lease_seconds double, result_path string, error string"
+    begin = [("enqueue", None, None, None), ("claim", "a", None, None)]
+
+    def run(*more):
+        events = [("t", i, float(i), kind, owner, 50.0, result, error) for i, (kind, owner, result, error) in enumerate([*begin, *more])]
+        df = spark.createDataFrame(events, schema)
+        r = ledger.fold(df).first()
+        return r["status"], r["owner"], r["result_path"], r["error"], ledger.refused(df).first()["refused"]
+
+    done, other = ("complete", "a", "x", None), ("complete", "a", "y", None)
+    assert run(done, done, ("complete", "b", None, None)) == ("done", "a", "x", None, 0)  # repeats change nothing
+    assert run(done, other) == ("done", "a", "x", None, 1)
+    assert run(("fail", "a", None, "no"), ("fail", "a", None, "no")) == ("failed", "a", None, "no", 0)
+    assert run(("fail", "a", None, "no"), ("fail", "a", None, "another")) == ("failed", "a", None, "no", 1)
+    assert run(("retry", "a", None, "no")) == ("pending", None, None, "no", 0)
+    assert run(("retry", "a", None, "no"), ("claim", "b", None, None)) == ("running", "b", None, None, 0)
+    assert run(done, ("requeue", None, None, None)) == ("pending", None, None, None, 0)
+    assert run(("orphan", "a", None, None)) == ("pending", None, None, ledger.ORPHANED, 0)
+    assert run(("heartbeat", "b", None, None)) == ("running", "a", None, None, 1)
+
+
+def test_ledger_listing(spark):
+    tasks = spark.createDataFrame([("b", "done", 1), ("a", "done", 1), ("c", "pending", 0)], "task_id string, status string, created_at int")
+    assert [r["task_id"] for r in ledger.listed(tasks).collect()] == ["c", "a", "b"]
+    assert [r["task_id"] for r in ledger.listed(tasks, "done").collect()] == ["a", "b"]
+    assert ledger.get(tasks, "c") == {"task_id": "c", "status": "pending", "created_at": 0} and ledger.get(tasks, "d") is None
+    with pytest.raises(ValueError):
+        ledger.listed(tasks, "gone")
+
+
+def test_canonical_json_sorts_inside_arrays_and_maps(spark):
+    df = spark.sql("SELECT array(named_struct('b', 1, 'a', named_struct('d', 2, 'c', 3))) AS z, map('y', named_struct('q', 1, 'p', 2), 'x', null) AS m")
+    text = df.select(records.canonical_json(df).alias("j")).first()["j"]
+    assert text == '{"m":{"x":null,"y":{"p":2,"q":1}},"z":[{"a":{"c":3,"d":2},"b":1}]}'
+
+
+def test_places_and_order_over_ranges(spark):
+    df = spark.range(5000).selectExpr("id", "(id * 7919) % 5000 AS k", "CASE WHEN id % 9 = 0 THEN NULL ELSE 'x' END AS s")
+    got = records.numbered(df, [F.col("k").desc()]).collect()
+    assert all(r["place"] == 5000 - r["k"] for r in got) and len(got) == 5000
+    before = records.running_before(df, [F.col("k")], "k", "sum").collect()
+    assert all(r["sum"] == r["k"] * (r["k"] - 1) // 2 for r in before)
+    assert records.checked_order(df.selectExpr("id", "id DIV 3 AS v"), "id", "v").count() == 5000
+    for n in (1, 2500, 4999):  # one value out of order, wherever a range may end
+        with pytest.raises(ValueError, match="not sorted at"):
+            records.checked_order(df.selectExpr("id", f"if(id = {n}, id - 3, id) AS v"), "id", "v")
+    assert records.numbered(df.limit(0), [F.col("k")]).count() == 0 and records.checked_order(df.limit(0), "id", "k").count() == 0
+
+
+def test_statuses_are_checked(spark):
+    df = spark.createDataFrame([("accept",), ("review",)], "status string")
+    assert records.checked_status(df, ("accept", "review")).count() == 2
+    for bad in ("odd", None):
+        with pytest.raises(Exception, match="status not allowed"):
+            records.checked_status(spark.createDataFrame([(bad,)], "status string"), ("accept",)).collect()
+
+
+def test_subtract_keeps_repeated_rows(spark):
+    iv = spark.createDataFrame([("v", 0, 9000, ["a"]), ("v", 0, 9000, ["a"]), ("v", 5, 6, ["b"])], "video_id string, start long, end long, sample_ids array<string>")
+    bars = spark.createDataFrame([("v", 100, 100), ("v", 4095, 4097)], "video_id string, start long, end long")
+    got = sorted((r["start"], r["end"], r["sample_ids"][0]) for r in intervals.subtract(iv, bars).collect())
+    assert got == sorted([(0, 99, "a"), (101, 4094, "a"), (4098, 9000, "a")] * 2 + [(5, 6, "b")])
+
+
 def test_enqueue_is_idempotent_and_all_or_nothing(spark):
     t = spark.createDataFrame([("a", "{}", 1)], "task_id string, payload_json string, priority int")
     assert ledger.enqueue(t, t).count() == 1
