@@ -1,75 +1,22 @@
-"""Helpers shared by the corpus operators: tables, scratch space in the shared folder, word rules."""
+"""Helpers shared by the corpus operators: tables, word rules, and the library's scratch space in the shared folder."""
 
 from __future__ import annotations
 
-import atexit
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import cut, filesystem, free, made, remove, scratch
+
+__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "cut", "filesystem", "free", "made", "n_words", "remove", "scratch", "table"]
+
 #: Words are maximal runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-_made: list[tuple] = []
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; in local mode, where none is set, a folder of this process."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = os.path.join(tempfile.gettempdir(), f"framesieve-checkpoints-{os.getpid()}")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
-def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder; it is removed when the process ends."""
-    path = f"{scratch_root(spark)}/framesieve/{label}-{uuid.uuid4().hex}"
-    _made.append((spark, path))
-    return path
-
-
-def filesystem(spark: SparkSession, path: str):
-    """(Hadoop file system, Hadoop path) of a path."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    fs, hadoop = filesystem(spark, path)
-    fs.delete(hadoop, True)
-
-
-def cut(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there, and any executor can read it again."""
-    spark = df.sparkSession
-    path = scratch(spark, label)
-    df.write.option("compression", "snappy").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def made() -> int:
-    """How many scratch paths there are so far; for ``free``."""
-    return len(_made)
-
-
-def free(since: int) -> None:
-    """Removes the scratch tables made after the first ``since``, but for the newest, which no longer needs them."""
-    for spark, path in _made[since:-1]:
-        remove(spark, path)
-    del _made[since:-1]
-
-
 def ascii_lower(column):
     return F.translate(column, UPPER, LOWER)
 
@@ -77,12 +24,3 @@ def ascii_lower(column):
 def n_words(text):
     """Number of words of a text column; null counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
-
-
-@atexit.register
-def _clean() -> None:
-    for spark, path in _made:
-        try:
-            remove(spark, path)
-        except Exception:  # the JVM may be gone by now
-            return
