@@ -13,24 +13,38 @@ from pyspark.sql import functions as F
 
 from . import __version__, config
 from .operators import records
+from .operators import triplets as tr
 from .plans import mining
+from .scratch import cut, filesystem
 from .session import build_session
 from .sources import frames, sinks
 
 
 def _path(cfg: config.Config, name: str) -> str:
-    return f"{Path(cfg.runtime.run_dir).resolve()}/{cfg.run_hash()}/{name}"
+    """A path of the run: on the file system that ``run_dir`` names, or a full local path."""
+    base = cfg.runtime.run_dir
+    return f"{base.rstrip('/') if '://' in base else Path(base).resolve()}/{cfg.run_hash()}/{name}"
 
 
-def _has(path: str) -> bool:
-    return Path(path, "_SUCCESS").exists()
+def _has(spark, path: str) -> bool:
+    fs, hadoop = filesystem(spark, f"{path}/_SUCCESS")
+    return fs.exists(hadoop)
+
+
+def _wave(spark) -> int:
+    """Chunks that are done, and committed, together: some for every core."""
+    return max(64, 4 * spark.sparkContext.defaultParallelism)
 
 
 def index(spark, cfg: config.Config) -> dict:
-    """Freezes the index; a second run checks that the frames are still the same."""
+    """Freezes the index with its chunks; a second run checks that the frames are still the same."""
     path = _path(cfg, "index")
-    if not _has(path):
-        mining.build_index(spark, cfg).write.parquet(path)
+    if not _has(spark, path):
+        found = cut(mining.build_index(spark, cfg), "index")
+        size = tr.dynamic_chunk_size(found.count(), spark.sparkContext.defaultParallelism, cfg.runtime.chunk_triplets)
+        first = F.col("frame_indices")[0].cast("long")
+        chunked = tr.chunks(found.withColumn("first_frame", first), size, index="first_frame").drop("first_frame", "chunk_in_video")
+        chunked.orderBy("video_id", first).write.mode("overwrite").parquet(path)
     found = spark.read.parquet(path)
     d = cfg.data
     fresh = frames.scan_frames(spark, d.root, pattern=d.frame_regex, digits=d.frame_digits, allowed=d.extensions, exclude=d.excluded_dirs, recursive=d.recursive)
@@ -40,10 +54,14 @@ def index(spark, cfg: config.Config) -> dict:
 
 
 def mine(spark, cfg: config.Config) -> dict:
+    """The main stage in waves of chunks; a run that stopped does only the waves that are missing."""
     index(spark, cfg)
     path = _path(cfg, "main")
-    if not _has(path):
-        mining.mine(spark, spark.read.parquet(_path(cfg, "index")), cfg).write.mode("overwrite").parquet(path)
+    if not _has(spark, path):
+        found = spark.read.parquet(_path(cfg, "index"))
+        snapshot = mining.execution_snapshot(found, cfg)["execution_id"]
+        make = lambda part: mining.mine(spark, part, cfg).withColumn("execution_id", F.lit(snapshot))
+        mining.in_waves(found, _path(cfg, "main.parts"), make, wave=_wave(spark)).write.mode("overwrite").parquet(path)
     return status(spark, cfg)["main"]
 
 
@@ -52,18 +70,23 @@ def teacher(spark, cfg: config.Config) -> dict:
         raise ValueError("no teacher is configured")
     mine(spark, cfg)
     path = _path(cfg, "teacher")
-    if not _has(path):
-        mining.teach(spark, spark.read.parquet(_path(cfg, "main")), cfg).write.mode("overwrite").parquet(path)
+    if not _has(spark, path):
+        results = spark.read.parquet(_path(cfg, "main"))
+        chunks = spark.read.parquet(_path(cfg, "index")).select("sample_id", "chunk")
+        wanted = mining.candidates(results).join(chunks, "sample_id")
+        seen = mining.in_waves(wanted, _path(cfg, "teacher.parts"), lambda part: mining.judged(spark, part, cfg), wave=_wave(spark))
+        mining.teach(spark, results, cfg, seen).write.mode("overwrite").parquet(path)
     return status(spark, cfg)["teacher"]
 
 
 def finalize(spark, cfg: config.Config) -> dict:
     """Checks coverage, merges segments, and publishes frames, segments and manifest together."""
     stage = "teacher" if cfg.teacher is not None else "main"
-    results, found = spark.read.parquet(_path(cfg, stage)), spark.read.parquet(_path(cfg, "index"))
+    results, found = spark.read.parquet(_path(cfg, stage)), spark.read.parquet(_path(cfg, "index")).drop("chunk")
     for a, b, what in ((found, results, "missing"), (results, found, "unexpected")):
         if n := records.missing(a, b, "sample_id").count():
             raise ValueError(f"{n} {what} results")
+    records.checked_status(results, mining.STATUSES).select("status").write.format("noop").mode("overwrite").save()
     if cfg.runtime.precision != "float32":
         raise ValueError("only float32 results are published")
     segments = mining.segments_of(results, cfg.run_hash()).cache()
@@ -91,8 +114,7 @@ def run(spark, cfg: config.Config) -> dict:
 
 
 def status(spark, cfg: config.Config) -> dict:
-    domain = ["accept", "review", "reject", "invalid", "out_of_scope"]
-    return {s: {r["status"]: r["n"] for r in records.status_counts(spark.read.parquet(_path(cfg, s)), domain).collect()} for s in ("main", "teacher") if _has(_path(cfg, s))}
+    return {s: {r["status"]: r["n"] for r in records.status_counts(spark.read.parquet(_path(cfg, s)), list(mining.STATUSES)).collect()} for s in ("main", "teacher") if _has(spark, _path(cfg, s))}
 
 
 def probe(spark, _cfg=None) -> dict:

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config, Model
-from ..operators import diagnosis, gates, intervals, kernels, records
+from ..operators import diagnosis, gates, intervals, kernels, ledger, records
 from ..operators import triplets as tr
-from ..sources.frames import read_images, scan_frames
+from ..scratch import cut, filesystem
+from ..sources.frames import named_frames, read_images, scan_frames
 
 #: Model short names and what makes them; others are given as module:function.
 MODELS: dict[str, Callable] = {"mock": kernels.mock_model}
@@ -48,24 +49,45 @@ def checked_outputs(raw, order: tuple[str, ...]) -> dict[str, np.ndarray]:
     return out
 
 
-def predictor(model: Model) -> Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]]:
-    """Reconstruction of a pair of frames: the factory is resolved and called where it runs."""
+def predictor(model: Model) -> Callable[[list[tuple[np.ndarray, np.ndarray]]], list[dict[str, np.ndarray]]]:
+    """Reconstructions of pairs of frames: the factory is resolved and called where it runs.
+
+    What a factory makes takes two images, or, where it has a true ``batched``, two stacks of up to ``batch_size`` images
+    of one size, and then gives stacked outputs.
+    """
     factory = load_factory(model.factory)
     network = (model.input_height, model.input_width)
+    batched = False
     if factory is kernels.mock_model:
         kwargs = {{"output_scale": "scale", "endpoint_copy_box": "copy_box"}.get(k, k): v for k, v in model.factory_kwargs.items()}
         run = lambda a, b: factory(*network, **kwargs)
     else:
         built = factory(checkpoint=model.checkpoint, **model.factory_kwargs)
-        run = lambda a, b: built(kernels.resize(a, *network, model.align_corners), kernels.resize(b, *network, model.align_corners))
-    return lambda a, b: kernels.reconstruct(a, b, checked_outputs(run(a, b), model.output_order), network, model.mask0_role, model.align_corners, model.padding_mode)
+        batched = bool(getattr(built, "batched", False))
+        run = built
+
+    def outputs(pairs: list) -> list[dict[str, np.ndarray]]:
+        if factory is kernels.mock_model:
+            return [checked_outputs(run(None, None), model.output_order) for _ in pairs]
+        small = [tuple(kernels.resize(x, *network, model.align_corners) for x in pair) for pair in pairs]
+        if not batched:
+            return [checked_outputs(run(a, b), model.output_order) for a, b in small]
+        raw = run(np.stack([a for a, _ in small]), np.stack([b for _, b in small]))
+        named = dict(raw) if hasattr(raw, "keys") else dict(zip(model.output_order, raw, strict=True))
+        return [checked_outputs({k: v[i] for k, v in named.items()}, model.output_order) for i in range(len(pairs))]
+
+    def predict(pairs: list) -> list[dict[str, np.ndarray]]:
+        made = [o for at in range(0, len(pairs), model.batch_size) for o in outputs(pairs[at : at + model.batch_size])]
+        return [kernels.reconstruct(a, b, o, network, model.mask0_role, model.align_corners, model.padding_mode) for (a, b), o in zip(pairs, made, strict=True)]
+
+    return predict
 
 
 # --- index
 
 
 def build_index(spark: SparkSession, config: Config) -> DataFrame:
-    """A row per triplet: run_hash, sample_id, video_id, stride, indices, and the three frames, in index order."""
+    """A row per triplet: run_hash, sample_id, video_id, stride, indices, and the three frames, by video and first frame."""
     d = config.data
     frames = scan_frames(spark, d.root, pattern=d.frame_regex, digits=d.frame_digits, allowed=d.extensions, exclude=(*d.excluded_dirs, config.output.hard_case_dir, config.output.visualization_dir), recursive=d.recursive)
     found = tr.triplets(frames, stride=d.stride)
@@ -74,7 +96,7 @@ def build_index(spark: SparkSession, config: Config) -> DataFrame:
         found = found.join(one, (F.col("video_id") == F.col("__v")) & (F.col(f"{name}_index") == F.col("__i"))).drop("__v", "__i")
     pairs = [(F.col(f"{n}.frame_index"), F.col(f"{n}.relative_path")) for n in ("img0", "gt", "img1")]
     indices = F.array(*[F.col(f"{n}_index").cast("int") for n in ("img0", "gt", "img1")])
-    return found.select(F.lit(config.run_hash()).alias("run_hash"), tr.sample_id(F.col("video_id"), d.stride, pairs).alias("sample_id"), "video_id", F.lit(d.stride).alias("stride"), indices.alias("frame_indices"), "img0", "gt", "img1")
+    return found.select(F.lit(config.run_hash()).alias("run_hash"), tr.sample_id(F.col("video_id"), d.stride, pairs).alias("sample_id"), "video_id", F.lit(d.stride).alias("stride"), indices.alias("frame_indices"), "img0", "gt", "img1").orderBy("video_id", F.col("frame_indices")[0])
 
 
 def index_digest(index: DataFrame) -> str:
@@ -95,9 +117,6 @@ def changed_frames(index: DataFrame, frames: DataFrame) -> DataFrame:
 
 # --- frames in order
 
-FRAME = "video_id string, block long, frame_index long, height int, width int, nChannels int, bgr binary"
-
-
 def _rgb(row) -> np.ndarray | None:
     if row.bgr is None or row.height <= 0:
         return None
@@ -106,46 +125,79 @@ def _rgb(row) -> np.ndarray | None:
     return a.astype(np.float32) / 255
 
 
-def run_triplets(spark: SparkSession, index: DataFrame, work: Callable, columns: str, *, block: int = 64, payload: str | None = None) -> DataFrame:
+def run_triplets(spark: SparkSession, index: DataFrame, work: Callable, columns: str, config: Config, *, batch: int = 1, block: int = 64, payload: str | None = None) -> DataFrame:
     """``work`` on every triplet of the index, decoded; returns sample_id and its ``columns``.
 
-    Frames are dealt by (video, block of indices), each with a copy in the block before where a triplet reaches over, and
-    sorted: a task streams them with at most three frames in hand, and every image is decoded and moved about once. The
-    triplets to do travel with their last frames. ``payload`` names an index column that ``work`` gets.
+    A frame's video and index are read from its path, so images meet their triplets by being dealt to the same (video,
+    block of indices), each with a copy in the blocks before that a triplet reaches over: pixels are shuffled once. Only
+    images of blocks with a triplet go on. A sorted task streams them with the frames of one triplet, and ``batch``
+    triplets, in hand. ``payload`` names an index column that ``work`` gets.
+
+    Folders and blocks are small lists (they grow with the index: take it in waves, as ``in_waves`` does).
     """
-    paths = index.select(F.explode(F.array("img0.path", "gt.path", "img1.path")).alias("path")).distinct()
-    jobs = index.select("sample_id", "video_id", "stride", F.col("frame_indices")[0].cast("long").alias("k"), F.col("img1.path").alias("path"), F.col(payload).alias("payload") if payload else F.lit(None).cast("int").alias("payload"))
-    place = index.select("video_id", "stride", F.explode(F.array("img0", "gt", "img1")).alias("f")).select("video_id", "stride", F.col("f.frame_index").cast("long").alias("frame_index"), F.col("f.path").alias("path")).distinct()
-    folders = [r[0] for r in paths.select(F.regexp_replace("path", "/[^/]*$", "")).distinct().toLocalIterator()]
-    images = read_images(spark, folders)
-    images = images.withColumn("path", F.regexp_replace("path", "^file:/+", "file:/")).join(place.withColumn("path", F.regexp_replace("path", "^file:/+", "file:/")), "path")
-    own = F.floor(F.col("frame_index") / block)
-    reach = F.col("frame_index") - 2 * F.col("stride")
-    spread = F.array_distinct(F.transform(F.sequence(F.floor(F.greatest(reach, F.lit(0)) / block), own), lambda b: b))
-    images = images.withColumn("block", F.explode(spread))
-    last = jobs.select(F.col("video_id").alias("__v"), (F.col("k") + 2 * F.col("stride")).alias("__l"), F.floor(F.col("k") / block).alias("__b"), "sample_id", "k", "payload", F.col("stride").alias("__s"))
-    dealt = images.join(last, (F.col("video_id") == F.col("__v")) & (F.col("frame_index") == F.col("__l")) & (F.col("block") == F.col("__b")), "left")
-    dealt = dealt.select("video_id", "block", "frame_index", "height", "width", "nChannels", "bgr", "sample_id", F.coalesce("__s", "stride").alias("stride"), "payload")
-    dealt = dealt.repartition("video_id", "block").sortWithinPartitions("video_id", "block", "frame_index")
+    d, reach = config.data, 2 * config.data.stride
+    folders = [r[0] for r in index.select(F.explode(F.array("img0.path", "gt.path", "img1.path")).alias("path")).select(F.regexp_replace("path", "/[^/]*$", "")).distinct().collect()]
+    first = F.col("frame_indices")[0].cast("long")
+    jobs = index.select("video_id", F.floor(first / block).alias("block"), (first + reach).alias("frame_index"), "sample_id", (F.col(payload) if payload else F.lit(None).cast("int")).alias("payload"))
+    if not folders:
+        return spark.createDataFrame([], f"sample_id string, {columns}")
+    images = named_frames(read_images(spark, folders), d.root, pattern=d.frame_regex, digits=d.frame_digits, allowed=d.extensions, exclude=d.excluded_dirs)
+    at = F.col("frame_index").cast("long")
+    images = images.select("video_id", F.explode(F.sequence(F.floor(F.greatest(at - reach, F.lit(0)) / block), F.floor(at / block))).alias("block"), at.alias("frame_index"), "height", "width", "nChannels", "bgr")
+    wanted = jobs.select(F.col("video_id").alias("__v"), F.col("block").alias("__b")).distinct()
+    images = images.join(F.broadcast(wanted), (F.col("video_id") == F.col("__v")) & (F.col("block") == F.col("__b")), "left_semi")
+    kind = dict(jobs.dtypes)["payload"]
+    both = images.withColumns({"sample_id": F.lit(None).cast("string"), "payload": F.lit(None).cast(kind)}).unionByName(jobs, allowMissingColumns=True)
+    both = both.fillna(0, ["height", "width", "nChannels"])  # whole numbers stay such in pandas
+    # a triplet's row follows the row of its last frame
+    dealt = both.repartition("video_id", "block").sortWithinPartitions("video_id", "block", "frame_index", F.col("sample_id").asc_nulls_first())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        do, at, held = work(), None, {}
-        for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                if (row.video_id, row.block) != at:
-                    at, held = (row.video_id, row.block), {}
-                held = {i: v for i, v in held.items() if i >= row.frame_index - 2 * row.stride}
-                held[row.frame_index] = _rgb(row)
+        do, place, held, waiting = work(), None, {}, []
+
+        def flush() -> pd.DataFrame:
+            done = do([(three, load) for _, three, load in waiting])
+            out = pd.DataFrame([{"sample_id": s, **r} for (s, _, _), r in zip(waiting, done, strict=True)])
+            waiting.clear()
+            return out
+
+        for rows in batches:
+            for row in rows.itertuples(index=False):
+                if (row.video_id, row.block) != place:
+                    place, held = (row.video_id, row.block), {}
                 if isinstance(row.sample_id, str):
-                    three = [held.get(row.frame_index - j * row.stride) for j in (2, 1, 0)]
-                    out.append({"sample_id": row.sample_id, **do(three, row.payload)})
-            if out:
-                yield pd.DataFrame(out)
+                    waiting.append((row.sample_id, [held.get(row.frame_index - j * reach // 2) for j in (2, 1, 0)], row.payload))
+                    if len(waiting) >= batch:
+                        yield flush()
+                else:
+                    held = {i: v for i, v in held.items() if i >= row.frame_index - reach}
+                    held[row.frame_index] = _rgb(row)
+        if waiting:
+            yield flush()
 
     return dealt.mapInPandas(run, f"sample_id string, {columns}")
 
 
+def in_waves(index: DataFrame, folder: str, make: Callable[[DataFrame], DataFrame], *, wave: int) -> DataFrame:
+    """``make`` of an index with ``chunk`` numbers, ``wave`` chunks at a time, each written whole to its own part below ``folder``.
+
+    A part that was written is not made again, so a run that died goes on where it stopped: the unfinished waves are those
+    whose parts lack Spark's mark of success. Chunk numbers must be frozen with the index.
+    """
+    spark = index.sparkSession
+    last = index.agg(F.max("chunk")).first()[0]
+    begins = range(0, (-1 if last is None else last) + 1, wave)
+    part = lambda a: f"{folder}/chunks-{a:010d}-{a + wave:010d}"
+    exists = lambda path: (lambda fs, p: fs.exists(p))(*filesystem(spark, path))
+    tasks = spark.createDataFrame([(a,) for a in begins], "task_id long")
+    written = spark.createDataFrame([(a,) for a in begins if exists(f"{part(a)}/_SUCCESS")], "task_id long")
+    for a in sorted(r["task_id"] for r in ledger.unfinished(tasks, written).collect()):
+        make(index.where(F.col("chunk").between(a, a + wave - 1)).drop("chunk")).write.mode("overwrite").parquet(part(a))
+    if not begins:
+        return make(index.drop("chunk"))
+    return spark.read.parquet(*[part(a) for a in begins])
+
+
 # --- main stage
 
 MEASURED = (
@@ -157,6 +209,17 @@ SCOPE = "out_of_bounds_ratio:double,flow_discontinuity_ratio:double,foreground_l
 MAIN = f"error string, raw_p_wrong double, raw_mining_p_wrong double, scoring map<string,double>, validity struct<{VALIDITY}>, scope struct<{SCOPE}>, measured array<struct<{MEASURED}>>"
 
 
+def _predicted(predict: Callable, use: Callable, nothing: dict) -> Callable:
+    """Work on a list of (three frames, payload): ``use`` with the pair's reconstruction, ``nothing`` where frames fail."""
+
+    def do(triplets: list) -> list[dict]:
+        good = [all(i is not None for i in three) and len({i.shape for i in three}) == 1 for three, _ in triplets]
+        made = iter(predict([(three[0], three[2]) for (three, _), g in zip(triplets, good, strict=True) if g]))
+        return [use(three, next(made), load) if g else dict(nothing) for (three, load), g in zip(triplets, good, strict=True)]
+
+    return do
+
+
 def _measure(config: Config) -> Callable:
     """The numeric part of the main stage for one triplet; everything that decides is a Column later."""
     predict, thresholds, edge = predictor(config.model), config.thresholds.scoring(), config.thresholds.edge_threshold
@@ -168,18 +231,15 @@ def _measure(config: Config) -> Callable:
         local = {k: kernels.robust_score(cut(v)) for k, v in others.items()}
         return {"x0": x0, "y0": y0, "x1": x1, "y1": y1, "score": r.score, "current": kernels.robust_score(cut(maps["structure"])), "missing": kernels.robust_score(cut(maps["gt_only_edge"])), "extra": kernels.robust_score(cut(maps["pred_only_edge"])), "gt_edge": kernels.top_mean(et, 0.05), "pred_edge": kernels.top_mean(ep, 0.05), "gt_endpoints": kernels.edge_endpoints(et, edge), "pred_endpoints": kernels.edge_endpoints(ep, edge), "gt_components": kernels.island_count(et, edge), "pred_components": kernels.island_count(ep, edge), **local, "width": x1 - x0, "height": y1 - y0, "ui_likelihood": r.ui, "priority_weight": r.weight, "metrics": {k: float(v) for k, v in r.metrics.items()}}
 
-    def do(three: list, _payload) -> dict:
-        nothing = {"raw_p_wrong": 0.0, "raw_mining_p_wrong": 0.0, "scoring": {}, "validity": None, "scope": None, "measured": []}
-        if any(i is None for i in three) or len({i.shape for i in three}) > 1:
-            return {"error": "a frame cannot be read, or shapes differ", **nothing}
+    def one(three: list, made: dict) -> dict:
         a, truth, b = three
-        made = predict(a, b)
         maps, regions, metrics = kernels.score(made["prediction"], truth, thresholds, a, b)
         branch = lambda image, other: kernels.error_maps(image, other)["structure"]
         others = {"warp0": branch(made["warp0"], truth), "warp1": branch(made["warp1"], truth), "blend": branch(made["warp_blend"], truth), "copy_distance": branch(made["prediction"], b)} if regions else {}
         return {"error": None, "raw_p_wrong": metrics["p_wrong"], "raw_mining_p_wrong": metrics["mining_p_wrong"], "scoring": metrics, "validity": kernels.validity_metrics(a, truth, b), "scope": kernels.scope_metrics(made["flow_t0"], made["flow_t1"]), "measured": [region(r, maps, others) for r in regions]}
 
-    return do
+    nothing = {"error": "a frame cannot be read, or shapes differ", "raw_p_wrong": 0.0, "raw_mining_p_wrong": 0.0, "scoring": {}, "validity": None, "scope": None, "measured": []}
+    return _predicted(predict, lambda three, made, _: one(three, made), nothing)
 
 
 def _primary(regions, wrong: str = "p_wrong"):
@@ -224,39 +284,53 @@ def diagnosed(raw: DataFrame, edge: float) -> DataFrame:
 
 def mine(spark: SparkSession, index: DataFrame, config: Config) -> DataFrame:
     """The main stage: a result per triplet of the index."""
-    raw = run_triplets(spark, index, partial(_measure, config), MAIN)
+    raw = run_triplets(spark, index, partial(_measure, config), MAIN, config, batch=config.model.batch_size)
     found = _decided(diagnosed(raw, config.thresholds.edge_threshold), config).drop("measured", "diagnosis_reasons", "validity_gate", "scope_gate")
     return index.join(found, "sample_id")
 
 
 # --- teacher stage
 
+#: Statuses of a record, and what a teacher must leave as it is.
+STATUSES = ("accept", "review", "reject", "invalid", "out_of_scope")
+IMMUTABLE = ("run_hash", "video_id", "stride", "frame_indices")
 TEACHER = "teacher_p_wrong double, teacher_local array<double>, teacher_failed string"
 
 
 def _teach(config: Config) -> Callable:
     predict, thresholds = predictor(config.teacher), config.thresholds.scoring()
 
-    def do(three: list, boxes) -> dict:
-        if any(i is None for i in three) or len({i.shape for i in three}) > 1:
-            return {"teacher_p_wrong": None, "teacher_local": None, "teacher_failed": "a frame cannot be read, or shapes differ"}
-        maps, _, metrics = kernels.score(predict(three[0], three[2])["prediction"], three[1], thresholds)
+    def one(three: list, made: dict, boxes) -> dict:
+        maps, _, metrics = kernels.score(made["prediction"], three[1], thresholds)
         local = [kernels.robust_score(maps["structure"][b[1] : b[3], b[0] : b[2]]) for b in (boxes if boxes is not None else [])]
         return {"teacher_p_wrong": metrics["p_wrong"], "teacher_local": local, "teacher_failed": None}
 
-    return do
+    return _predicted(predict, one, {"teacher_p_wrong": None, "teacher_local": None, "teacher_failed": "a frame cannot be read, or shapes differ"})
 
 
-def teach(spark: SparkSession, results: DataFrame, config: Config) -> DataFrame:
-    """All results, with accepted and reviewed ones judged again beside the teacher's errors.
+def judged(spark: SparkSession, wanted: DataFrame, config: Config) -> DataFrame:
+    """(sample_id, teacher's errors) of results, by the images."""
+    boxed = wanted.withColumn("boxes", F.transform("regions", lambda r: r["box"]))
+    return run_triplets(spark, boxed, partial(_teach, config), TEACHER, config, batch=config.teacher.batch_size, payload="boxes")
+
+
+def candidates(results: DataFrame) -> DataFrame:
+    """The results that a teacher judges again."""
+    return results.where(F.col("status").isin("accept", "review"))
+
+
+def teach(spark: SparkSession, results: DataFrame, config: Config, seen: DataFrame | None = None) -> DataFrame:
+    """All results, with accepted and reviewed ones judged again beside the teacher's errors (``seen``, or made here).
 
     The candidates' regions keep their wrongness and get new solvability; the primary region is chosen anew, gates are
     evaluated on the stored metrics, and the first decision is kept in ``main_decision``. Where a frame fails, the sample
-    is reviewed.
+    is reviewed. The stage fails unless every candidate is judged exactly once, no other sample is, what identifies a
+    sample is unchanged, and every status is one that a record may have.
     """
-    wanted = results.where(F.col("status").isin("accept", "review")).withColumn("boxes", F.transform("regions", lambda r: r["box"]))
-    seen = run_triplets(spark, wanted, partial(_teach, config), TEACHER, payload="boxes")
-    df = wanted.drop("boxes").join(seen, "sample_id")
+    wanted = candidates(results)
+    seen = judged(spark, wanted, config) if seen is None else seen
+    seen = cut(seen, "teacher-seen")
+    df = wanted.join(seen, "sample_id")
 
     def again(r, error):
         s = diagnosis.solvability(r["p_wrong"], error, (r["warp0"], r["warp1"], r["blend"]))
@@ -272,7 +346,8 @@ def teach(spark: SparkSession, results: DataFrame, config: Config) -> DataFrame:
     failed = F.col("teacher_failed").isNotNull()
     df = df.withColumns({"status": F.when(failed, "review").otherwise(F.col("status")), "reasons": F.when(failed, F.array_distinct(F.concat("reasons", F.array(F.lit("teacher_unavailable"))))).otherwise(F.col("reasons"))})
     columns = ["status", "validity_label", "in_scope_label", "valid", "in_scope", "p_wrong", "mining_p_wrong", "p_solvable", "reasons", "regions", "primary_region_index", "decision"]
-    updated = records.overlay(results, df, "sample_id", columns)
+    df = records.checked_status(df, STATUSES)
+    updated = records.checked_overlay(results, df, "sample_id", columns, F.col("status").isin("accept", "review"), IMMUTABLE)
     extra = df.select(F.col("sample_id").alias("__s"), "main_decision", F.col("teacher_p_wrong").alias("teacher_error"))
     return updated.join(extra, F.col("sample_id") == F.col("__s"), "left").drop("__s")
 
@@ -310,10 +385,8 @@ def output_plan(segments: DataFrame, index: DataFrame, layout: str) -> DataFrame
     where = {"segment_relative": F.concat_ws("/", "output_directory", name), "preserve_relative": F.col("relative_path"), "flat": name}[layout]
     plan = met.select("source", where.alias("destination")).distinct()
     fail = F.raise_error(F.concat(F.lit("two sources for "), F.col("destination"))).cast("boolean")
-    from pyspark.sql import Window as W
-
-    n = F.count("*").over(W.partitionBy("destination"))
-    return plan.withColumn("__ok", F.when(n > 1, fail).otherwise(True)).where("__ok").drop("__ok")
+    per = plan.groupBy("destination").agg(F.min("source").alias("source"), F.count("*").alias("__n"))
+    return per.withColumn("__ok", F.when(F.col("__n") > 1, fail).otherwise(True)).where("__ok").select("source", "destination")
 
 
 def without_triplets(spark: SparkSession, root: str, segments: DataFrame, config: Config) -> DataFrame:
@@ -327,22 +400,19 @@ def without_triplets(spark: SparkSession, root: str, segments: DataFrame, config
 def _drawn(config: Config) -> Callable:
     predict, width = predictor(config.model), config.output.visualization_width
 
-    def do(three: list, boxes) -> dict:
+    def one(three: list, made: dict, boxes) -> dict:
         from ..sources.sinks import png_bytes
 
-        if any(i is None for i in three):
-            return {"png": None}
-        made = predict(three[0], three[2])
         regions = [tuple(int(v) for v in b) for b in (boxes if boxes is not None else [])]
         return {"png": png_bytes(kernels.diagnostic_grid(*three[:2], made["prediction"], three[2], made, regions, width))}
 
-    return do
+    return _predicted(predict, one, {"png": None})
 
 
 def diagnostic_images(spark: SparkSession, selected: DataFrame, config: Config) -> DataFrame:
     """(sample_id, png) of selected results."""
     wanted = selected.withColumn("boxes", F.transform("regions", lambda r: r["box"]))
-    return run_triplets(spark, wanted, partial(_drawn, config), "png binary", payload="boxes")
+    return run_triplets(spark, wanted, partial(_drawn, config), "png binary", config, payload="boxes")
 
 
 def execution_snapshot(index: DataFrame, config: Config) -> dict:
@@ -359,7 +429,8 @@ def execution_snapshot(index: DataFrame, config: Config) -> dict:
 
     package = Path(__file__).parents[1]
     source = hashlib.sha256()
-    for file in sorted(p for p in package.rglob("*.py") if "llm" not in p.relative_to(package).parts):
+    parts = [package, *(package / name for name in ("functions", "operators", "plans", "sources", "streaming"))]
+    for file in sorted(p for folder in parts for p in folder.glob("*.py")):
         source.update(file.relative_to(package).as_posix().encode() + b"\0" + file.read_bytes())
     out = {"schema_version": 1, "config_hash": config.run_hash(), "index": index_digest(index), "source": source.hexdigest(), "model": file_digest(config.model.checkpoint), "teacher": file_digest(config.teacher.checkpoint) if config.teacher else None}
     return out | {"execution_id": hashlib.sha256(json.dumps(out, sort_keys=True).encode()).hexdigest()[:24]}
@@ -371,4 +442,4 @@ def summary(results: DataFrame, segments: DataFrame, plan: DataFrame) -> dict[st
     return {"records": counts[0], "selected": counts[1], "segments": segments.count(), "frames": plan.count()}
 
 
-__all__ = ["annotated", "build_index", "changed_frames", "diagnosed", "diagnostic_images", "execution_snapshot", "index_digest", "mine", "output_plan", "run_triplets", "segments_of", "summary", "teach", "without_triplets"]
+__all__ = ["annotated", "build_index", "changed_frames", "diagnosed", "diagnostic_images", "execution_snapshot", "in_waves", "index_digest", "judged", "mine", "output_plan", "run_triplets", "segments_of", "summary", "teach", "without_triplets"]

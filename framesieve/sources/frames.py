@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.triplets import checked_unique, parse_frame_name, video_id
+from ..scratch import filesystem
 
 EXTENSIONS = (".png", ".jpg", ".jpeg")
 #: Folders that hold the engine's own output.
@@ -29,7 +30,7 @@ def relative_path(path: Column, root: str) -> Column:
 
 
 def excluded(relative: Column, names: tuple[str, ...], hidden: bool = True) -> Column:
-    """Whether a folder on the way has an excluded name, lies below an excluded relative path, or starts with a dot."""
+    """Whether a folder on the way has an excluded name, lies below an excluded path of the root, or starts with a dot."""
     folders = F.slice(F.split(relative, "/"), 1, F.greatest(F.size(F.split(relative, "/")) - 1, F.lit(0)))
     single = [n for n in names if "/" not in n.strip("/")]
     out = F.exists(folders, lambda d: d.isin(*single)) if single else F.lit(False)
@@ -39,20 +40,42 @@ def excluded(relative: Column, names: tuple[str, ...], hidden: bool = True) -> C
     return out | F.exists(folders, lambda d: F.startswith(d, F.lit("."))) if hidden else out
 
 
-def scan_frames(spark: SparkSession, root: str, *, pattern: str | None = None, digits: int | None = None, allowed: tuple[str, ...] = EXTENSIONS, exclude: tuple[str, ...] = (), hidden: bool = True, recursive: bool = True) -> DataFrame:
-    """(video_id, frame_index, path, relative_path, size, modified) of every file that parses as a frame.
-
-    Only listings are read, never contents. Names that don't parse are passed over; a repeated frame of a video fails.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(root).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+def named_frames(files: DataFrame, root: str, *, pattern: str | None = None, digits: int | None = None, allowed: tuple[str, ...] = EXTENSIONS, exclude: tuple[str, ...] = (), hidden: bool = True) -> DataFrame:
+    """The rows of ``files`` whose ``path`` parses as a frame below the root, with video_id, frame_index and relative_path."""
     files = files.withColumn("relative_path", relative_path(F.col("path"), root))
     name = F.substring_index("relative_path", "/", -1)
     extension = F.lower(F.regexp_extract(name, r"(\.[^.]*)$", 1))
     files = files.where(extension.isin(*extensions(allowed)) & ~excluded(F.col("relative_path"), (*OUTPUT_DIRS, *exclude), hidden))
-    files = files.withColumn("parsed", parse_frame_name(name, pattern=pattern, digits=digits)).where("parsed IS NOT NULL")
+    parsed = parse_frame_name(name, pattern=pattern, digits=digits)
     parent = F.when(F.instr("relative_path", "/") > 0, F.regexp_replace("relative_path", "/[^/]*$", "")).otherwise(".")
-    frames = files.select(video_id(parent, F.col("parsed.video_key")).alias("video_id"), F.col("parsed.frame_index").alias("frame_index"), "path", "relative_path", "size", "modified")
-    return checked_unique(frames)
+    files = files.withColumn("__parsed", parsed).where("__parsed IS NOT NULL")
+    return files.withColumns({"video_id": video_id(parent, F.col("__parsed.video_key")), "frame_index": F.col("__parsed.frame_index")}).drop("__parsed")
+
+
+def pruned_roots(spark: SparkSession, root: str, exclude: tuple[str, ...] = (), hidden: bool = True) -> list[str]:
+    """What to list of a root: its entries without the excluded folders right below it, which are never listed."""
+    fs, hadoop = filesystem(spark, root)
+    entries = [(x.getPath().getName(), x.isDirectory(), x.getPath().toString()) for x in fs.listStatus(hadoop)]
+    dropped = {n.strip("/") for n in (*OUTPUT_DIRS, *exclude)}
+    out = lambda name, folder: folder and (name in dropped or hidden and name.startswith("."))
+    if not any(out(name, folder) for name, folder, _ in entries):
+        return [root]
+    return [path for name, folder, path in entries if not out(name, folder) and (folder or not name.startswith("."))]
+
+
+def scan_frames(spark: SparkSession, root: str, *, pattern: str | None = None, digits: int | None = None, allowed: tuple[str, ...] = EXTENSIONS, exclude: tuple[str, ...] = (), hidden: bool = True, recursive: bool = True) -> DataFrame:
+    """(video_id, frame_index, path, relative_path, size, modified) of every file that parses as a frame.
+
+    Only listings are read, never contents; excluded folders below the root itself are not even listed. Names that don't
+    parse are passed over, as are those that begin with an underscore, which Spark takes for its own; a repeated frame of
+    a video fails.
+    """
+    found = pruned_roots(spark, root, exclude, hidden) if recursive else [root]
+    if not found:
+        return spark.createDataFrame([], "video_id string, frame_index int, path string, relative_path string, size long, modified timestamp")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(found).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    frames = named_frames(files, root, pattern=pattern, digits=digits, allowed=allowed, exclude=exclude, hidden=hidden)
+    return checked_unique(frames.select("video_id", "frame_index", "path", "relative_path", "size", "modified"))
 
 
 def read_images(spark: SparkSession, paths: str | list[str]) -> DataFrame:

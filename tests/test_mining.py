@@ -44,6 +44,58 @@ def test_ramp_video_end_to_end(spark, tmp_path):
     assert cli.index(spark, cfg)["triplets"] == 3  # the published copies are not scanned
 
 
+def test_a_killed_run_does_only_the_missing_waves(spark, tmp_path, monkeypatch):
+    ramp(tmp_path / "in" / "a", (0, 64, 128, 192, 255))
+    ramp(tmp_path / "in" / "b", (0, 128, 255, 64))
+    cfg = settings(tmp_path / "in", tmp_path / "run", runtime={"run_dir": str(tmp_path / "run"), "chunk_triplets": 2})
+    whole = {tuple(r["frame_indices"]): r["p_wrong"] for r in mining.mine(spark, mining.build_index(spark, cfg), cfg).collect()}
+    monkeypatch.setattr(cli, "_wave", lambda spark: 1)
+    done, real = [], mining.mine
+
+    def dying(spark, part, config):
+        if len(done) == 2:
+            raise RuntimeError("killed")
+        done.append(sorted((r["video_id"], r["frame_indices"][0]) for r in part.collect()))
+        return real(spark, part, config)
+
+    monkeypatch.setattr(mining, "mine", dying)
+    with pytest.raises(RuntimeError, match="killed"):
+        cli.mine(spark, cfg)
+    first = list(done)
+    done.clear()
+    monkeypatch.setattr(mining, "mine", lambda *a: (done.append(sorted((r["video_id"], r["frame_indices"][0]) for r in a[1].collect())), real(*a))[1])
+    assert sum(cli.mine(spark, cfg).values()) == 5
+    assert sorted(x for part in first + done for x in part) == [("a::01", 1), ("a::01", 2), ("a::01", 3), ("b::01", 1), ("b::01", 2)]  # each once
+    rows = spark.read.parquet(cli._path(cfg, "main")).collect()
+    assert {tuple(r["frame_indices"]): r["p_wrong"] for r in rows if r["video_id"] == "b::01"}.items() <= whole.items() and len({r["execution_id"] for r in rows}) == 1
+    done.clear()
+    cli.mine(spark, cfg)
+    assert done == []
+
+
+class Stacked:
+    """A model that takes stacks of images and counts them."""
+
+    batched = True
+    sizes: list = []
+
+    def __call__(self, a, b):
+        n = len(a)
+        flow = np.zeros((n, 32, 32, 2), np.float32)
+        return {"flow_t0": flow, "flow_t1": flow, "mask0": np.full((n, 32, 32), 0.5, np.float32), "mask1": np.zeros((n, 32, 32), np.float32)}
+
+
+def stacked(checkpoint=None):
+    return Stacked()
+
+
+def test_models_take_batches():
+    model = config.Model("tests.test_mining:stacked", input_height=64, input_width=64, batch_size=2)
+    pairs = [(np.full((64, 64, 3), i / 9, np.float32), np.full((64, 64, 3), i / 3, np.float32)) for i in range(5)]
+    many, one = mining.predictor(model)(pairs), [mining.predictor(config.Model("mock", input_height=64, input_width=64, factory_kwargs={"output_scale": 2}))([p])[0] for p in pairs]
+    assert all(np.allclose(a["prediction"], b["prediction"]) for a, b in zip(many, one, strict=True)) and len(many) == 5
+
+
 def test_changed_frames_stop_a_run(spark, tmp_path):
     ramp(tmp_path / "in", (0, 9, 99))
     cfg = settings(tmp_path / "in", tmp_path / "run")
