@@ -69,6 +69,30 @@ def components(mask: np.ndarray, values: np.ndarray) -> list[Component]:
     return [Component(int(ends["x0"][i]), int(ends["y0"][i]), int(ends["x1"][i]) + 1, int(ends["y1"][i]) + 1, int(area[i]), float(total[i]), float(peak[i]), float(4 * area[i] - 2 * shared[i])) for i in range(n)]
 
 
+def filled_components(mask: np.ndarray, values: np.ndarray) -> list[Component]:
+    """The same as ``components`` by filling from each unseen pixel: slow and plain, to check the other."""
+    h, w = mask.shape
+    seen, out = np.zeros((h, w), bool), []
+    for start in zip(*map(np.ndarray.tolist, np.nonzero(mask)), strict=True):
+        if seen[start]:
+            continue
+        seen[start] = True
+        pixels, at = [start], 0
+        while at < len(pixels):
+            y, x = pixels[at]
+            at += 1
+            for near in ((j, i) for j in range(max(0, y - 1), min(h, y + 2)) for i in range(max(0, x - 1), min(w, x + 2))):
+                if mask[near] and not seen[near]:
+                    seen[near] = True
+                    pixels.append(near)
+        inside = set(pixels)
+        sides = sum((y + dy, x + dx) not in inside for y, x in pixels for dy, dx in ((0, 1), (1, 0), (0, -1), (-1, 0)))
+        ys, xs = zip(*pixels, strict=True)
+        held = [float(values[p]) for p in sorted(pixels)]
+        out.append(Component(min(xs), min(ys), max(xs) + 1, max(ys) + 1, len(pixels), sum(held), max(held), float(sides)))
+    return out
+
+
 def edge_endpoints(edges: np.ndarray, threshold: float) -> int:
     """Edge pixels with at most one edge among their eight neighbours."""
     on = edges >= threshold
@@ -349,7 +373,12 @@ def repeat_distance(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def validity_metrics(img0: np.ndarray, truth: np.ndarray, img1: np.ndarray, contiguous: bool = True, menu: float | None = None) -> dict[str, object]:
-    a, b, c = luminance(img0), luminance(truth), luminance(img1)
+    """The validity gate's metrics of three images."""
+    return validity_of_luma(luminance(img0), luminance(truth), luminance(img1), contiguous, menu)
+
+
+def validity_of_luma(a: np.ndarray, b: np.ndarray, c: np.ndarray, contiguous: bool = True, menu: float | None = None) -> dict[str, object]:
+    """The same of three luma maps; a given menu score replaces the measured one."""
     d0, d1 = np.abs(a - b), np.abs(b - c)
     m0, m1 = float(d0.mean()), float(d1.mean())
     asymmetry = abs(m0 - m1) / (m0 + m1 + 1e-8)

@@ -45,3 +45,15 @@ def score_maps(pairs: DataFrame, height: int, width: int, key: str = "pair", thr
             yield pd.DataFrame(rows, columns=[key, "p_wrong", "mining_p_wrong", "metrics", "regions"])
 
     return pairs.select(key, "truth", "prediction").mapInPandas(run, schema)
+
+
+def mapped(rows: DataFrame, schema: str, work) -> DataFrame:
+    """``work`` on every row (a namedtuple), in Arrow batches: one dict of the schema's columns each, or a list of them."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [c.split()[0] for c in schema.split(", ")]
+        for batch in batches:
+            found = [work(row) for row in batch.itertuples(index=False)]
+            yield pd.DataFrame([r for x in found for r in (x if isinstance(x, list) else [x])], columns=names)
+
+    return rows.mapInPandas(run, schema)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import maps as m
-from ..operators import diagnosis, gates, scoring
+from ..operators import diagnosis, gates, kernels, scoring
 from .encodings import PX, luma_maps, table
 
 H = W = 8
@@ -72,38 +73,40 @@ def repeat_distance(spark: SparkSession, sf: str) -> DataFrame:
     return _pairs(spark, sf).select("pair", r6(m.repeat_distance(F.col("truth"), F.col("prediction"))).alias("distance"))
 
 
-def validity_columns(a: Column, b: Column, c: Column) -> dict[str, Column]:
-    """The metrics of a triplet of luma maps that columns can say; the overlay score is left out, which a gate allows."""
-    means = F.struct(m.mean(m.abs_difference(a, b)).alias("x"), m.mean(m.abs_difference(b, c)).alias("y"))
-    asymmetry = m.let(means, lambda d: F.abs(d["x"] - d["y"]) / (d["x"] + d["y"] + 1e-8))
-    jump = F.greatest(m.histogram_distance(a, b), m.histogram_distance(b, c))
-    return {"decode_ok": F.lit(True), "finite": F.lit(True), "sequence_contiguous": F.lit(True), "duplicate_distance": F.least(m.repeat_distance(a, b), m.repeat_distance(b, c)), "scene_cut_score": jump * (0.5 + 0.5 * asymmetry), "temporal_asymmetry": asymmetry, "max_adjacent_difference": m.let(means, lambda d: F.greatest(d["x"], d["y"]))}
+def square(m, height: int = H, width: int = W) -> np.ndarray:
+    return np.asarray(m, np.float64).reshape(height, width)
 
 
 def validity_gate(spark: SparkSession, sf: str) -> DataFrame:
-    metrics = validity_columns(F.col("a"), F.col("b"), F.col("c"))
-    rows = _triples(spark, sf).select("first", *[v.alias(k) for k, v in metrics.items()])
-    gate = gates.validity_gate({k: F.col(k) for k in metrics})
+    """The gate over the mining plan's metrics of three luma maps; the overlay score has a query of its own."""
+    names = ("duplicate_distance", "scene_cut_score", "temporal_asymmetry", "max_adjacent_difference", "menu_transition_score")
+
+    def work(row) -> dict:
+        found = kernels.validity_of_luma(square(row.a), square(row.b), square(row.c), menu=0.0)
+        return {"first": row.first, **{n: found[n] for n in names}}
+
+    rows = scoring.mapped(_triples(spark, sf), "first long, " + ", ".join(f"{n} double" for n in names), work)
+    flags = {n: F.lit(True) for n in ("decode_ok", "finite", "sequence_contiguous")}
+    gate = gates.validity_gate({n: F.col(n) for n in names} | flags)
     return rows.withColumn("g", gate).select("first", r6(F.col("scene_cut_score")).alias("scene_cut"), F.col("g.label").alias("label"), F.array_join("g.reasons", ",").alias("reasons"), gates.label_value(F.col("g.label")).alias("valid"))
 
 
+def _flow(e, height: int = 8, width: int = 4) -> np.ndarray:
+    """Halves of an embedding as a motion field, in pixels after scaling by 8."""
+    v = np.asarray(e, np.float64) * 8
+    return np.stack([v[: height * width].reshape(height, width), v[height * width :].reshape(height, width)], axis=-1)
+
+
 def flow_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """Embedding halves as an 8x4 motion field, in pixels after scaling by 8."""
-    v = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double") * 8).alias("e"))
-    px = v.select("vec_id", F.slice("e", 1, 32).alias("dx"), F.slice("e", 33, 32).alias("dy"))
-    d = (8.0**2 + 4.0**2) ** 0.5
-    border = F.sequence(F.lit(0), F.lit(31))
-    on_edge = lambda i: (i % 4 == 0) | (i % 4 == 3) | (i < 4) | (i >= 28)
-    median = lambda c: m.quantile(F.array_sort(F.transform(F.filter(border, on_edge), lambda i: F.get(F.col(c), i))), 0.5)
-    px = px.withColumns({"bx": median("dx"), "by": median("dy")})
-    hyp = lambda x, y: F.sqrt(x * x + y * y)
-    res = F.transform(border, lambda i: hyp(F.get("dx", i) - F.col("bx"), F.get("dy", i) - F.col("by")) / d)
-    px = px.withColumn("res", res)
-    outside = lambda i: (i % 4 + F.get("dx", i) < 0) | (i % 4 + F.get("dx", i) > 3) | (F.floor(i / 4) + F.get("dy", i) < 0) | (F.floor(i / 4) + F.get("dy", i) > 7)
-    share = lambda test: F.size(F.filter(border, test)) / 32.0
-    jump = lambda i, j: hyp(F.get("dx", j) - F.get("dx", i), F.get("dy", j) - F.get("dy", i)) / d > 0.02
-    steps = F.size(F.filter(border, lambda i: (i % 4 < 3) & jump(i, i + 1))) + F.size(F.filter(border, lambda i: (i < 28) & jump(i, i + 4)))
-    return px.select("vec_id", r6(share(lambda i: outside(i) & (F.get("res", i) > 0.08))).alias("out_of_bounds_ratio"), r6(share(lambda i: F.get("res", i) > 0.08)).alias("unexplained_motion_ratio"), r6(steps / 52.0).alias("flow_discontinuity_ratio"), r6(hyp(F.col("bx"), F.col("by")) / d).alias("background_motion"))
+    """The mining plan's motion metrics of 8x4 fields."""
+
+    def work(row) -> dict:
+        found = kernels.flow_metrics(_flow(row.embedding))
+        return {"vec_id": row.vec_id, "out_of_bounds_ratio": found["out_of_bounds_ratio"], "unexplained_motion_ratio": float((found["residual"] > kernels.LARGE_MOTION).mean()), "flow_discontinuity_ratio": found["flow_discontinuity_ratio"], "background_motion": found["background_motion"]}
+
+    names = ("out_of_bounds_ratio", "unexplained_motion_ratio", "flow_discontinuity_ratio", "background_motion")
+    got = scoring.mapped(table(spark, sf, "embeddings").select("vec_id", "embedding"), "vec_id long, " + ", ".join(f"{n} double" for n in names), work)
+    return got.select("vec_id", *[r6(F.col(n)).alias(n) for n in names])
 
 
 def window_means(spark: SparkSession, sf: str) -> DataFrame:
@@ -117,8 +120,15 @@ def native_mask_components(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def nms_regions(spark: SparkSession, sf: str) -> DataFrame:
-    """Regions that survive suppression, of pairs as truth and prediction."""
-    return scoring.score_maps(_pairs(spark, sf), H, W).select("pair", F.explode("regions").alias("g")).select("pair", "g.*").drop("metrics")
+    """Greedy suppression of each brand's part boxes, natives first, eight at most: the chosen ones and their places."""
+    b = _boxes(spark, sf).join(table(spark, sf, "part").select(F.col("p_partkey").alias("k"), F.floor("p_retailprice").alias("price")), F.col("p_partkey") == F.col("k"))
+    held = b.groupBy("p_brand").agg(F.array_sort(F.collect_list(F.struct("p_partkey", "x0", "y0", "x1", "y1", "price"))).alias("boxes"))
+
+    def work(row) -> list[dict]:
+        found = [kernels.Region((r["x0"], r["y0"], r["x1"], r["y1"]), int(r["price"]) % 64 / 64, r["p_partkey"] % 4 == 0, {"key": r["p_partkey"]}, weight=0.5 if r["p_partkey"] % 2 else 1.0) for r in row.boxes]
+        return [{"p_brand": row.p_brand, "p_partkey": r.metrics["key"], "place": i + 1} for i, r in enumerate(kernels.suppress(found, 8, 0, 0.55))]
+
+    return scoring.mapped(held, "p_brand string, p_partkey long, place int", work)
 
 
 def score_samples(spark: SparkSession, sf: str) -> DataFrame:
@@ -322,6 +332,22 @@ u AS (SELECT p_partkey, ov, least(greatest((ov - 0.5::DOUBLE) / 0.5::DOUBLE, 0),
 SELECT p_partkey, round(ov, 6) AS border_overlap, round(ui, 6) AS ui_likelihood, round(1 - ui * 0.65::DOUBLE, 6) AS priority_weight FROM u
 """
 
+_NMS = """
+WITH RECURSIVE k AS (SELECT p_brand, p_partkey, p_size % 7 AS x0, p_partkey % 5 AS y0, p_size % 7 + p_partkey % 6 + 2 AS x1, p_partkey % 5 + p_size % 4 + 2 AS y1, p_partkey % 4 = 0 AS native, CAST(floor(p_retailprice) AS BIGINT) % 64 / 64.0::DOUBLE AS score, CASE WHEN p_partkey % 2 = 1 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM part),
+r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY native DESC, score * weight DESC, weight DESC, score DESC, y0, x0, y1, x1, p_partkey) AS rk FROM k),
+g(p_brand, rk, chosen) AS (
+  SELECT p_brand, 0::BIGINT, []::STRUCT(p_partkey BIGINT, x0 BIGINT, y0 BIGINT, x1 BIGINT, y1 BIGINT)[] FROM k GROUP BY p_brand
+  UNION ALL
+  SELECT g.p_brand, r.rk, CASE WHEN len(chosen) < 8 AND len(list_filter(chosen, lambda c:
+      greatest(least(c.x1, r.x1) - greatest(c.x0, r.x0), 0) * greatest(least(c.y1, r.y1) - greatest(c.y0, r.y0), 0) >= 0.5::DOUBLE * ((c.x1 - c.x0) * (c.y1 - c.y0) + (r.x1 - r.x0) * (r.y1 - r.y0) - greatest(least(c.x1, r.x1) - greatest(c.x0, r.x0), 0) * greatest(least(c.y1, r.y1) - greatest(c.y0, r.y0), 0))
+      OR greatest(least(c.x1, r.x1) - greatest(c.x0, r.x0), 0) * greatest(least(c.y1, r.y1) - greatest(c.y0, r.y0), 0) / CAST(least((c.x1 - c.x0) * (c.y1 - c.y0), (r.x1 - r.x0) * (r.y1 - r.y0)) AS DOUBLE) >= 0.85::DOUBLE)) = 0
+    THEN list_append(chosen, {'p_partkey': r.p_partkey::BIGINT, 'x0': r.x0::BIGINT, 'y0': r.y0::BIGINT, 'x1': r.x1::BIGINT, 'y1': r.y1::BIGINT}) ELSE chosen END
+  FROM g JOIN r ON r.p_brand = g.p_brand AND r.rk = g.rk + 1 WHERE len(g.chosen) < 8
+),
+l AS (SELECT p_brand, arg_max(chosen, rk) AS chosen FROM g GROUP BY p_brand)
+SELECT p_brand, c.p_partkey AS p_partkey, CAST(i AS INTEGER) AS place FROM (SELECT p_brand, unnest(chosen) AS c, generate_subscripts(chosen, 1) AS i FROM l)
+"""
+
 QUERIES = {
     "luma_stats": (luma_stats, f"WITH {PX} SELECT vec_id, round(avg(l), 6) AS mean, round(max(l), 6) AS max, round(quantile_cont(l, 0.95::DOUBLE), 6) AS q95, round(quantile_cont(l, 0.99::DOUBLE), 6) AS q99, round(quantile_cont(l, 0.999::DOUBLE), 6) AS q999 FROM px GROUP BY vec_id"),
     "map_quantiles": (map_quantiles, f"WITH {PX} SELECT vec_id, " + ", ".join(f"round(quantile_cont(l, {q}::DOUBLE), 6) AS q{round(q * 100)}" for q in (0.5, 0.75, 0.9, 0.96)) + " FROM px GROUP BY vec_id"),
@@ -335,7 +361,7 @@ QUERIES = {
     "flow_metrics": (flow_metrics, _FLOW),
     "window_means": (window_means, f"WITH {PX}, s AS (SELECT unnest([0, 2, 4]) AS s) SELECT px.vec_id, CAST(a.s AS INTEGER) AS y, CAST(b.s AS INTEGER) AS x, round(avg(l), 6) AS mean FROM px, s a, s b WHERE px.y >= a.s AND px.y < a.s + 4 AND px.x >= b.s AND px.x < b.s + 4 GROUP BY ALL"),
     "native_mask_components": (native_mask_components, _COMPONENTS),
-    "nms_regions": (nms_regions, None),
+    "nms_regions": (nms_regions, _NMS),
     "score_samples": (score_samples, None),
     "solvability": (solvability, _SOLVE),
     "decision_gate": (decision_gate, _DECIDE),

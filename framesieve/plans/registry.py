@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import frame_queries, map_queries
+from . import frame_queries, kernel_queries, map_queries
+
+_PARTS = (frame_queries, map_queries, kernel_queries)
 
 
 def queries() -> dict:
-    return {name: query for part in (frame_queries, map_queries) for name, (query, _) in part.QUERIES.items()}
+    return {name: query for part in _PARTS for name, (query, _) in part.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for part in (frame_queries, map_queries) for name, (_, sql) in part.QUERIES.items() if sql}
+    return {name: sql for part in _PARTS for name, (_, sql) in part.QUERIES.items() if sql}

@@ -399,3 +399,34 @@ def test_enqueue_is_idempotent_and_all_or_nothing(spark):
         ledger.enqueue(t, spark.createDataFrame([("a", "{}", 2)], t.schema))
     state = spark.createDataFrame([("a", "running", "o", 10.0), ("b", "running", "o", 11.0)], "task_id string, status string, owner string, lease_expires double")
     assert rows(ledger.recover_expired(state, 10.0).select("task_id", "status")) == [("a", "pending"), ("b", "running")]
+
+
+# --- labellers and suppression
+
+
+def test_both_labellers_agree():
+    rng = np.random.default_rng(30)
+    for density in (0.1, 0.4, 0.6, 0.9):
+        values = rng.random((23, 31))
+        mask = values >= 1 - density
+        key = lambda c: (c.y0, c.x0, c.y1, c.x1, c.area, round(c.total, 9), c.peak, c.perimeter)
+        assert sorted(map(key, kernels.components(mask, values))) == sorted(map(key, kernels.filled_components(mask, values)))
+
+
+def test_suppression_reserves_a_place_and_leaves_no_free_box():
+    rng = np.random.default_rng(31)
+    for _ in range(50):
+        regions = []
+        for _ in range(30):
+            x, y, w, h = rng.integers(0, 40, 2).tolist() + rng.integers(2, 20, 2).tolist()
+            regions.append(kernels.Region((x, y, x + w, y + h), float(rng.random()), bool(rng.random() < 0.4), ui=float(rng.random()), weight=float(rng.choice([0.5, 1.0])), area_fraction=float(rng.random())))
+        chosen = kernels.suppress(regions, 8, 1, 0.55)
+        clash = lambda a, b: (lambda i, c: i >= 0.5 or c >= 0.85)(*kernels.overlap(a.box, b.box))
+        assert len(chosen) <= 8 and not any(clash(a, b) for i, a in enumerate(chosen) for b in chosen[:i])
+        if len(chosen) < 8:  # what was left out meets a chosen box
+            assert all(any(clash(r, c) for c in chosen) for r in regions if not any(r is c for c in chosen))
+        plain = [r for r in regions if r.ui < 0.55 and (r.native or (r.weight >= 0.95 and r.area_fraction <= 0.35))]
+        if plain:
+            best = next((g for g in ([r for r in plain if r.native], plain) if g), [])
+            assert chosen[0] is min(best, key=lambda r: (-(r.score * r.weight), -r.weight, -r.score, r.box[1], r.box[0], r.box[3], r.box[2]))
+    assert kernels.suppress(regions, 0, 1, 0.55) and len(kernels.suppress(regions, 0, 1, 0.55)) >= len(chosen)
