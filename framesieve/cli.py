@@ -89,6 +89,7 @@ def finalize(spark, cfg: config.Config) -> dict:
     records.checked_status(results, mining.STATUSES).select("status").write.format("noop").mode("overwrite").save()
     if cfg.runtime.precision != "float32":
         raise ValueError("only float32 results are published")
+    results = records.checked_run(results, run_hash=cfg.run_hash())
     segments = mining.segments_of(results, cfg.run_hash()).cache()
     plan = mining.output_plan(segments, found, cfg.output.layout)
     annotated = mining.annotated(results, segments)
@@ -102,6 +103,8 @@ def finalize(spark, cfg: config.Config) -> dict:
     (staging / "images").mkdir()
     shown = annotated.where("selected" if not cfg.output.save_review else "selected OR (covered_by_segment AND status = 'review')").select("sample_id")
     drawn = sinks.write_files(mining.diagnostic_images(spark, results.join(shown, "sample_id", "left_semi"), cfg), str(staging / "images"))
+    if drawn != shown.count():
+        raise ValueError(f"{drawn} diagnostic images of {shown.count()}")
     sinks.jsonl_file(segments.drop("reasons"), staging / "segments.jsonl", ["video_id", "start"])
     n = sinks.jsonl_file(annotated.drop("scoring", "img0", "gt", "img1"), staging / "manifest.jsonl", ["video_id", "sample_id"])
     out = mining.summary(annotated, segments, plan) | {"methods": methods, "manifest_records": n, "images": drawn, **mining.execution_snapshot(found, cfg)}

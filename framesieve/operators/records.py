@@ -124,6 +124,44 @@ def checked_status(df: DataFrame, allowed: tuple[str, ...], column: str = "statu
     return df.withColumn("__ok", F.when(F.coalesce(F.col(column).isin(*allowed), F.lit(False)), True).otherwise(fail)).where("__ok").drop("__ok")
 
 
+def fold_order(column: str) -> list[Column]:
+    """The order of names without regard to case, ties by the names themselves."""
+    return [F.lower(column).asc_nulls_first(), F.col(column).asc_nulls_first()]
+
+
+def checked_run(df: DataFrame, **expected) -> DataFrame:
+    """The rows; the job fails at one that belongs to another run: whose run_hash, stage or execution_id differs."""
+    out = df
+    for name, value in expected.items():
+        fail = F.raise_error(F.concat(F.lit(f"{name} of another run: "), F.coalesce(F.col(name).cast("string"), F.lit("null")))).cast("boolean")
+        out = out.withColumn("__ok", F.when(F.col(name).eqNullSafe(F.lit(value)), True).otherwise(fail)).where("__ok").drop("__ok")
+    return out
+
+
+def one_to_one(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """The inner join on a key that both sides hold exactly once and alike; ValueError otherwise."""
+    problems = (
+        duplicates(left, key).unionByName(duplicates(right, key)).select(F.concat(F.lit("repeated "), F.col(key).cast("string")).alias("p"))
+        .unionAll(missing(left, right, key).unionByName(missing(right, left, key)).select(F.concat(F.lit("unmatched "), F.col(key).cast("string")).alias("p")))
+    )
+    if found := problems.limit(5).collect():
+        raise ValueError("; ".join(r["p"] for r in found))
+    return left.join(right, key)
+
+
+def bound(tasks: DataFrame, samples: DataFrame, task: str = "task_id", key: str = "sample_id") -> DataFrame:
+    """(task, sample) of tasks with an array ``sample_ids``: every sample is in exactly one task, and no other is; else ValueError."""
+    pairs = tasks.select(task, F.explode("sample_ids").alias(key))
+    return one_to_one(pairs, samples.select(key), key).select(task, key)
+
+
+def unique_paths(frames: DataFrame, path: str = "path") -> DataFrame:
+    """(video_id, frame_index, path) once per frame; the job fails where a frame has two paths."""
+    per = frames.groupBy("video_id", "frame_index").agg(F.min(path).alias(path), F.max(path).alias("__other"))
+    fail = F.raise_error(F.concat(F.lit("two paths for a frame: "), F.col(path).cast("string"), F.lit(", "), F.col("__other").cast("string"))).cast("boolean")
+    return per.withColumn("__ok", F.when(F.col(path) == F.col("__other"), True).otherwise(fail)).where("__ok").drop("__ok", "__other")
+
+
 def overlay(main: DataFrame, updates: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """All rows of ``main`` with ``columns`` taken from ``updates`` where these have the key."""
     renamed = updates.select(F.col(key).alias("__k"), F.struct(*columns).alias("__u"))

@@ -91,7 +91,7 @@ def interval_union(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def interval_minus_barriers(spark: SparkSession, sf: str) -> DataFrame:
-    merged = iv.merge_classified(_decisions(spark, sf))
+    merged = iv.merge_classified(iv.checked(_decisions(spark, sf)))
     return merged.select("video_id", F.col("start").alias("seg_start"), F.col("end").alias("seg_end"), F.array_join("sample_ids", ",").alias("samples"))
 
 
@@ -127,7 +127,9 @@ def overlay_update(spark: SparkSession, sf: str) -> DataFrame:
     """Candidates (accept and review) whose start is even get a new status and score."""
     main = _decisions(spark, sf).select("sample_id", "status", F.lit(0.25).alias("p_wrong"), "start")
     upd = main.where("status IN ('accept', 'review') AND start % 2 = 0").select("sample_id", F.when(F.col("status") == "review", "accept").otherwise("review").alias("status"), F.lit(0.75).alias("p_wrong"))
-    return records.overlay(main, upd, "sample_id", ["status", "p_wrong"]).drop("start")
+    wanted = F.col("status").isin("accept", "review") & (F.col("start") % 2 == 0)
+    upd = records.checked_status(upd, ("accept", "review")).join(main.select(F.col("sample_id").alias("s"), "start"), F.col("sample_id") == F.col("s")).drop("s")
+    return records.checked_overlay(main, upd, "sample_id", ["status", "p_wrong"], wanted, ("start",)).drop("start")
 
 
 def coverage_missing(spark: SparkSession, sf: str) -> DataFrame:
@@ -195,10 +197,10 @@ def ledger_resume(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def frame_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """(video, index) to path over all triplets, with the number of paths, which must be 1."""
+    """(video, index) to its only path, over all triplets."""
     t = _with_ids(tr.triplets(frames(spark, sf)))
     f = t.select("video_id", F.explode(F.array("img0_index", "gt_index", "img1_index")).alias("frame_index"))
-    return f.withColumn("path", F.format_string("v%d/%05d.png", "video_id", "frame_index")).groupBy("video_id", "frame_index").agg(F.min("path").alias("path"), F.count_distinct("path").alias("paths"))
+    return records.unique_paths(f.withColumn("path", F.format_string("v%d/%05d.png", "video_id", "frame_index")))
 
 
 def triplets_per_segment(spark: SparkSession, sf: str) -> DataFrame:
@@ -258,7 +260,7 @@ QUERIES = {
     "record_segment_match": (record_segment_match, f"{_SEG}, {_HARD_SEG}, lent AS (SELECT DISTINCT k.sample_id FROM hs JOIN kept k ON k.video_id = hs.video_id AND k.f BETWEEN seg_start AND seg_end) SELECT d.sample_id, d.status, hs.seg_start AS segment_start, hs.seg_end AS segment_end, hs.video_id IS NOT NULL AS covered_by_segment, lent.sample_id IS NOT NULL AS contributed_to_segment, hs.video_id IS NOT NULL AND d.status = 'accept' AS selected FROM d LEFT JOIN hs ON hs.video_id = d.video_id AND d.s >= seg_start AND d.e <= seg_end LEFT JOIN lent ON lent.sample_id = d.sample_id"),
     "segment_frames": (segment_frames, f"{_SEG}, {_HARD_SEG} SELECT hs.video_id, seg_start, fr.frame_index FROM hs JOIN fr ON fr.video_id = hs.video_id AND fr.frame_index BETWEEN seg_start AND seg_end"),
     "segment_ids": (segment_ids, f"{_SEG}, {_HARD_SEG} SELECT video_id, seg_start, substr(sha256('0123456789abcdef' || chr(0) || video_id || chr(0) || seg_start || chr(0) || seg_end), 1, 20) AS segment_id FROM hs"),
-    "frame_lookup": (frame_lookup, f"WITH {FR}, {_TRIPLES}, f AS (SELECT DISTINCT video_id, unnest(generate_series(s, e)) AS frame_index FROM t) SELECT video_id, frame_index, 'v' || video_id || '/' || printf('%05d', frame_index) || '.png' AS path, 1::BIGINT AS paths FROM f"),
+    "frame_lookup": (frame_lookup, f"WITH {FR}, {_TRIPLES}, f AS (SELECT DISTINCT video_id, unnest(generate_series(s, e)) AS frame_index FROM t) SELECT video_id, frame_index, 'v' || video_id || '/' || printf('%05d', frame_index) || '.png' AS path FROM f"),
     "triplets_per_segment": (triplets_per_segment, f"{_SEG}, {_HARD_SEG} SELECT hs.video_id || ':' || seg_start AS segment, count(*) AS triplets FROM hs JOIN t ON t.video_id = hs.video_id AND t.s >= seg_start AND t.e <= seg_end GROUP BY ALL"),
     "overlay_update": (overlay_update, f"{_CLASSIFIED} SELECT sample_id, CASE WHEN s % 2 = 0 AND status = 'review' THEN 'accept' WHEN s % 2 = 0 AND status = 'accept' THEN 'review' ELSE status END AS status, CASE WHEN s % 2 = 0 AND status IN ('accept', 'review') THEN 0.75::DOUBLE ELSE 0.25::DOUBLE END AS p_wrong FROM d"),
     "coverage_missing": (coverage_missing, f"{_CLASSIFIED} SELECT DISTINCT sample_id FROM d WHERE s % 7 = 0"),

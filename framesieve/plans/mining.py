@@ -8,7 +8,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config, Model
@@ -21,13 +21,18 @@ from ..sources.frames import named_frames, read_images, scan_frames
 MODELS: dict[str, Callable] = {"mock": kernels.mock_model}
 
 
+def model_names() -> list[str]:
+    """The short names of models, sorted."""
+    return sorted(MODELS)
+
+
 def load_factory(spec: str) -> Callable:
     """A callable by short name or ``module:attribute.path``."""
     if spec in MODELS:
         return MODELS[spec]
     module, _, path = spec.partition(":")
     if not path:
-        raise ValueError(f"unknown model {spec!r}; known: {', '.join(sorted(MODELS))}")
+        raise ValueError(f"unknown model {spec!r}; known: {', '.join(model_names())}")
     found = importlib.import_module(module)
     for name in path.split("."):
         found = getattr(found, name)
@@ -87,7 +92,7 @@ def predictor(model: Model) -> Callable[[list[tuple[np.ndarray, np.ndarray]]], l
 
 
 def build_index(spark: SparkSession, config: Config) -> DataFrame:
-    """A row per triplet: run_hash, sample_id, video_id, stride, indices, and the three frames, by video and first frame."""
+    """A row per triplet: run_hash, sample_id, video_id, stride, indices, and the three frames, by video, whatever its case, and first frame."""
     d = config.data
     frames = scan_frames(spark, d.root, pattern=d.frame_regex, digits=d.frame_digits, allowed=d.extensions, exclude=(*d.excluded_dirs, config.output.hard_case_dir, config.output.visualization_dir), recursive=d.recursive)
     found = tr.triplets(frames, stride=d.stride)
@@ -96,7 +101,7 @@ def build_index(spark: SparkSession, config: Config) -> DataFrame:
         found = found.join(one, (F.col("video_id") == F.col("__v")) & (F.col(f"{name}_index") == F.col("__i"))).drop("__v", "__i")
     pairs = [(F.col(f"{n}.frame_index"), F.col(f"{n}.relative_path")) for n in ("img0", "gt", "img1")]
     indices = F.array(*[F.col(f"{n}_index").cast("int") for n in ("img0", "gt", "img1")])
-    return found.select(F.lit(config.run_hash()).alias("run_hash"), tr.sample_id(F.col("video_id"), d.stride, pairs).alias("sample_id"), "video_id", F.lit(d.stride).alias("stride"), indices.alias("frame_indices"), "img0", "gt", "img1").orderBy("video_id", F.col("frame_indices")[0])
+    return found.select(F.lit(config.run_hash()).alias("run_hash"), tr.sample_id(F.col("video_id"), d.stride, pairs).alias("sample_id"), "video_id", F.lit(d.stride).alias("stride"), indices.alias("frame_indices"), "img0", "gt", "img1").orderBy(*records.fold_order("video_id"), F.col("frame_indices")[0])
 
 
 def index_digest(index: DataFrame) -> str:
@@ -358,7 +363,7 @@ def teach(spark: SparkSession, results: DataFrame, config: Config, seen: DataFra
 def segments_of(results: DataFrame, run_hash: str) -> DataFrame:
     """Segments with a hard centre, of three frames at least, with their ids and output folders."""
     d = results.select("video_id", F.col("frame_indices")[0].alias("start"), F.col("frame_indices")[2].alias("end"), "status", "sample_id", F.array("sample_id").alias("sample_ids"), "reasons")
-    merged = intervals.merge_classified(d, min_length=3, provenance=("sample_ids", "reasons"))
+    merged = intervals.merge_classified(intervals.checked(d), min_length=3, provenance=("sample_ids", "reasons"))
     kept = intervals.with_hard_centre(merged, d.where(F.col("status").isin(*intervals.HARD)))
     named = kept.withColumn("segment_id", intervals.segment_id(run_hash, F.col("video_id"), F.col("start"), F.col("end")))
     parent, key = F.substring_index("video_id", "::", 1), F.expr("substring(video_id, instr(video_id, '::') + 2)")
@@ -378,7 +383,8 @@ def annotated(results: DataFrame, segments: DataFrame) -> DataFrame:
 
 def output_plan(segments: DataFrame, index: DataFrame, layout: str) -> DataFrame:
     """(source, destination) of every frame to publish; the job fails where two sources meet in one destination."""
-    frames = index.select("video_id", F.explode(F.array("img0", "gt", "img1")).alias("f")).select("video_id", F.col("f.frame_index").cast("long").alias("frame_index"), F.col("f.path").alias("source"), F.col("f.relative_path").alias("relative_path")).distinct()
+    frames = index.select("video_id", F.explode(F.array("img0", "gt", "img1")).alias("f")).select("video_id", F.col("f.frame_index").cast("long").alias("frame_index"), F.struct(F.col("f.path").alias("source"), F.col("f.relative_path").alias("relative_path")).alias("path"))
+    frames = records.unique_paths(frames).select("video_id", "frame_index", "path.source", "path.relative_path")
     met = intervals.segment_frames(segments.select("video_id", "start", "end", "output_directory"), frames.select("video_id", "frame_index"))
     met = met.join(frames, ["video_id", "frame_index"])
     name = F.substring_index("relative_path", "/", -1)
@@ -411,7 +417,7 @@ def _drawn(config: Config) -> Callable:
 
 def diagnostic_images(spark: SparkSession, selected: DataFrame, config: Config) -> DataFrame:
     """(sample_id, png) of selected results."""
-    wanted = selected.withColumn("boxes", F.transform("regions", lambda r: r["box"]))
+    wanted = selected.withColumn("boxes", boxes("regions"))
     return run_triplets(spark, wanted, partial(_drawn, config), "png binary", config, payload="boxes")
 
 
@@ -436,6 +442,11 @@ def execution_snapshot(index: DataFrame, config: Config) -> dict:
     return out | {"execution_id": hashlib.sha256(json.dumps(out, sort_keys=True).encode()).hexdigest()[:24]}
 
 
+def boxes(regions) -> Column:
+    """The boxes of a region array; boxes that don't have four numbers are passed over."""
+    return F.filter(F.transform(regions, lambda r: r["box"]), lambda b: b.isNotNull() & (F.size(b) == 4))
+
+
 def summary(results: DataFrame, segments: DataFrame, plan: DataFrame) -> dict[str, int]:
     """Counts of a finished run."""
     counts = results.agg(F.count("*").alias("records"), F.count_if("selected").alias("selected")).first()
