@@ -351,7 +351,7 @@ def teach(spark: SparkSession, results: DataFrame, config: Config, seen: DataFra
     failed = F.col("teacher_failed").isNotNull()
     df = df.withColumns({"status": F.when(failed, "review").otherwise(F.col("status")), "reasons": F.when(failed, F.array_distinct(F.concat("reasons", F.array(F.lit("teacher_unavailable"))))).otherwise(F.col("reasons"))})
     columns = ["status", "validity_label", "in_scope_label", "valid", "in_scope", "p_wrong", "mining_p_wrong", "p_solvable", "reasons", "regions", "primary_region_index", "decision"]
-    df = records.checked_status(df, STATUSES)
+    df = cut(records.checked_status(df, STATUSES), "teacher-records")  # the checks below read them several times
     updated = records.checked_overlay(results, df, "sample_id", columns, F.col("status").isin("accept", "review"), IMMUTABLE)
     extra = df.select(F.col("sample_id").alias("__s"), "main_decision", F.col("teacher_p_wrong").alias("teacher_error"))
     return updated.join(extra, F.col("sample_id") == F.col("__s"), "left").drop("__s")

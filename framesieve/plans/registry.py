@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import frame_queries, kernel_queries, map_queries, record_queries
+from . import decision_queries, frame_queries, kernel_queries, map_queries, record_queries
 
-_PARTS = (frame_queries, map_queries, kernel_queries, record_queries)
+_PARTS = (frame_queries, map_queries, kernel_queries, record_queries, decision_queries)
 
 
 def queries() -> dict:

@@ -430,3 +430,33 @@ def test_suppression_reserves_a_place_and_leaves_no_free_box():
             best = next((g for g in ([r for r in plain if r.native], plain) if g), [])
             assert chosen[0] is min(best, key=lambda r: (-(r.score * r.weight), -r.weight, -r.score, r.box[1], r.box[0], r.box[3], r.box[2]))
     assert kernels.suppress(regions, 0, 1, 0.55) and len(kernels.suppress(regions, 0, 1, 0.55)) >= len(chosen)
+
+
+# --- checks of records
+
+
+def test_one_to_one_and_binding_fail_at_what_is_off(spark):
+    a = spark.createDataFrame([("x", 1), ("y", 2)], "sample_id string, n int")
+    b = spark.createDataFrame([("x", 3), ("y", 4)], "sample_id string, m int")
+    assert records.one_to_one(a, b, "sample_id").count() == 2
+    for left, right, text in ((a.unionAll(a), b, "repeated"), (a, b.where("m = 3"), "unmatched y"), (a.where("n = 1"), b, "unmatched y")):
+        with pytest.raises(ValueError, match=text):
+            records.one_to_one(left, right, "sample_id")
+    tasks = spark.createDataFrame([("t", ["x"]), ("u", ["y"])], "task_id string, sample_ids array<string>")
+    assert rows(records.bound(tasks, a)) == [("t", "x"), ("u", "y")]
+    for bad in ([("t", ["x", "y"]), ("u", ["y"])], [("t", ["x"])], [("t", ["x", "y", "z"])]):
+        with pytest.raises(ValueError):
+            records.bound(spark.createDataFrame(bad, tasks.schema), a)
+
+
+def test_runs_and_paths_are_checked(spark):
+    df = spark.createDataFrame([("r", "main"), ("r", "main")], "run_hash string, stage string")
+    assert records.checked_run(df, run_hash="r", stage="main").count() == 2
+    for bad in ({"run_hash": "q"}, {"stage": "teacher"}):
+        with pytest.raises(Exception, match="of another run"):
+            records.checked_run(df, **bad).collect()
+    f = spark.createDataFrame([("v", 1, "a"), ("v", 1, "a"), ("v", 2, "b")], "video_id string, frame_index int, path string")
+    assert rows(records.unique_paths(f)) == [("v", 1, "a"), ("v", 2, "b")]
+    with pytest.raises(Exception, match="two paths"):
+        records.unique_paths(f.unionAll(spark.createDataFrame([("v", 2, "c")], f.schema))).collect()
+    assert [r[0] for r in spark.createDataFrame([("b",), ("A",), ("a",), (None,)], "n string").orderBy(*records.fold_order("n")).collect()] == [None, "A", "a", "b"]
