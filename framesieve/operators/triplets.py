@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..scratch import cut
 from .records import running_before
 
 
@@ -124,7 +125,7 @@ def chunks(records: DataFrame, size: int, *, video: str = "video_id", index: str
     if size <= 0:
         raise ValueError("chunk size must be positive")
     rows = records.withColumn("__block", block_of(F.col(index), block))
-    counts = rows.groupBy(video, "__block").agg(F.count("*").alias("__n"))
+    counts = cut(rows.groupBy(video, "__block").agg(F.count("*").alias("__n")), "block-counts")  # read twice, small
     before = F.sum("__n").over(W.partitionBy(video).orderBy("__block").rowsBetween(W.unboundedPreceding, -1))
     starts = counts.select(F.col(video).alias("__v"), F.col("__block").alias("__b"), F.coalesce(before, F.lit(0)).alias("__start"))
     per = counts.groupBy(video).agg(F.ceil(F.sum("__n") / size).alias("__k"))

@@ -347,7 +347,8 @@ def teach(spark: SparkSession, results: DataFrame, config: Config, seen: DataFra
     top = F.get("regions", F.col("primary_region_index"))
     alone = diagnosis.solvability(F.col("p_wrong"), F.col("teacher_p_wrong"))["p_solvable"]
     df = df.withColumns({"p_wrong": F.coalesce(top["p_wrong"], F.col("p_wrong")), "mining_p_wrong": F.coalesce(top["mining_p_wrong"], F.col("mining_p_wrong")), "p_solvable": F.coalesce(top["p_solvable"], alone), "diagnosis_reasons": F.filter("reasons", lambda r: r.isin(*diagnosis.LABELS))})
-    df = _decided(df.drop("decision"), config)
+    # written here, as the gates read each probability many times and the optimizer would repeat what makes them
+    df = _decided(cut(df.drop("decision"), "teacher-regions"), config)
     failed = F.col("teacher_failed").isNotNull()
     df = df.withColumns({"status": F.when(failed, "review").otherwise(F.col("status")), "reasons": F.when(failed, F.array_distinct(F.concat("reasons", F.array(F.lit("teacher_unavailable"))))).otherwise(F.col("reasons"))})
     columns = ["status", "validity_label", "in_scope_label", "valid", "in_scope", "p_wrong", "mining_p_wrong", "p_solvable", "reasons", "regions", "primary_region_index", "decision"]
