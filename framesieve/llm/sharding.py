@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import math
 import uuid
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -153,17 +153,18 @@ class ShardStore:
             raise CommitConflict(f"version {new.version} exists")
         return new
 
-    def _written(self, folder: str, version: int) -> DataFrame:
-        rows = [(f"{version:06d}-{i:06d}", path, size, tier_of(size, self.smallest, self.ratio)) for i, (path, size) in enumerate(self._files(folder, ".parquet"))]
-        return self.spark.createDataFrame(rows, _LIST)
+    def _written(self, folder: str, version: int) -> list[Shard]:
+        return [Shard(f"{version:06d}-{i:06d}", path, size, tier_of(size, self.smallest, self.ratio)) for i, (path, size) in enumerate(self._files(folder, ".parquet"))]
 
-    def _advance(self, base: Manifest | None, schema: str, small: DataFrame, added: DataFrame) -> Manifest:
+    def _listed(self, shards: list[Shard]) -> DataFrame:
+        return self.spark.createDataFrame([astuple(s) for s in shards], _LIST)
+
+    def _advance(self, base: Manifest | None, schema: str, small: DataFrame | None, added: list[Shard]) -> Manifest:
         """Commits ``added`` beside the full shards of ``base`` and the given small ones."""
-        done = F.col("bytes") * 2 >= self.target
-        full = base.full if base else ()
-        if not added.where(done).isEmpty():
-            full += self._write_list(added.where(done))
-        return self._commit(base, schema, full, self._write_list(small.unionAll(added.where(~done)).coalesce(1)))
+        full, rest = ([s for s in added if (2 * s.bytes >= self.target) == v] for v in (True, False))
+        listed = self._listed(rest) if small is None else small.unionAll(self._listed(rest))
+        kept = (base.full if base else ()) + (self._write_list(self._listed(full).coalesce(1)) if full else ())
+        return self._commit(base, schema, kept, self._write_list(listed.coalesce(1)))
 
     def append(self, arrival: DataFrame) -> Manifest:
         """Writes the arrival as it is partitioned, in files of at most ``arrival_rows`` rows, and commits them."""
@@ -173,9 +174,8 @@ class ShardStore:
         arrival.write.option("maxRecordsPerFile", self.arrival_rows).parquet(folder)
         added = self._written(folder, version)
         if self.spark.read.schema(arrival.schema).parquet(folder).isEmpty():
-            added = added.limit(0)  # a file without rows only carries the schema
-        small = self.shards(base, full=False) if base else added.limit(0)
-        return self._advance(base, arrival.schema.json(), small, added)
+            added = []  # a file without rows only carries the schema
+        return self._advance(base, arrival.schema.json(), self.shards(base, full=False) if base else None, added)
 
     def due(self, manifest: Manifest) -> list[list[Shard]]:
         """The groups that the next round of compaction merges; at most ``PLANNED`` small shards are looked at, smallest tiers first."""
