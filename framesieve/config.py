@@ -22,30 +22,36 @@ def _need(ok: bool, message: str) -> None:
         raise ConfigError(message)
 
 
+def _at(default, low: float | None = None, high: float | None = None):
+    """A key with its default and the range of its values."""
+    return field(default=default, metadata={"low": low, "high": high})
+
+
+def _share(default: float | None):
+    return _at(default, 0, 1)
+
+
+# The keys of the sections below, their defaults and ranges are the configuration format.
+
+
 @dataclass(frozen=True)
 class Data:
     root: str
     frame_regex: str | None = r"^(?P<video>.*?)(?P<frame>\d{5})\.(?P<ext>png|jpg|jpeg)$"
-    frame_digits: int | None = None
-    stride: int = 1
+    frame_digits: int | None = _at(None, 1)
+    stride: int = _at(1, 1)
     recursive: bool = True
     extensions: tuple[str, ...] = (".png", ".jpg", ".jpeg")
     excluded_dirs: tuple[str, ...] = ("extremely_hard_case", "extremely_hard_case_visualization", ".git")
 
-    def check(self) -> None:
-        _need(bool(self.root), "data.root must not be empty")
-        _need(self.stride >= 1, "data.stride must be at least 1")
-        _need((self.frame_regex is None) != (self.frame_digits is None), "give one of data.frame_regex and data.frame_digits")
-        _need(self.frame_digits is None or self.frame_digits >= 1, "data.frame_digits must be at least 1")
-
 
 @dataclass(frozen=True)
 class Model:
     factory: str
     checkpoint: str | None = None
-    input_height: int = 540
-    input_width: int = 960
-    batch_size: int = 1
+    input_height: int = _at(540, 1)
+    input_width: int = _at(960, 1)
+    batch_size: int = _at(1, 1)
     mask0_role: typing.Literal["warp0_weight", "warp1_weight"] = "warp0_weight"
     align_corners: bool = False
     padding_mode: typing.Literal["zeros", "border", "reflection"] = "border"
@@ -53,51 +59,49 @@ class Model:
     output_order: tuple[str, ...] = ("flow_t0", "flow_t1", "mask0", "mask1")
     factory_kwargs: dict = field(default_factory=dict)
 
-    def check(self) -> None:
-        _need(":" in self.factory or self.factory.strip().isidentifier(), "model.factory must be a short name or module:function")
-        _need(min(self.input_height, self.input_width, self.batch_size) >= 1, "model sizes must be positive")
-        _need(sorted(self.output_order) == ["flow_t0", "flow_t1", "mask0", "mask1"], "model.output_order must hold each output once")
+
+_GATES, _SCORING = GateThresholds, ScoringThresholds
 
 
 @dataclass(frozen=True)
 class Thresholds:
-    """Gates and scorer in one section; names are the configuration's own."""
-
-    reject_scene_cut: float = 0.62
-    reject_duplicate: float = 0.002
-    reject_out_of_bounds: float = 0.72
-    duplicate_review_at: float | None = None
-    scene_cut_review_at: float | None = None
-    temporal_asymmetry_review_at: float = 0.65
-    temporal_asymmetry_reject_at: float = 0.90
-    menu_transition_review_at: float = 0.40
-    menu_transition_reject_at: float = 0.70
-    out_of_bounds_review_at: float | None = None
-    occlusion_review_at: float = 0.40
-    occlusion_reject_at: float = 0.70
-    foreground_motion_review_at: float = 0.35
-    foreground_motion_reject_at: float = 0.65
-    flow_discontinuity_review_at: float = 0.30
-    flow_discontinuity_reject_at: float = 0.60
-    unexplained_motion_review_at: float = 0.35
-    unexplained_motion_reject_at: float = 0.70
-    wrong_reject_below: float = 0.20
-    wrong_accept_at: float = 0.45
-    solvable_reject_below: float = 0.30
-    solvable_accept_at: float = 0.55
-    edge_threshold: float = 0.12
-    candidate_quantile: float = 0.96
-    min_region_pixels: int = 9
-    max_regions: int = 8
-    ui_border_fraction: float = 0.20
-    ui_border_min_overlap: float = 0.50
-    ui_static_threshold: float = 0.08
-    ui_gt_edge_threshold: float = 0.12
-    ui_edge_density_target: float = 0.12
-    ui_priority_floor: float = 0.35
-    ui_likelihood_threshold: float = 0.55
-    non_ui_region_reserve: int = 1
-    missing_metrics_to_review: bool = True
+    """Gates and scorer in one section; defaults are those of the operators that use them."""
+
+    reject_scene_cut: float = _share(_GATES.scene_cut_reject_at)
+    reject_duplicate: float = _share(_GATES.duplicate_reject_at)
+    reject_out_of_bounds: float = _share(_GATES.out_of_bounds_reject_at)
+    duplicate_review_at: float | None = _share(None)
+    scene_cut_review_at: float | None = _share(None)
+    temporal_asymmetry_review_at: float = _share(_GATES.temporal_asymmetry_review_at)
+    temporal_asymmetry_reject_at: float = _share(_GATES.temporal_asymmetry_reject_at)
+    menu_transition_review_at: float = _share(_GATES.menu_transition_review_at)
+    menu_transition_reject_at: float = _share(_GATES.menu_transition_reject_at)
+    out_of_bounds_review_at: float | None = _share(None)
+    occlusion_review_at: float = _share(_GATES.occlusion_review_at)
+    occlusion_reject_at: float = _share(_GATES.occlusion_reject_at)
+    foreground_motion_review_at: float = _share(_GATES.foreground_motion_review_at)
+    foreground_motion_reject_at: float = _share(_GATES.foreground_motion_reject_at)
+    flow_discontinuity_review_at: float = _share(_GATES.flow_discontinuity_review_at)
+    flow_discontinuity_reject_at: float = _share(_GATES.flow_discontinuity_reject_at)
+    unexplained_motion_review_at: float = _share(_GATES.unexplained_motion_review_at)
+    unexplained_motion_reject_at: float = _share(_GATES.unexplained_motion_reject_at)
+    wrong_reject_below: float = _share(_GATES.wrong_reject_below)
+    wrong_accept_at: float = _share(_GATES.wrong_accept_at)
+    solvable_reject_below: float = _share(_GATES.solvable_review_below)
+    solvable_accept_at: float = _share(_GATES.solvable_accept_at)
+    edge_threshold: float = _share(_SCORING.edge_threshold)
+    candidate_quantile: float = _share(_SCORING.candidate_quantile)
+    min_region_pixels: int = _at(_SCORING.min_region_pixels, 1)
+    max_regions: int = _at(_SCORING.max_regions, 1)
+    ui_border_fraction: float = _share(_SCORING.ui_border)
+    ui_border_min_overlap: float = _share(_SCORING.ui_min_overlap)
+    ui_static_threshold: float = _share(_SCORING.ui_static)
+    ui_gt_edge_threshold: float = _share(_SCORING.ui_edge)
+    ui_edge_density_target: float = _share(_SCORING.ui_density)
+    ui_priority_floor: float = _share(_SCORING.ui_floor)
+    ui_likelihood_threshold: float = _share(_SCORING.ui_likelihood)
+    non_ui_region_reserve: int = _at(_SCORING.reserve, 0)
+    missing_metrics_to_review: bool = _GATES.missing_metrics_to_review
 
     def gates(self) -> GateThresholds:
         return GateThresholds.of(asdict(self))
@@ -105,44 +109,26 @@ class Thresholds:
     def scoring(self) -> ScoringThresholds:
         return ScoringThresholds(self.edge_threshold, self.candidate_quantile, self.min_region_pixels, self.max_regions, ui_border=self.ui_border_fraction, ui_min_overlap=self.ui_border_min_overlap, ui_static=self.ui_static_threshold, ui_edge=self.ui_gt_edge_threshold, ui_density=self.ui_edge_density_target, ui_floor=self.ui_priority_floor, ui_likelihood=self.ui_likelihood_threshold, reserve=self.non_ui_region_reserve)
 
-    def check(self) -> None:
-        for f in fields(self):
-            value = getattr(self, f.name)
-            if isinstance(value, float):
-                _need(0 <= value <= 1, f"thresholds.{f.name} must lie in [0, 1]")
-        g = self.gates()
-        _need(g.duplicate_reject_at <= g.duplicate_review_at, "the duplicate reject threshold must not exceed its review threshold")
-        for name in ("scene_cut", "temporal_asymmetry", "menu_transition", "out_of_bounds", "occlusion", "foreground_motion", "flow_discontinuity", "unexplained_motion"):
-            _need(getattr(g, f"{name}_review_at") <= getattr(g, f"{name}_reject_at"), f"{name}: review threshold must not exceed reject threshold")
-        _need(g.wrong_reject_below <= g.wrong_accept_at and g.solvable_review_below <= g.solvable_accept_at, "accept thresholds must not lie below reject thresholds")
-        _need(self.min_region_pixels >= 1 and self.max_regions >= 1, "region limits must be positive")
-        _need(0 <= self.non_ui_region_reserve <= self.max_regions, "thresholds.non_ui_region_reserve must lie in [0, max_regions]")
-
 
 @dataclass(frozen=True)
 class Runtime:
+    """Of these, chunk_triplets, precision and run_dir steer this engine; the others are Spark's to decide and are kept."""
+
     backend: typing.Literal["cpu", "cuda", "npu"] = "cpu"
     devices: tuple[int, ...] = (0,)
-    workers: int = 1
-    chunk_triplets: int = 256
-    prefetch: int = 2
-    decode_cache_mb: int = 512
-    cpu_threads_per_worker: int = 1
-    postproc_workers: int = 0
-    warmup_batches: int = 1
-    lease_seconds: int = 1800
+    workers: int = _at(1, 1)
+    chunk_triplets: int = _at(256, 1)
+    prefetch: int = _at(2, 1)
+    decode_cache_mb: int = _at(512, 16)
+    cpu_threads_per_worker: int = _at(1, 1)
+    postproc_workers: int = _at(0, 0)
+    warmup_batches: int = _at(1, 0)
+    lease_seconds: int = _at(1800, 30)
     precision: typing.Literal["float32", "float16", "bfloat16"] = "float32"
     reconstruction: typing.Literal["auto", "device", "cpu"] = "auto"
     state_db: str = "runs/state.sqlite3"
     run_dir: str = "runs/default"
 
-    def check(self) -> None:
-        least = {"workers": 1, "chunk_triplets": 1, "prefetch": 1, "decode_cache_mb": 16, "cpu_threads_per_worker": 1, "postproc_workers": 0, "warmup_batches": 0, "lease_seconds": 30}
-        for name, low in least.items():
-            _need(getattr(self, name) >= low, f"runtime.{name} must be at least {low}")
-        _need(len(self.devices) > 0, "runtime.devices must not be empty")
-        _need(self.backend == "cpu" or self.workers <= len(self.devices), "more workers than devices")
-
 
 @dataclass(frozen=True)
 class Output:
@@ -152,12 +138,7 @@ class Output:
     link_mode: typing.Literal["hardlink_then_copy", "copy"] = "hardlink_then_copy"
     layout: typing.Literal["segment_relative", "preserve_relative", "flat"] = "segment_relative"
     save_review: bool = False
-    visualization_width: int = 320
-
-    def check(self) -> None:
-        for value in (self.hard_case_dir, self.visualization_dir, self.manifest_name):
-            _need(bool(value) and not Path(value).is_absolute() and ".." not in Path(value).parts, "output paths must be relative and stay inside")
-        _need(self.visualization_width >= 64, "output.visualization_width must be at least 64")
+    visualization_width: int = _at(320, 64)
 
 
 @dataclass(frozen=True)
@@ -170,9 +151,13 @@ class Config:
     output: Output = field(default_factory=Output)
 
     def check(self) -> None:
-        for f in fields(self):
-            if (part := getattr(self, f.name)) is not None:
-                part.check()
+        """Ranges of all keys first, then what keys ask of each other."""
+        for part in fields(self):
+            section = getattr(self, part.name)
+            for f in fields(section) if section is not None else ():
+                _in_range(f"{part.name}.{f.name}", getattr(section, f.name), f.metadata)
+        for ask, fits in _asked(self):
+            _need(fits, ask)
 
     def canonical_json(self) -> str:
         return json.dumps(asdict(self), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
@@ -182,6 +167,34 @@ class Config:
         return hashlib.sha256(self.canonical_json().encode()).hexdigest()[:16]
 
 
+def _in_range(path: str, value, limits) -> None:
+    for name, breaks in (("low", lambda v, limit: v < limit), ("high", lambda v, limit: v > limit)):
+        limit = limits.get(name)
+        _need(value is None or limit is None or not breaks(value, limit), f"{path} is {value}, beyond its {name} end {limit}")
+
+
+def _asked(c: Config):
+    """(what is asked, whether it holds) for all rules over more than one number."""
+    t, r = c.thresholds, c.runtime
+    gates = t.gates()
+    for name, model in (("model", c.model), ("teacher", c.teacher)):
+        if model is not None:
+            yield f"{name}.factory: a short name, or module and function with a colon between", ":" in model.factory or model.factory.strip().isidentifier()
+            yield f"{name}.output_order: the four outputs, each once", set(model.output_order) == set(Model.output_order) and len(model.output_order) == 4
+    yield "data.root: a folder", bool(c.data.root)
+    yield "data: a frame_regex or frame_digits, not both", [c.data.frame_regex, c.data.frame_digits].count(None) == 1
+    yield "thresholds: duplicates are rejected at or below where they are reviewed", gates.duplicate_reject_at <= gates.duplicate_review_at
+    for name in (f.name.removesuffix("_reject_at") for f in fields(gates) if f.name.endswith("_reject_at") and not f.name.startswith("duplicate")):
+        yield f"thresholds: {name} is reviewed at or below where it is rejected", getattr(gates, f"{name}_review_at") <= getattr(gates, f"{name}_reject_at")
+    for low, high in (("wrong_reject_below", "wrong_accept_at"), ("solvable_review_below", "solvable_accept_at")):
+        yield f"thresholds: {low} up to {high}", getattr(gates, low) <= getattr(gates, high)
+    yield "thresholds: non_ui_region_reserve within max_regions", t.non_ui_region_reserve <= t.max_regions
+    yield "runtime.devices: one at least", bool(r.devices)
+    yield "runtime: a device for each worker", r.backend == "cpu" or r.workers <= len(r.devices)
+    for path in (c.output.hard_case_dir, c.output.visualization_dir, c.output.manifest_name):
+        yield f"output: {path!r} stays below the root", bool(path) and not Path(path).is_absolute() and ".." not in Path(path).parts
+
+
 def _build(kind, value, path: str):
     """``value`` as the annotated type; raises ConfigError with the path where it doesn't fit."""
     origin, args = typing.get_origin(kind), typing.get_args(kind)

@@ -149,7 +149,11 @@ def window_starts(n: int, size: int) -> list[int]:
 
 
 def window_means(a: Column, height: int, width: int, window: int) -> Column:
-    """array<struct<y, x, mean>> over the window grid, from an integral image: four lookups per window."""
+    """array<struct<y, x, mean>> over the window grid, from an integral image: four lookups per window.
+
+    Prefix sums are arrays that grow by one, which costs the square of a side: meant for small maps and for comparison. The
+    mining plan takes ``kernels.window_grid``.
+    """
     sy, sx = min(window, height), min(window, width)
     # running sums along rows, then down columns
     rows = F.transform(F.sequence(F.lit(0), F.lit(height - 1)), lambda y: F.slice(a, y * width + 1, width))
@@ -166,17 +170,22 @@ def window_means(a: Column, height: int, width: int, window: int) -> Column:
 
 
 def edge_endpoints(a: Column, height: int, width: int, threshold: float) -> Column:
-    """Number of pixels at or above a threshold with at most one such pixel among their eight neighbours."""
+    """Number of pixels at or above a threshold with at most one such pixel among their eight neighbours.
+
+    Each pixel looks at its eight neighbours: linear in the pixels.
+    """
 
-    def lone(on: Column) -> Column:
-        def ends(i: Column) -> Column:
-            y, x = F.floor(i / width).cast("int"), (i % width).cast("int")
-            near = F.filter(on, lambda j: (j != i) & (F.abs(F.floor(j / width) - y) <= 1) & (F.abs(j % width - x) <= 1))
-            return F.size(near) <= 1
+    def counted(on: Column) -> Column:
+        def near(i: Column) -> Column:
+            x = i % width
+            steps = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if (dy, dx) != (0, 0)]
+            inside = {-1: x > 0, 0: F.lit(True), 1: x < width - 1}
+            # above and below the image there is nothing to get
+            return sum((F.coalesce(F.get(on, F.greatest(i + dy * width + dx, F.lit(-1))) & (i + dy * width + dx >= 0) & inside[dx], F.lit(False)).cast("int") for dy, dx in steps), F.lit(0))
 
-        return F.size(F.filter(on, ends))
+        return F.size(F.filter(F.sequence(F.lit(0), F.lit(height * width - 1)), lambda i: F.get(on, i) & (near(i) <= 1)))
 
-    return let(F.filter(F.sequence(F.lit(0), F.lit(height * width - 1)), lambda i: F.get(a, i) >= threshold), lone)
+    return let(F.transform(a, lambda v: v >= threshold), counted)
 
 
 def border_overlap(x0: Column, y0: Column, x1: Column, y1: Column, height: int, width: int, fraction: float) -> Column:

@@ -31,19 +31,25 @@ def arriving_frames(spark: SparkSession, root: str, *, digits: int | None = 5, p
     return files.withColumn("p", parsed).where("p IS NOT NULL").select(video_id(parent, F.col("p.video_key")).alias("video_id"), F.col("p.frame_index").cast("long").alias("frame_index"), "relative_path", "modified")
 
 
-def completed_triplets(frames: DataFrame, *, stride: int = 1) -> DataFrame:
+def completed_triplets(frames: DataFrame, *, stride: int = 1, late: int | None = None) -> DataFrame:
     """(video_id, img0_index, gt_index, img1_index), once each, when the last of three frames is there in any order.
 
-    The state of a video is the set of its frame indices: a few bytes per frame file.
+    The state of a video is the set of its frame indices: a few bytes per frame file. With ``late``, indices further than
+    that below the video's newest are forgotten, so its state has a bound; frames that come later than that make no triplet.
     """
+    if late is not None and late < 2 * stride:
+        raise ValueError("late must reach over a triplet")
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         seen = set(state.get[0]) if state.exists else set()
         fresh = {int(i) for b in batches for i in b["frame_index"]} - seen
+        # what is too late, by what was seen before, counts as never come
+        oldest = max(seen) - late if late is not None and seen else None
+        fresh = {i for i in fresh if oldest is None or i >= oldest}
         both = seen | fresh
         starts = {i - j * stride for i in fresh for j in range(3)}
         found = sorted(s for s in starts if {s, s + stride, s + 2 * stride} <= both)
-        state.update((sorted(both),))
+        state.update((sorted(i for i in both if late is None or i >= max(both) - late),))
         yield pd.DataFrame({"video_id": [key[0]] * len(found), "img0_index": found, "gt_index": [s + stride for s in found], "img1_index": [s + 2 * stride for s in found]})
 
     out = "video_id string, img0_index long, gt_index long, img1_index long"

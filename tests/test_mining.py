@@ -217,9 +217,11 @@ def test_config_is_strict(tmp_path):
     base = {"data": {"root": "/x"}, "model": {"factory": "mock"}}
     assert config.parse(base).run_hash() == config.parse(json.loads(json.dumps(base))).run_hash()
     for broken, text in (
-        ({"bogus": 1}, "unknown keys"), ({"data": {"root": "/x", "frame_digits": 5}}, "one of"), ({"model": {}}, "incomplete"),
-        ({"thresholds": {"scene_cut_review_at": 0.9}}, "scene_cut"), ({"runtime": {"lease_seconds": 5}}, "lease"), ({"output": {"hard_case_dir": "../x"}}, "relative"),
+        ({"bogus": 1}, "unknown keys"), ({"data": {"root": "/x", "frame_digits": 5}}, "not both"), ({"model": {}}, "incomplete"),
+        ({"thresholds": {"scene_cut_review_at": 0.9}}, "scene_cut"), ({"runtime": {"lease_seconds": 5}}, "lease"), ({"output": {"hard_case_dir": "../x"}}, "below the root"),
         ({"model": {"factory": "a b"}}, "factory"), ({"runtime": {"backend": "tpu"}}, "one of"), ({"data": []}, "object"),
+        ({"data": {"root": "/x", "stride": 0}}, "data.stride"), ({"thresholds": {"wrong_accept_at": 1.5}}, "wrong_accept_at"), ({"thresholds": {"wrong_reject_below": 0.9}}, "wrong_accept_at"),
+        ({"thresholds": {"max_regions": 1, "non_ui_region_reserve": 2}}, "max_regions"), ({"runtime": {"backend": "cuda", "workers": 2}}, "device"), ({"model": {"factory": "mock", "output_order": ["mask0"] * 4}}, "each once"),
     ):
         with pytest.raises(config.ConfigError, match=text):
             config.parse(base | broken)

@@ -20,3 +20,18 @@ def test_arriving_frames_complete_triplets_once(spark, tmp_path):
         query.stop()
     want = sorted(map(tuple, triplets(scan_frames(spark, str(root), digits=5)).collect()))
     assert got == want and len(got) == 5 and n == 3
+
+
+def test_late_frames_are_forgotten(spark, tmp_path):
+    root = tmp_path / "in"
+    (root / "v").mkdir(parents=True)
+    query = completed_triplets(arriving_frames(spark, str(root)), late=4).writeStream.format("memory").queryName("late").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).start()
+    try:
+        for batch in ((1, 2, 10), (3, 8), (9,)):  # 3 comes later than four below the newest
+            for i in batch:
+                (root / "v" / f"01{i:05d}.png").write_bytes(b"x")
+            query.processAllAvailable()
+        got = [tuple(r) for r in spark.sql("SELECT * FROM late").collect()]
+    finally:
+        query.stop()
+    assert got == [("v::01", 8, 9, 10)]
