@@ -83,6 +83,12 @@ def robust_score(a: Column) -> Column:
     return F.when(F.size(a) > 0, clip(let(F.array_sort(a), score))).otherwise(0.0)
 
 
+def merged_metrics(metrics: Column, local: Column, prefix: str = "local_") -> Column:
+    """Two maps as one, the second's names with a prefix; of equal names the second's value stays."""
+    named = F.transform_keys(local, lambda k, v: F.concat(F.lit(prefix), k))
+    return F.map_concat(F.map_filter(metrics, lambda k, v: ~F.array_contains(F.map_keys(named), k)), named)
+
+
 def histogram(a: Column, bins: int = 64) -> Column:
     """Counts of ``bins`` equal bins over [0, 1], 1 in the last."""
     place = F.transform(a, lambda v: F.least(F.floor(v * bins), F.lit(bins - 1)))

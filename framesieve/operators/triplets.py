@@ -107,6 +107,11 @@ def triplets(frames: DataFrame, *, stride: int = 1, video: str = "video_id", ind
     return found.select(video, F.col(index).alias("img0_index"), (F.col(index) + stride).alias("gt_index"), (F.col(index) + 2 * stride).alias("img1_index"))
 
 
+def contiguous(indices: Column, stride: Column) -> Column:
+    """Whether three indices are a stride apart each."""
+    return (F.size(indices) == 3) & (indices[1] - indices[0] == stride) & (indices[2] - indices[1] == stride)
+
+
 def sample_id(video: Column, stride: int, frames: list[tuple[Column, Column]]) -> Column:
     """SHA-256 of the canonical JSON of (frames, stride, version, video): the same for any root folder.
 

@@ -123,11 +123,11 @@ def changed_frames(index: DataFrame, frames: DataFrame) -> DataFrame:
 # --- frames in order
 
 def _rgb(row) -> np.ndarray | None:
+    """The decoded image of a row (channels blue first), or None."""
     if row.bgr is None or row.height <= 0:
         return None
     a = np.frombuffer(row.bgr, np.uint8).reshape(row.height, row.width, row.nChannels)
-    a = np.repeat(a, 3, axis=-1) if row.nChannels == 1 else a[..., 2::-1]
-    return a.astype(np.float32) / 255
+    return kernels.as_rgb(a if row.nChannels == 1 else a[..., 2::-1])
 
 
 def run_triplets(spark: SparkSession, index: DataFrame, work: Callable, columns: str, config: Config, *, batch: int = 1, block: int = 64, payload: str | None = None) -> DataFrame:
@@ -290,8 +290,10 @@ def diagnosed(raw: DataFrame, edge: float) -> DataFrame:
 def mine(spark: SparkSession, index: DataFrame, config: Config) -> DataFrame:
     """The main stage: a result per triplet of the index."""
     raw = run_triplets(spark, index, partial(_measure, config), MAIN, config, batch=config.model.batch_size)
-    found = _decided(diagnosed(raw, config.thresholds.edge_threshold), config).drop("measured", "diagnosis_reasons", "validity_gate", "scope_gate")
-    return index.join(found, "sample_id")
+    met = index.join(raw, "sample_id")
+    steady = tr.contiguous(F.col("frame_indices"), F.col("stride"))
+    met = met.withColumn("validity", F.col("validity").withField("sequence_contiguous", steady))
+    return _decided(diagnosed(met, config.thresholds.edge_threshold), config).drop("measured", "diagnosis_reasons", "validity_gate", "scope_gate")
 
 
 # --- teacher stage

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import parse
+from ..functions import maps
 from ..operators import gates, ledger, records
 from ..operators import triplets as tr
 from ..operators.scoring import mapped
@@ -14,7 +16,7 @@ from ..scratch import scratch
 from ..sources import frames as files
 from ..sources import sinks
 from . import mining
-from .encodings import FR, frames, luma_maps, statuses, table
+from .encodings import FR, PX, frames, luma_maps, statuses, table
 from .frame_queries import _CLASSIFIED, _HARD_SEG, _JSON, _SEG, _decisions, _segments, _with_ids
 
 
@@ -192,6 +194,22 @@ def model_names(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(n,) for n in mining.model_names()], "name string")
 
 
+def contiguous_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every three frames that follow each other in a video, and whether they are a stride apart."""
+    w = W.partitionBy("video_id").orderBy("frame_index")
+    three = F.array("frame_index", F.lead("frame_index").over(w), F.lead("frame_index", 2).over(w))
+    found = frames(spark, sf).withColumn("three", three).where("three[2] IS NOT NULL")
+    return found.select("video_id", "frame_index", tr.contiguous(F.col("three"), F.lit(1)).alias("contiguous"))
+
+
+def metric_maps(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics and local metrics of every map as one map."""
+    s = maps.summary(F.col("luma"))
+    whole = F.create_map(F.lit("mean"), s["mean"], F.lit("local_max"), F.lit(0.0))
+    local = F.create_map(F.lit("mean"), s["q95"], F.lit("max"), s["max"])
+    return luma_maps(spark, sf).select("vec_id", F.explode(maps.merged_metrics(whole, local)).alias("name", "v")).select("vec_id", "name", F.round("v", 6).alias("value"))
+
+
 _SHA = "substr(sha256('0123456789abcdef' || chr(0) || '.::v' || {0}.video_id || chr(0) || {0}.seg_start || chr(0) || {0}.seg_end), 1, 20)"
 _FOLDER = "'v' || {0}.video_id || '/segment_' || printf('%08d', {0}.seg_start) || '_' || printf('%08d', {0}.seg_end) || '_' || substr(" + _SHA + ", 1, 8)"
 _FILE = "(SELECT vec_id, 'v' || (vec_id % 10) AS dir, CAST(vec_id // 10 AS INTEGER) AS f FROM embeddings)"
@@ -220,5 +238,7 @@ QUERIES = {
     "frame_scan": (frame_scan, f"SELECT dir || '::clip' AS video_id, f AS frame_index, dir || '/clip' || printf('%05d', f) || '.png' AS relative_path FROM {_FILE}"),
     "image_luma": (image_luma, "SELECT 'v' || (vec_id % 10) || '::clip' AS video_id, CAST(vec_id // 10 AS INTEGER) AS frame_index, CAST(sum(round_even(least(greatest((CAST(e AS DOUBLE) + 1) / 2, 0.0::DOUBLE), 1.0::DOUBLE) * 255, 0)) AS INTEGER) AS total FROM (SELECT vec_id, unnest(embedding) AS e FROM embeddings) GROUP BY vec_id"),
     "image_index": (image_index, f"SELECT sha256({_FILE_JSON}) AS sample_id, a.dir || '::clip' AS video_id, a.f || ',' || (a.f + 1) || ',' || (a.f + 2) AS indices FROM {_FILE} a JOIN {_FILE} b ON a.dir = b.dir AND b.f = a.f + 1 JOIN {_FILE} c ON a.dir = c.dir AND c.f = a.f + 2"),
+    "contiguous_windows": (contiguous_windows, f"WITH {FR}, w AS (SELECT video_id, frame_index, lead(frame_index) OVER o AS b, lead(frame_index, 2) OVER o AS c FROM fr WINDOW o AS (PARTITION BY video_id ORDER BY frame_index)) SELECT video_id, frame_index, b = frame_index + 1 AND c = b + 1 AS contiguous FROM w WHERE c IS NOT NULL"),
+    "metric_maps": (metric_maps, f"WITH {PX}, s AS (SELECT vec_id, avg(l) AS a, quantile_cont(l, 0.95::DOUBLE) AS b, max(l) AS c FROM px GROUP BY vec_id) SELECT vec_id, unnest(['mean', 'local_mean', 'local_max']) AS name, round(unnest([a, b, c]), 6) AS value FROM s"),
     "model_names": (model_names, "SELECT 'mock' AS name"),
 }

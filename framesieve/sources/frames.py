@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,20 +34,33 @@ def relative_path(path: Column, root: str) -> Column:
 def excluded(relative: Column, names: tuple[str, ...], hidden: bool = True) -> Column:
     """Whether a folder on the way has an excluded name, lies below an excluded path of the root, or starts with a dot."""
     folders = F.slice(F.split(relative, "/"), 1, F.greatest(F.size(F.split(relative, "/")) - 1, F.lit(0)))
-    single = [n for n in names if "/" not in n.strip("/")]
+    single = [n for n in names if "/" not in n]
     out = F.exists(folders, lambda d: d.isin(*single)) if single else F.lit(False)
     for n in names:
-        if "/" in n.strip("/"):
+        if "/" in n:
             out = out | F.startswith(relative, F.lit(n.strip("/") + "/"))
     return out | F.exists(folders, lambda d: F.startswith(d, F.lit("."))) if hidden else out
 
 
+def below_root(names: tuple[str, ...], root: str) -> tuple[str, ...]:
+    """Excluded names and paths as names and paths below the root: absolute paths lose it, those outside it are dropped."""
+    plain = lambda p: "/" + re.sub(r"^[a-z][a-z0-9+.-]*:(//)?(?=/)", "", p).strip("/")
+    base = plain(root)
+    kept = []
+    for name in names:
+        if not plain(name).startswith(base + "/") and not name.startswith("/") and "://" not in name:
+            kept.append(name)
+        elif plain(name).startswith(base + "/"):
+            kept.append(plain(name)[len(base) + 1 :] + "/")
+    return tuple(kept)
+
+
 def named_frames(files: DataFrame, root: str, *, pattern: str | None = None, digits: int | None = None, allowed: tuple[str, ...] = EXTENSIONS, exclude: tuple[str, ...] = (), hidden: bool = True) -> DataFrame:
     """The rows of ``files`` whose ``path`` parses as a frame below the root, with video_id, frame_index and relative_path."""
     files = files.withColumn("relative_path", relative_path(F.col("path"), root))
     name = F.substring_index("relative_path", "/", -1)
     extension = F.lower(F.regexp_extract(name, r"(\.[^.]*)$", 1))
-    files = files.where(extension.isin(*extensions(allowed)) & ~excluded(F.col("relative_path"), (*OUTPUT_DIRS, *exclude), hidden))
+    files = files.where(extension.isin(*extensions(allowed)) & ~excluded(F.col("relative_path"), (*OUTPUT_DIRS, *below_root(exclude, root)), hidden))
     parsed = parse_frame_name(name, pattern=pattern, digits=digits)
     parent = F.when(F.instr("relative_path", "/") > 0, F.regexp_replace("relative_path", "/[^/]*$", "")).otherwise(".")
     files = files.withColumn("__parsed", parsed).where("__parsed IS NOT NULL")
@@ -56,7 +71,7 @@ def pruned_roots(spark: SparkSession, root: str, exclude: tuple[str, ...] = (),
     """What to list of a root: its entries without the excluded folders right below it, which are never listed."""
     fs, hadoop = filesystem(spark, root)
     entries = [(x.getPath().getName(), x.isDirectory(), x.getPath().toString()) for x in fs.listStatus(hadoop)]
-    dropped = {n.strip("/") for n in (*OUTPUT_DIRS, *exclude)}
+    dropped = {n.strip("/") for n in (*OUTPUT_DIRS, *below_root(exclude, root))}
     out = lambda name, folder: folder and (name in dropped or hidden and name.startswith("."))
     if not any(out(name, folder) for name, folder, _ in entries):
         return [root]

@@ -128,6 +128,28 @@ def test_scan_groups_prunes_and_parses(spark, tmp_path):
     assert {r["relative_path"] for r in got if r["video_id"] == "a::02"} == {"a/0200001.jpeg"}
 
 
+def test_scan_leaves_out_absolute_and_nested_paths(spark, tmp_path):
+    for n in ("a/x/0100001.png", "a/y/0100002.png", "b/0100003.png", "c/0100004.png", "_d/0100005.png"):
+        (tmp_path / n).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / n).write_bytes(b"x")
+    left = lambda *out: {r["frame_index"] for r in frames.scan_frames(spark, str(tmp_path), digits=5, exclude=out).collect()}
+    assert left() == {1, 2, 3, 4, 5} or left() == {1, 2, 3, 4}
+    assert left(str(tmp_path / "b")) & {1, 2, 3, 4} == {1, 2, 4}
+    assert left(f"file://{tmp_path}/a/x", "c") & {1, 2, 3, 4} == {2, 3} and left("a/y", "/elsewhere/b") & {1, 2, 3, 4} == {1, 3, 4}
+
+
+def test_images_are_normalised():
+    grey = np.linspace(0, 1, 10).reshape(2, 5)
+    want = np.repeat(grey[..., None], 3, axis=-1).astype(np.float32)
+    rgba = np.concatenate([want, np.zeros((2, 5, 1))], axis=-1)
+    for image in (grey, grey[..., None], want, rgba, np.moveaxis(rgba, -1, 0), want[None]):
+        assert np.allclose(mining.kernels.as_rgb(image), want)
+    assert mining.kernels.as_rgb(np.full((2, 2), 255, np.uint8)).max() == 1 and mining.kernels.as_rgb(grey * 1.00005).max() == 1
+    for bad in (grey + 0.1, grey * np.nan, np.zeros((2, 2, 2, 3)), np.zeros((5, 6, 7)), np.zeros((0, 3, 3))):
+        with pytest.raises(ValueError):
+            mining.kernels.as_rgb(bad)
+
+
 def test_scan_fails_at_a_repeated_frame(spark, tmp_path):
     for n in ("0100001.png", "0100001.jpg"):
         (tmp_path / n).write_bytes(b"x")
