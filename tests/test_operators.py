@@ -460,3 +460,82 @@ def test_runs_and_paths_are_checked(spark):
     with pytest.raises(Exception, match="two paths"):
         records.unique_paths(f.unionAll(spark.createDataFrame([("v", 2, "c")], f.schema))).collect()
     assert [r[0] for r in spark.createDataFrame([("b",), ("A",), ("a",), (None,)], "n string").orderBy(*records.fold_order("n")).collect()] == [None, "A", "a", "b"]
+
+
+# --- the scorer against plain loops
+
+
+def plain_score(truth, prediction):
+    """(p_wrong, regions) of two 8x8 grey maps, by the definitions."""
+    n = 8
+    at = lambda m, y, x: m[min(max(y, 0), n - 1)][min(max(x, 0), n - 1)]
+
+    def edges(m):
+        out = [[0.0] * n for _ in range(n)]
+        for y in range(n):
+            for x in range(n):
+                gx = sum(w * (at(m, y + d, x + 1) - at(m, y + d, x - 1)) for d, w in ((-1, 1), (0, 2), (1, 1)))
+                gy = sum(w * (at(m, y + 1, x + d) - at(m, y - 1, x + d)) for d, w in ((-1, 1), (0, 2), (1, 1)))
+                out[y][x] = min((gx * gx + gy * gy) ** 0.5 / 4, 1.0)
+        return out
+
+    def quantile(values, q):
+        v = sorted(values)
+        place = q * (len(v) - 1)
+        low = int(place)
+        return v[low] + (place - low) * (v[min(low + 1, len(v) - 1)] - v[low])
+
+    def robust(values):
+        v = sorted(values, reverse=True)
+        top = lambda f: sum(v[: max(1, math.ceil(len(v) * f))]) / max(1, math.ceil(len(v) * f))
+        return min(max(sum(v) / len(v), 0.9 * top(0.1), 0.95 * top(0.01), 0.85 * v[0]), 1.0)
+
+    et, ep = edges(truth), edges(prediction)
+    gap = [[abs(truth[y][x] - prediction[y][x]) for x in range(n)] for y in range(n)]
+    structure = [[max(gap[y][x], min(1.25 * abs(et[y][x] - ep[y][x]), 1.0)) for x in range(n)] for y in range(n)]
+    flat = [v for row in structure for v in row]
+    bar = max(0.12, quantile(flat, 0.96))
+    inner = max(0.12, quantile([structure[y][x] for y in range(2, 6) for x in range(2, 6)], 0.96))
+    on = {(y, x) for y in range(n) for x in range(n) if structure[y][x] >= bar or (2 <= y < 6 and 2 <= x < 6 and structure[y][x] >= inner)}
+    found = []
+    while on:
+        part, stack = set(), [on.pop()]
+        while stack:
+            y, x = stack.pop()
+            part.add((y, x))
+            near = {(y + j, x + i) for j in (-1, 0, 1) for i in (-1, 0, 1)} & on
+            on -= near
+            stack += near
+        ys, xs = [p[0] for p in part], [p[1] for p in part]
+        backed = sum(gap[y][x] >= 0.12 for y in range(min(ys), max(ys) + 1) for x in range(min(xs), max(xs) + 1))
+        small = len(part) >= 2 and max(structure[y][x] for y, x in part) >= 0.5
+        if backed >= 2 and (len(part) >= 9 or small):
+            found.append((True, (max(0, min(xs) - 2), max(0, min(ys) - 2), min(n, max(xs) + 3), min(n, max(ys) + 3))))
+    if sum(flat) / 64 >= 0.10:
+        found.append((False, (0, 0, n, n)))
+    scored = [(native, robust([structure[y][x] for y in range(b[1], b[3]) for x in range(b[0], b[2])]), b) for native, b in found]
+    kept = []
+    for native, score, b in sorted(scored, key=lambda r: (not r[0], -r[1], r[2][1], r[2][0], r[2][3], r[2][2])):
+        area = lambda r: (r[2] - r[0]) * (r[3] - r[1])
+        both = [max(0, min(b[2], k[2]) - max(b[0], k[0])) * max(0, min(b[3], k[3]) - max(b[1], k[1])) for _, k in kept]
+        if len(kept) < 8 and all(2 * i < area(b) + area(k) - i and i < 0.85 * min(area(b), area(k)) for i, (_, k) in zip(both, kept, strict=True)):
+            kept.append((score, b))
+    raw = max((s for s, _ in kept), default=0.0)
+    wrong = max(max(flat), raw) if raw > 0 else max(quantile(flat, 0.99), sum(flat) / 64)
+    return min(max(wrong, 0.0), 1.0), len(kept)
+
+
+def test_score_samples_equals_plain_loops(spark):
+    from framesieve.plans import map_queries
+
+    sf = "/root/testdata/sf0.01"
+    maps = {r["vec_id"]: np.asarray(r["luma"]).reshape(8, 8).tolist() for r in map_queries.luma_maps(spark, sf).collect()}
+    got = map_queries.score_samples(spark, sf).collect()
+    assert len(got) == len(maps) // 2
+    counts = set()
+    for r in got:
+        wrong, regions = plain_score(maps[2 * r["pair"]], maps[2 * r["pair"] + 1])
+        counts.add(regions)
+        assert (r["p_wrong"], r["n_regions"]) == (pytest.approx(wrong, abs=2e-6), regions), r["pair"]
+        assert r["mining_p_wrong"] == pytest.approx(wrong, abs=2e-6)
+    assert len(counts) > 1
