@@ -58,7 +58,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, repeat
 def weighted_fair_mix(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS, share: float = 1.5, repeat: int = 2, seed: int = 7, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: id, size, source, source_size, target, taken, copies, finish_time.
 
-    Each source's documents queue in a hashed order, ``repeat`` rounds of them. A document's virtual finish time in round
+    Each source's documents queue in the order of an MD5 of seed, id and source, ``repeat`` rounds of them. A document's virtual finish time in round
     r is (words of earlier rounds + running words of its source) / target. The queue of all sources is sorted by finish
     time in ranges and cut where the running total first passes the total budget; documents that would finish at twice
     their target or later are not in the queue. ``taken`` is size times the rounds before the cut.
@@ -73,12 +73,12 @@ def weighted_fair_mix(docs: DataFrame, *, id_column: str = "doc_id", text: str =
     spark = docs.sparkSession
     extra = [F.col(c).alias(f"__carry_{i}") for i, c in enumerate(carry)]
     sized = docs.select(F.col(id_column).alias("id"), F.col(source).cast("string").alias("source"), n_words(F.col(text)).alias("size"), *extra)
-    sized = cut(sized.withColumn("h", F.xxhash64(F.lit(seed), F.col("id").cast("string"), F.col("source"))), "mix-sizes")
+    sized = cut(sized.withColumn("h", F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col("id").cast("string"), F.col("source"))), 1, 15), 16, 10).cast("long")), "mix-sizes")
     targets = cut(source_targets(sized.select("source", "size"), weights, share, repeat), "mix-targets")
     top = targets.agg(F.sum("n_docs"), F.sum("target")).first()
     n, budget = int(top[0] or 0), float(top[1] or 0.0)
     bits = min(20, max(10, math.ceil(math.log2(max(2, n)) / 2)))  # about as many ranges as rows in one
-    sized = sized.withColumn("b", F.shiftright("h", 64 - bits))
+    sized = sized.withColumn("b", F.shiftright("h", 60 - bits))
     before = W.partitionBy("source").orderBy("b").rowsBetween(W.unboundedPreceding, -1)
     sums = sized.groupBy("source", "b").agg(F.sum("size").alias("words"))
     sums = sums.select("source", "b", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("earlier"))

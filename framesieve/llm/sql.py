@@ -1,5 +1,22 @@
 """DuckDB counterparts of the corpus queries that SQL can express."""
 
+OP6 = "SELECT doc_id, n_chars, sha256(text) AS text_sha256, true AS sharded FROM documents"
+
+OP7 = r"""
+WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size, CAST('0x' || substr(md5(concat_ws(':', '7', CAST(doc_id AS VARCHAR), source)), 1, 15) AS BIGINT) AS h FROM documents),
+per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, CAST(([3, 1, 2])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS weight, 2.0::DOUBLE * source_size AS cap FROM per),
+o AS (SELECT *, 1.5::DOUBLE * sum(source_size) OVER () AS total, coalesce(sum(cap) OVER before, 0) AS capped, row_number() OVER (ORDER BY cap / weight, source NULLS LAST) AS nth, sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS rest FROM w
+      WINDOW before AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT arg_min((total - capped) / rest, nth) FILTER (cap >= weight * ((total - capped) / rest)) AS level FROM o),
+t AS (SELECT source, source_size, least(cap, weight * level) AS target FROM w, l),
+q AS (SELECT d.*, t.source_size, t.target, CAST(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+e AS (SELECT *, (r * source_size + running) / target AS v FROM q, (SELECT unnest([0, 1]) AS r) WHERE size > 0 AND target > 0),
+c AS (SELECT *, sum(size) OVER (ORDER BY v, h, doc_id, r ROWS UNBOUNDED PRECEDING) AS upto FROM e WHERE v < 2),
+n AS (SELECT doc_id, count(*) AS n FROM c WHERE upto <= (SELECT sum(target) FROM t) GROUP BY doc_id)
+SELECT q.doc_id, size, source_size, target, CAST(size * coalesce(n.n, 0) AS BIGINT) AS taken FROM q LEFT JOIN n ON n.doc_id = q.doc_id
+"""
+
 OP8 = r"""
 WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
 w AS (SELECT doc_id, i AS pos, array_to_string(lines[i:i+2], chr(10)) AS run
@@ -37,4 +54,4 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id,
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
 """
 
-ORACLES = {"op8_line_dedup": OP8, "op9_topk": OP9, "op10_near_dedup": OP10}
+ORACLES = {"op6_sharding": OP6, "op7_mixing": OP7, "op8_line_dedup": OP8, "op9_topk": OP9, "op10_near_dedup": OP10}
