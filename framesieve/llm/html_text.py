@@ -41,7 +41,7 @@ MARKED = frozenset(
 )
 #: Words that may as well stand for prose: an element they mark goes only if it is less dense than the page, too.
 DOUBTFUL = frozenset("alert dialog disclaimer discussion header overlay promotion reactions related replies search share sharing social".split())
-NEUTRAL = frozenset("area bar block bottom box btn button col column container content form global group head inner item items left link links list main module outer page panel post right row section site slot text title top user wrap wrapper".split())
+NEUTRAL = frozenset("area article bar block body bottom box btn button buttons col column container content count entry form global group head icon icons inner item items left link links list main module outer page panel post posts reader readers right row section site slot text thread title top user users visitor wrap wrapper".split())
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?:(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>|[!?/][^>]*(?:>|\Z))", re.S)
 #: A tag with a quote that never ends: up to the next ">".
 _PLAIN_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*?)(/?)>")
