@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 #: Ids that one aggregation takes, bytes of text that are split at once, and words that a task remembers.
-IDS, BYTES, REMEMBERED = 200_000, 1_000_000, 250_000
+IDS, BYTES, REMEMBERED = 100_000, 1_000_000, 200_000
 #: Rows that one recursive query holds at most (it keeps those of all rounds).
-ROWS = 3_000_000
+ROWS = 1_200_000
 #: Longer words (in bytes) are encoded in windows of this size, each half over the next; see ``Coder._long``.
 WINDOW = 128
 
